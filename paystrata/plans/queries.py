@@ -124,10 +124,18 @@ def sound(txns: DataFrame) -> DataFrame:
     return txns.where((F.col("gateway_id") != "GW-004") & (F.col("amount") >= 1.0))
 
 
-def written_bronze(spark: SparkSession, txns: DataFrame, label: str) -> str:
-    root = scratch_path(spark, label)
-    append_bronze(parse.to_bronze(txns), root)
-    return root
+_TABLES: dict[tuple, str] = {}
+
+
+def written_bronze(spark: SparkSession, folder: str, *, only_sound: bool = False) -> str:
+    """Root of the bronze table; written once per session and reused."""
+    key = (spark.sparkContext.applicationId, folder, only_sound)
+    if key not in _TABLES:
+        txns = read_transactions(spark, folder)
+        root = scratch_path(spark, "bronze")
+        append_bronze(parse.to_bronze(sound(txns) if only_sound else txns), root)
+        _TABLES[key] = root
+    return _TABLES[key]
 
 
 def staged_messages(spark: SparkSession, txns: DataFrame, label: str) -> str:
@@ -230,13 +238,13 @@ def timestamp_variants(spark, folder):
 
 @query
 def bronze_table(spark, folder):
-    root = written_bronze(spark, read_transactions(spark, folder), "bronze")
+    root = written_bronze(spark, folder)
     return transactions_of(read_bronze(spark, root))
 
 
 @query
 def day_scan(spark, folder):
-    root = written_bronze(spark, read_transactions(spark, folder), "days")
+    root = written_bronze(spark, folder)
     return transactions_of(read_day(spark, root, LOGICAL_DATE))
 
 
@@ -304,7 +312,7 @@ def duplicate_marks(spark, folder):
 @query
 def gate_report(spark, folder):
     """All days validated; the written reports read back, one row per day."""
-    root = written_bronze(spark, read_transactions(spark, folder), "gate")
+    root = written_bronze(spark, folder)
     reports = gate.run_gate_for_all_days(spark, root, scratch_path(spark, "reports"))
     return reports.select(
         "logical_date",
@@ -327,7 +335,7 @@ def gate_report(spark, folder):
 @query
 def gate_single_day(spark, folder):
     """The one-day gate on the table without rule-breaking rows, then the read."""
-    root = written_bronze(spark, sound(read_transactions(spark, folder)), "single")
+    root = written_bronze(spark, folder, only_sound=True)
     passed = gate.run_gate(spark, root, LOGICAL_DATE, scratch_path(spark, "reports"))
     day = gate.read_if_published(spark, root, LOGICAL_DATE)
     return transactions_of(day).withColumn("passed", F.lit(passed))
@@ -335,7 +343,7 @@ def gate_single_day(spark, folder):
 
 @query
 def published_read(spark, folder):
-    root = written_bronze(spark, sound(read_transactions(spark, folder)), "published")
+    root = written_bronze(spark, folder, only_sound=True)
     gate.run_gate_for_all_days(spark, root, scratch_path(spark, "reports"))
     return transactions_of(gate.read_published(spark, root))
 
