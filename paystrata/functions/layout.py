@@ -1,10 +1,10 @@
-"""Where rows go before a partitioned write or a skewed join."""
+"""Where rows go before a partitioned write."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,11 +25,3 @@ def cluster_for_write(
     # The salt has to be fixed before the exchange, hence the helper column.
     salted = df.withColumn("_write_salt", salt)
     return salted.repartition(*columns, "_write_salt").drop("_write_salt")
-
-
-def spread_key(key: Column) -> Column:
-    """Second join key: follows ``key``, but scatters rows whose key is NULL.
-
-    NULL keys never match, yet an outer join would hash all of them to one task.
-    """
-    return F.when(key.isNull(), F.spark_partition_id().cast("long")).otherwise(F.xxhash64(key))

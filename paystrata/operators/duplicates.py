@@ -1,45 +1,60 @@
-"""Row-level duplicate detection that stays balanced under one hot key."""
+"""Row-level duplicate detection that stays balanced under hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystrata.functions.layout import spread_key
+# A key is hot when it holds at least this share of all rows and at least this
+# many rows. The share alone bounds the number of hot keys: 10,000.
+HOT_SHARE = 1 / 10_000
+HOT_ROWS = 100_000
 
 
-def repeated_keys(df: DataFrame, key: str = "txn_id") -> DataFrame:
-    """Non-null keys that occur more than once, with ``group_size``."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("group_size"))
-        .where(F.col("group_size") > 1)
-    )
+def group_sizes(df: DataFrame, key: str = "txn_id") -> DataFrame:
+    """Rows per non-null key. Tasks count before the shuffle, so a hot key costs
+    one record per task."""
+    present = df.where(F.col(key).isNotNull())
+    return present.groupBy(key).agg(F.count(F.lit(1)).alias("group_size"))
 
 
-def _with_group_size(df: DataFrame, key: str, how: str) -> DataFrame:
-    """Attach ``group_size`` to rows without a window over the key.
+def _with_group_size(df: DataFrame, key: str) -> DataFrame:
+    """Attach ``group_size`` (NULL where the key occurs once or is NULL).
 
-    A window would put a whole group into one task. Here groups are counted with
-    map-side reduction and only the repeated keys (narrow rows) are joined back.
-    AQE broadcasts them when their measured size is small. Otherwise the join is
-    a sort-merge join with a shuffle on both sides (the second join key asks for
-    one), the shape whose hot partitions AQE splits over several tasks, also
-    when the hot rows are identical copies that no content hash could separate.
+    A window over the key would put a whole group into one task, and so would a
+    plain join with the counted groups. Hot keys are therefore looked up in a
+    broadcast table, which the hot share bounds at 10,000 records whatever the
+    size of the data. Only the other repeated keys are joined by key, and in that
+    join the hot and the NULL-keyed rows, which have no partner there, are
+    scattered by the task that read them. AQE turns that join into a broadcast
+    too when it measures the repeated keys to be few.
     """
+    sizes = group_sizes(df, key).where(F.col("group_size") > 1)
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    is_hot = F.col("group_size") >= F.greatest(rows * F.lit(HOT_SHARE), F.lit(float(HOT_ROWS)))
+    hot = sizes.where(is_hot).select(key, F.col("group_size").alias("_hot_size"))
     by_key = F.xxhash64(key)
-    spread = spread_key(F.col(key)) if how == "left" else by_key
-    sizes = repeated_keys(df, key).select(key, "group_size", by_key.alias("_spread"))
-    return df.select("*", spread.alias("_spread")).join(sizes, [key, "_spread"], how)
+    cold = sizes.where(~is_hot).select(
+        key, F.col("group_size").alias("_cold_size"), by_key.alias("_spread")
+    )
+    # The number of a task survives its retry, unlike a random salt.
+    scatter = F.spark_partition_id().cast("bigint")
+    looked_up = df.join(F.broadcast(hot), key, "left").withColumn(
+        "_spread",
+        F.when(F.col(key).isNull() | F.col("_hot_size").isNotNull(), scatter).otherwise(by_key),
+    )
+    return looked_up.join(cold, [key, "_spread"], "left").select(
+        *(looked_up[name] for name in df.columns),
+        F.coalesce("_hot_size", "_cold_size").alias("group_size"),
+    )
 
 
 def duplicate_rows(df: DataFrame, key: str = "txn_id") -> DataFrame:
     """All members of every duplicate group, with ``group_size``."""
-    return _with_group_size(df, key, "inner").select(*df.columns, "group_size")
+    return _with_group_size(df, key).where(F.col("group_size").isNotNull())
 
 
 def mark_duplicates(df: DataFrame, key: str = "txn_id") -> DataFrame:
     """Every row of ``df`` with ``is_duplicate``; NULL keys are never duplicates."""
-    marked = _with_group_size(df, key, "left")
+    marked = _with_group_size(df, key)
     return marked.select(*df.columns, F.col("group_size").isNotNull().alias("is_duplicate"))

@@ -67,8 +67,11 @@ def summarize_rules(
     """One row per rule (and per group of ``by``), ordered columns as in
     :data:`SUMMARY_COLUMNS`. A rule over a missing column fails with an error;
     on an empty table all column rules hold and percentages are NULL."""
-    parts = [_one_pass(df, [rule for rule in suite if not _needs_grouping(df, rule)], by)]
-    parts += [_uniqueness(df, rule, by) for rule in suite if _needs_grouping(df, rule)]
+    grouping = [rule for rule in suite if _needs_grouping(df, rule)]
+    others = [rule for rule in suite if rule not in grouping]
+    parts = [_uniqueness(df, rule, by) for rule in grouping]
+    if others:
+        parts.append(_one_pass(df, others, by))
     counts = reduce(DataFrame.unionByName, parts)
 
     elements, missing = F.col("element_count"), F.col("missing_count")

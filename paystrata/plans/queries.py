@@ -138,11 +138,11 @@ def written_bronze(spark: SparkSession, folder: str, *, only_sound: bool = False
     return _TABLES[key]
 
 
-def staged_messages(spark: SparkSession, txns: DataFrame, label: str) -> str:
-    """The messages as four files in time order, so a stream sees several batches."""
-    path = scratch_path(spark, label)
-    publish_to_files(txns.repartitionByRange(4, "arrival_timestamp"), path)
-    return path
+def in_two_deliveries(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """All transactions: those up to the logical date, then the later ones."""
+    txns = read_transactions(spark, folder)
+    early = F.substring("arrival_timestamp", 1, 10) <= LOGICAL_DATE
+    return [txns.where(early), txns.where(~early)]
 
 
 def transactions_of(bronze: DataFrame) -> DataFrame:
@@ -561,13 +561,12 @@ def gold_daily(spark, folder):
 
 @query
 def stream_bronze(spark, folder):
-    """Messages through the file sink in several batches, with a restart."""
-    messages = staged_messages(spark, read_transactions(spark, folder), "messages")
-    root, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
-    for _ in range(2):  # the second run resumes from the checkpoint
-        source = stream_from_files(spark, messages, max_files_per_trigger=2)
+    """Messages through the file sink, with a restart between two deliveries."""
+    messages, root, checkpoint = _places(spark, "messages", "bronze", "checkpoint")
+    for delivery in in_two_deliveries(spark, folder):
+        publish_to_files(delivery, messages)
         bronze_stream.start_bronze_files(
-            source, root, checkpoint, available_now=True
+            stream_from_files(spark, messages), root, checkpoint, available_now=True
         ).awaitTermination()
     return transactions_of(read_bronze(spark, root))
 
@@ -575,13 +574,14 @@ def stream_bronze(spark, folder):
 @query
 def stream_quarantine(spark, folder):
     """Damaged messages through the batch callback: the quarantine output."""
-    messages = scratch_path(spark, "messages")
+    messages, root, side, checkpoint = _places(
+        spark, "messages", "bronze", "quarantine", "checkpoint"
+    )
     damaged_envelopes(spark, folder).write.parquet(messages)
-    root, side = scratch_path(spark, "bronze"), scratch_path(spark, "quarantine")
     bronze_stream.start_bronze_batches(
         stream_from_files(spark, messages),
         root,
-        scratch_path(spark, "checkpoint"),
+        checkpoint,
         quarantine=side,
         available_now=True,
     ).awaitTermination()
@@ -593,8 +593,8 @@ def stream_quarantine(spark, folder):
 @query
 def stream_replay(spark, folder):
     """The same micro-batch delivered twice leaves one copy of its rows."""
-    messages = staged_messages(spark, read_transactions(spark, folder), "messages")
-    root = scratch_path(spark, "bronze")
+    messages, root = _places(spark, "messages", "bronze")
+    publish_to_files(read_transactions(spark, folder), messages)
     for _ in range(2):
         bronze_stream.write_bronze_batch(read_files(spark, messages), "replay-0", root)
     return transactions_of(read_bronze(spark, root))
@@ -602,32 +602,36 @@ def stream_replay(spark, folder):
 
 @query
 def stream_dedupe(spark, folder):
-    """All messages, then a hundredth of them again in a later batch."""
+    """All messages, then a hundredth of them again in a later delivery."""
+    messages, path, checkpoint = _places(spark, "messages", "deduplicated", "checkpoint")
     txns = read_transactions(spark, folder, keep=("event_id",))
-    messages = staged_messages(spark, txns.drop("event_id"), "messages")
-    publish_to_files(txns.where(F.col("event_id") % 100 == 0), messages)
-    source = stream_from_files(spark, messages, max_files_per_trigger=4)
-    bronze = parse.parse_transactions(source)
-    path = scratch_path(spark, "deduplicated")
-    # The table spans thirty days and its files are not in order: forty cover it.
-    dedupe_stream.start_append(
-        dedupe_stream.deduplicate_stream(bronze, "40 days"),
-        path,
-        scratch_path(spark, "checkpoint"),
-        available_now=True,
-    ).awaitTermination()
+    for delivery in (txns, txns.where(F.col("event_id") % 100 == 0)):
+        publish_to_files(delivery, messages)
+        bronze = parse.parse_transactions(stream_from_files(spark, messages))
+        # The table spans thirty days and its files are not in order: forty cover it.
+        dedupe_stream.start_append(
+            dedupe_stream.deduplicate_stream(bronze, "40 days"),
+            path,
+            checkpoint,
+            available_now=True,
+        ).awaitTermination()
     return transactions_of(spark.read.parquet(path))
 
 
 @query
 def stream_rates(spark, folder):
-    messages = staged_messages(spark, read_transactions(spark, folder), "messages")
-    source = stream_from_files(spark, messages, max_files_per_trigger=2)
-    path = scratch_path(spark, "totals")
-    metrics_stream.start_totals(
-        parse.parse_transactions(source),
-        path,
-        scratch_path(spark, "checkpoint"),
-        available_now=True,
-    ).awaitTermination()
+    """Running totals over two deliveries, resumed in between."""
+    messages, path, checkpoint = _places(spark, "messages", "totals", "checkpoint")
+    for delivery in in_two_deliveries(spark, folder):
+        publish_to_files(delivery, messages)
+        metrics_stream.start_totals(
+            parse.parse_transactions(stream_from_files(spark, messages)),
+            path,
+            checkpoint,
+            available_now=True,
+        ).awaitTermination()
     return metrics_stream.latest_totals(spark.read.parquet(path))
+
+
+def _places(spark, *labels):
+    return (scratch_path(spark, label) for label in labels)

@@ -75,22 +75,26 @@ def object_store_conf(region: str, endpoint: str | None = None) -> dict[str, str
     }
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only a local-mode session without the setting gets a temporary folder, and
-    the choice is then kept on the session.
+    Only a local-mode application without the setting gets a temporary folder,
+    one for its whole life.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a folder all executors share"
         )
-    folder = tempfile.mkdtemp(prefix="paystrata-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="paystrata-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

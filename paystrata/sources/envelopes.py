@@ -47,12 +47,16 @@ def stream_from_kafka(spark: SparkSession, bootstrap_servers: str, **options) ->
 
 
 def stream_from_files(
-    spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, *, max_bytes_per_trigger: str | None = None
 ) -> DataFrame:
-    """Unbounded envelopes from a folder of Parquet files (backfill, tests)."""
+    """Unbounded envelopes from a folder of Parquet files (backfill, tests).
+
+    ``max_bytes_per_trigger`` (such as ``"64g"``) bounds a micro-batch when a
+    large folder is drained.
+    """
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 
