@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,11 +12,23 @@ from paystrata import dimensions as dims
 from paystrata.functions.ids import padded_id, unit_interval
 
 
-def weight_intervals(choices: DataFrame, value: str, weight: Column) -> DataFrame:
-    """Cut [0, 1) into one interval per row of ``choices``, in ``position`` order.
+# Largest lookup grid that is broadcast; about 50 bytes a record.
+BROADCAST_RECORDS = 1_000_000
+
+
+@dataclass(frozen=True)
+class Intervals:
+    """A cut of [0, 1) into ``size`` intervals: value, lower and upper bound."""
+
+    table: DataFrame
+    size: int
+
+
+def weight_intervals(choices: DataFrame, size: int, value: str, weight: Column) -> Intervals:
+    """One interval per row of ``choices``, as wide as its share of the weight.
 
-    ``choices`` is a dimension or a pool of fixed size; its running sum is one
-    small window.
+    ``choices`` has ``size`` rows numbered by ``position``; it is a dimension or
+    a pool, so its running sum is one small window.
     """
     upto = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()
@@ -27,25 +41,22 @@ def weight_intervals(choices: DataFrame, value: str, weight: Column) -> DataFram
         F.when(last, F.lit(1.0)).otherwise(share).alias("upper"),
     )
     previous = F.lag("upper", 1, 0.0).over(Window.orderBy("position"))
-    return ends.select("value", previous.alias("lower"), "upper")
+    return Intervals(ends.select("value", previous.alias("lower"), "upper"), size)
 
 
 def assign_by_weight(
-    df: DataFrame,
-    key: Column,
-    intervals: DataFrame,
-    name: str,
-    *,
-    cells: int = 64,
+    df: DataFrame, key: Column, intervals: Intervals, name: str, *, cells: int = 64
 ) -> DataFrame:
     """Add column ``name``: the value whose interval holds the key's uniform number.
 
     The range lookup is an equality join on a grid cell plus a range condition,
-    a hash join instead of a nested loop. The joined side has at most
-    ``cells + number of values`` rows by construction.
+    a hash join instead of a nested loop. The grid has at most ``cells`` records
+    more than there are intervals. Beyond :data:`BROADCAST_RECORDS` it is joined
+    by shuffle, which is balanced because the numbers are uniform; choose as
+    many cells as intervals then.
     """
     number = F.col("_uniform")
-    grid = intervals.select(
+    grid = intervals.table.select(
         F.explode(
             F.sequence(F.floor(F.col("lower") * cells), F.ceil(F.col("upper") * cells) - 1)
         ).alias("_cell"),
@@ -53,6 +64,8 @@ def assign_by_weight(
         F.col("lower").alias("_lower"),
         F.col("upper").alias("_upper"),
     ).where(F.col("_lower") < F.col("_upper"))
+    if intervals.size + cells <= BROADCAST_RECORDS:
+        grid = F.broadcast(grid)
     placed = df.withColumn("_uniform", unit_interval(key)).withColumn(
         "_cell", F.floor(number * cells)
     )
@@ -61,24 +74,27 @@ def assign_by_weight(
         & (number >= F.col("_lower"))
         & (number < F.col("_upper"))
     )
-    return placed.join(F.broadcast(grid), inside, "left").select(*df.columns, name)
+    return placed.join(grid, inside, "left").select(*df.columns, name)
 
 
-def dimension_intervals(spark: SparkSession, dim: dims.Dimension, key: str) -> DataFrame:
-    return weight_intervals(dim.table(spark), key, F.col("weight"))
+def dimension_intervals(spark: SparkSession, dim: dims.Dimension, key: str) -> Intervals:
+    return weight_intervals(dim.table(spark), len(dim.rows), key, F.col("weight"))
 
 
-def merchant_intervals(spark: SparkSession, merchants: int = dims.MERCHANT_POOL_SIZE) -> DataFrame:
+def merchant_intervals(spark: SparkSession, merchants: int = dims.MERCHANT_POOL_SIZE) -> Intervals:
     """Merchants 1..n with weight 1/rank."""
     pool = spark.range(1, merchants + 1, numPartitions=1).select(
         F.col("id").alias("position"), padded_id("MRC-", F.col("id")).alias("merchant_id")
     )
-    return weight_intervals(pool, "merchant_id", F.lit(1.0) / F.col("position"))
+    return weight_intervals(pool, merchants, "merchant_id", F.lit(1.0) / F.col("position"))
 
 
-def frequency_intervals(spark: SparkSession) -> DataFrame:
+def frequency_intervals(spark: SparkSession) -> Intervals:
     """Segments weighted by head count times transaction frequency: the segment
     mix that drawing users by their frequency produces."""
     return weight_intervals(
-        dims.SEGMENT.table(spark), "segment", F.col("weight") * F.col("txn_frequency")
+        dims.SEGMENT.table(spark),
+        len(dims.SEGMENT.rows),
+        "segment",
+        F.col("weight") * F.col("txn_frequency"),
     )

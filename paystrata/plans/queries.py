@@ -61,8 +61,25 @@ def query(function: Query) -> Query:
 # --- inputs derived from the events table ------------------------------------
 
 
-def envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    return parse.encode_envelopes(read_transactions(spark, folder))
+_TABLES: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, folder: str, label: str, write: Callable[[str], None]) -> str:
+    """Path of a derived table, written once per application and then reused."""
+    key = (spark.sparkContext.applicationId, folder, label)
+    if key not in _TABLES:
+        path = scratch_path(spark, label)
+        write(path)
+        _TABLES[key] = path
+    return _TABLES[key]
+
+
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions as messages at rest, as a topic would hold them."""
+    txns = read_transactions(spark, folder)
+    return read_files(
+        spark, _once(spark, folder, "messages", lambda path: publish_to_files(txns, path))
+    )
 
 
 def doubled(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,18 +141,12 @@ def sound(txns: DataFrame) -> DataFrame:
     return txns.where((F.col("gateway_id") != "GW-004") & (F.col("amount") >= 1.0))
 
 
-_TABLES: dict[tuple, str] = {}
-
-
 def written_bronze(spark: SparkSession, folder: str, *, only_sound: bool = False) -> str:
-    """Root of the bronze table; written once per session and reused."""
-    key = (spark.sparkContext.applicationId, folder, only_sound)
-    if key not in _TABLES:
-        txns = read_transactions(spark, folder)
-        root = scratch_path(spark, "bronze")
-        append_bronze(parse.to_bronze(sound(txns) if only_sound else txns), root)
-        _TABLES[key] = root
-    return _TABLES[key]
+    """Root of the bronze table."""
+    txns = read_transactions(spark, folder)
+    bronze = parse.to_bronze(sound(txns) if only_sound else txns)
+    label = "sound_bronze" if only_sound else "bronze"
+    return _once(spark, folder, label, lambda path: append_bronze(bronze, path))
 
 
 def in_two_deliveries(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -154,21 +165,18 @@ def transactions_of(bronze: DataFrame) -> DataFrame:
 
 @query
 def bronze_parse(spark, folder):
-    return parse.parse_transactions(envelopes(spark, folder)).drop(INGEST_COLUMN)
+    return parse.parse_transactions(messages(spark, folder)).drop(INGEST_COLUMN)
 
 
 @query
 def bronze_partition_counts(spark, folder):
-    rows = parse.parse_transactions(envelopes(spark, folder))
+    rows = parse.parse_transactions(messages(spark, folder))
     return rows.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
 def envelope_roundtrip(spark, folder):
-    path = scratch_path(spark, "roundtrip")
-    publish_to_files(read_transactions(spark, folder), path)
-    messages = read_files(spark, path)
-    parsed = parse.parse_with_diagnosis(messages)
+    parsed = parse.parse_with_diagnosis(messages(spark, folder))
     text = F.col("value").cast("string")
     return parsed.select(
         F.col("key").cast("string").alias("message_key"),
@@ -562,11 +570,11 @@ def gold_daily(spark, folder):
 @query
 def stream_bronze(spark, folder):
     """Messages through the file sink, with a restart between two deliveries."""
-    messages, root, checkpoint = _places(spark, "messages", "bronze", "checkpoint")
+    inbox, root, checkpoint = _places(spark, "inbox", "bronze", "checkpoint")
     for delivery in in_two_deliveries(spark, folder):
-        publish_to_files(delivery, messages)
+        publish_to_files(delivery, inbox)
         bronze_stream.start_bronze_files(
-            stream_from_files(spark, messages), root, checkpoint, available_now=True
+            stream_from_files(spark, inbox), root, checkpoint, available_now=True
         ).awaitTermination()
     return transactions_of(read_bronze(spark, root))
 
@@ -574,12 +582,12 @@ def stream_bronze(spark, folder):
 @query
 def stream_quarantine(spark, folder):
     """Damaged messages through the batch callback: the quarantine output."""
-    messages, root, side, checkpoint = _places(
-        spark, "messages", "bronze", "quarantine", "checkpoint"
+    inbox, root, side, checkpoint = _places(
+        spark, "inbox", "bronze", "quarantine", "checkpoint"
     )
-    damaged_envelopes(spark, folder).write.parquet(messages)
+    damaged_envelopes(spark, folder).write.parquet(inbox)
     bronze_stream.start_bronze_batches(
-        stream_from_files(spark, messages),
+        stream_from_files(spark, inbox),
         root,
         checkpoint,
         quarantine=side,
@@ -593,21 +601,20 @@ def stream_quarantine(spark, folder):
 @query
 def stream_replay(spark, folder):
     """The same micro-batch delivered twice leaves one copy of its rows."""
-    messages, root = _places(spark, "messages", "bronze")
-    publish_to_files(read_transactions(spark, folder), messages)
+    batch, root = messages(spark, folder), scratch_path(spark, "bronze")
     for _ in range(2):
-        bronze_stream.write_bronze_batch(read_files(spark, messages), "replay-0", root)
+        bronze_stream.write_bronze_batch(batch, "replay-0", root)
     return transactions_of(read_bronze(spark, root))
 
 
 @query
 def stream_dedupe(spark, folder):
     """All messages, then a hundredth of them again in a later delivery."""
-    messages, path, checkpoint = _places(spark, "messages", "deduplicated", "checkpoint")
+    inbox, path, checkpoint = _places(spark, "inbox", "deduplicated", "checkpoint")
     txns = read_transactions(spark, folder, keep=("event_id",))
     for delivery in (txns, txns.where(F.col("event_id") % 100 == 0)):
-        publish_to_files(delivery, messages)
-        bronze = parse.parse_transactions(stream_from_files(spark, messages))
+        publish_to_files(delivery, inbox)
+        bronze = parse.parse_transactions(stream_from_files(spark, inbox))
         # The table spans thirty days and its files are not in order: forty cover it.
         dedupe_stream.start_append(
             dedupe_stream.deduplicate_stream(bronze, "40 days"),
@@ -621,11 +628,11 @@ def stream_dedupe(spark, folder):
 @query
 def stream_rates(spark, folder):
     """Running totals over two deliveries, resumed in between."""
-    messages, path, checkpoint = _places(spark, "messages", "totals", "checkpoint")
+    inbox, path, checkpoint = _places(spark, "inbox", "totals", "checkpoint")
     for delivery in in_two_deliveries(spark, folder):
-        publish_to_files(delivery, messages)
+        publish_to_files(delivery, inbox)
         metrics_stream.start_totals(
-            parse.parse_transactions(stream_from_files(spark, messages)),
+            parse.parse_transactions(stream_from_files(spark, inbox)),
             path,
             checkpoint,
             available_now=True,

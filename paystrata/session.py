@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Each batch uploads its changes instead of a snapshot of all state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Connectors a cluster adds with --packages; they match the Spark 4.1.2 build.

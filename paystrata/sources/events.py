@@ -32,26 +32,31 @@ STATES = ("Maharashtra", "Delhi")
 
 
 def _pick(values: tuple[str, ...], number: Column) -> Column:
-    chosen = F.when(number % len(values) == 0, values[0])
-    for place, value in enumerate(values[1:], start=1):
-        chosen = chosen.when(number % len(values) == place, value)
-    return chosen
+    return F.get(F.array(*map(F.lit, values)), (number % len(values)).cast("int"))
 
 
 def transactions_from_events(events: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """The 20 transaction columns, and any event columns named in ``keep``."""
     event_id, user = F.col("event_id"), F.col("user_id")
-    bucket = F.get_json_object("props", "$.k").cast("int")
-    arrival = F.col("ts").cast("timestamp")
     days_late = F.when(
-        event_id % 20 == 0, 1 + F.floor(event_id / 20) % 7
-    ).otherwise(0).cast("int")
+        event_id % 20 == 0, 1 + F.call_function("div", event_id, F.lit(20)) % 7
+    ).otherwise(0)
+    # Prepared first, because several columns need each and the JSON lookup
+    # should run once per row.
+    prepared = events.withColumns(
+        {
+            "_bucket": F.get_json_object("props", "$.k").cast("int"),
+            "_arrival": F.col("ts").cast("timestamp"),
+            "_days_late": days_late.cast("int"),
+        }
+    )
+    bucket, arrival = F.col("_bucket"), F.col("_arrival")
     failed = F.col("event_type") == "error"
     other_card = event_id % 25 == 0
 
     columns = {
         "txn_id": F.concat(F.lit("TXN-"), F.lpad(F.hex(event_id), 12, "0")),
-        "txn_timestamp": event_time_text(days_before(arrival, days_late)),
+        "txn_timestamp": event_time_text(days_before(arrival, F.col("_days_late"))),
         "arrival_timestamp": event_time_text(arrival),
         "amount": F.col("value"),
         "currency": F.lit("INR"),
@@ -74,7 +79,7 @@ def transactions_from_events(events: DataFrame, *, keep: tuple[str, ...] = ()) -
         "is_international": F.lit(False),
     }
     assert tuple(columns) == TRANSACTION_COLUMNS
-    return events.select(
+    return prepared.select(
         *keep, *(value.alias(name) for name, value in columns.items())
     )
 

@@ -78,8 +78,9 @@ def write_bronze_batch(
 ) -> dict[str, int]:
     """Write one micro-batch of envelopes; returns its counts.
 
-    The counts are observed while the rows are written. With a quarantine the
-    parsed rows are persisted, so that the messages are read and parsed once.
+    The counts are observed while the rows are written, for logs and metrics;
+    a retried task may be counted again. With a quarantine the parsed rows are
+    persisted, so that the messages are read and parsed once.
     """
     counts = Observation()
     diagnosed = parse_with_diagnosis(batch)

@@ -153,7 +153,7 @@ def test_ids(spark):
 
 def test_intervals_cover_everything(spark):
     for dim, key in ((dims.LOCATION, "city"), (dims.HOUR_WEIGHT, "hour")):
-        rows = assignment.dimension_intervals(spark, dim, key).orderBy("upper").collect()
+        rows = assignment.dimension_intervals(spark, dim, key).table.orderBy("upper").collect()
         assert rows[0].lower == 0.0 and rows[-1].upper == 1.0
         assert all(a.upper == b.lower for a, b in zip(rows, rows[1:]))
 
@@ -175,6 +175,17 @@ def test_assignment_follows_the_weights(spark):
     assert assignment.assign_by_weight(unknown, F.col("k"), intervals, "m").first().m is None
 
 
+def test_large_pools_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(assignment, "BROADCAST_RECORDS", 100)
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    pool = assignment.merchant_intervals(spark, 500)
+    drawn = assignment.assign_by_weight(rows, F.col("k"), pool, "m", cells=512)
+    assert "ResolvedHint" not in drawn._jdf.queryExecution().analyzed().toString()
+    monkeypatch.undo()
+    small = assignment.assign_by_weight(rows, F.col("k"), pool, "m")
+    assert sorted(drawn.collect()) == sorted(small.collect())
+
+
 def test_rollups_expand_groups_not_rows(transactions):
     rows = transactions([good(amount=1.5), good(amount=2.5, payment_method=None)])
     cube = gold.route_cube(rows)

@@ -5,6 +5,8 @@ import math
 
 import pytest
 from conftest import good
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paystrata.functions.times import event_time_text, parse_event_time, parse_logical_date
@@ -146,3 +148,26 @@ def test_encoding_keeps_nulls_and_keys(spark, transactions):
     assert list(record) == list(TRANSACTION_COLUMNS) and record == good()
     assert bytes(first.key).decode() == good()["txn_id"]
     assert missing.key is None and empty.key is None
+
+
+TEXT = st.none() | st.text(alphabet=st.characters(exclude_categories=("Cs",)), max_size=12)
+ROW = st.fixed_dictionaries(
+    {
+        name: st.none() | st.floats(allow_nan=False, allow_infinity=False)
+        if name == "amount"
+        else st.none() | st.booleans()
+        if name == "is_international"
+        else TEXT
+        for name in TRANSACTION_COLUMNS
+    }
+)
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(ROW, min_size=30, max_size=60))
+def test_any_row_survives_encoding_and_parsing(transactions, rows):
+    parsed = parse.parse_transactions(parse.encode_envelopes(transactions(rows)))
+    back = [tuple(row) for row in parsed.select(*TRANSACTION_COLUMNS).collect()]
+    assert back == [tuple(row[name] for name in TRANSACTION_COLUMNS) for row in rows]
