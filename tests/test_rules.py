@@ -4,7 +4,7 @@ import json
 import math
 
 import pytest
-from conftest import good
+from conftest import good, plan_text
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -120,6 +120,11 @@ def test_samples_are_the_most_frequent_with_ties_by_value(transactions):
     assert len(listed) == 20
 
 
+def test_sampling_limits_values_before_the_shuffle(transactions):
+    plan = plan_text(validation.unexpected_samples(parse.to_bronze(transactions(3))))
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_report_lists_failures_with_arguments(transactions):
     rows = [good(txn_id=f"TXN-{n:012X}", amount=0.5) for n in range(2)]
     bronze = parse.to_bronze(transactions(rows))
