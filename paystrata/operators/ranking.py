@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paystrata.session import checkpointed
+from paystrata.session import materialized, scratch_path
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low bits
 
@@ -17,11 +17,13 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     A window without partitions would sort everything in one task. Here a range
     sort spreads the rows, each gets its place inside its partition, and the
     partitions' sizes (one record per partition, so safe to broadcast) give the
-    offsets. The sorted rows are checkpointed, because sizes and places must
-    come from one and the same sort; this runs a job.
+    offsets. The sorted rows are written to the shared folder, because sizes and
+    places must come from one and the same sort; this runs a job.
     """
     slot = F.monotonically_increasing_id()
-    ordered = checkpointed(df.orderBy(*order).withColumn("_slot", slot))
+    ordered = materialized(
+        df.orderBy(*order).withColumn("_slot", slot), scratch_path(df.sparkSession, "ranked")
+    )
     part = F.shiftright("_slot", _ROW_BITS)
     place = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from paystrata.functions.times import parse_event_time
 from paystrata.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
-from paystrata.session import checkpointed
+from paystrata.session import materialized, scratch_path
 from paystrata.sources import files
 
 SILVER_SCHEMA = T.StructType(
@@ -81,12 +81,19 @@ def upsert_silver(
     """
     spark = txns.sparkSession
     finish_pending(spark, path)
-    incoming = checkpointed(silver_rows(txns, updated_at))
-    if not files.exists(spark, path):
-        _stage_and_apply(spark, incoming, path, emptied_of=[])
-        return
-
-    existing = read_silver(spark, path)
+    scratch = scratch_path(spark, "incoming")
+    incoming = materialized(silver_rows(txns, updated_at), scratch)
+    try:
+        if files.exists(spark, path):
+            _merge(incoming, path)
+        else:
+            _stage_and_apply(incoming, path, emptied_of=[])
+    finally:
+        files.delete(spark, scratch)
+
+
+def _merge(incoming: DataFrame, path: str) -> None:
+    existing = read_silver(incoming.sparkSession, path)
     ids = incoming.select("txn_id")
     replaced = existing.select("txn_id", "event_date").join(ids, "txn_id", "left_semi")
     # One record per calendar day at most.
@@ -102,7 +109,7 @@ def upsert_silver(
     contested = in_affected.join(ids, "txn_id", "left_semi").unionByName(incoming)
     winners = latest_per_transaction(contested, tie_breakers=["updated_at"])
     merged = untouched.select(*SILVER_SCHEMA.names).unionByName(winners)
-    _stage_and_apply(spark, merged, path, emptied_of=affected)
+    _stage_and_apply(merged, path, emptied_of=affected)
 
 
 def _on_dates(dates: list) -> Column:
@@ -130,8 +137,8 @@ def _write_by_date(df: DataFrame, path: str) -> None:
     )
 
 
-def _stage_and_apply(spark: SparkSession, merged: DataFrame, path: str, emptied_of: list) -> None:
-    pending = _pending(path)
+def _stage_and_apply(merged: DataFrame, path: str, emptied_of: list) -> None:
+    spark, pending = merged.sparkSession, _pending(path)
     _write_by_date(merged, f"{pending}/rows")
     present = {
         row.event_date

@@ -13,7 +13,7 @@ from paystrata.functions.times import parse_logical_date, report_time
 from paystrata.operators.rules import BRONZE_SUITE, Rule
 from paystrata.operators.validation import suite_report, summarize_rules, unexpected_samples
 from paystrata.schema import DAY_COLUMNS
-from paystrata.session import checkpointed
+from paystrata.session import materialized, scratch_path
 from paystrata.sinks import reports
 from paystrata.sources import files
 from paystrata.sources.bronze import DayNotFound, read_bronze, read_day
@@ -26,11 +26,13 @@ def validate(
 ) -> tuple[DataFrame, DataFrame]:
     """Rule summary and report of ``df``, per group of ``by`` (runs jobs).
 
-    The summary (one row per rule and group) is checkpointed. Sample values are
+    The summary (one row per rule and group) is written down. Sample values are
     then looked up for the failing rules only: a table that passes is not
     scanned again, and one that fails is scanned for the columns at fault.
     """
-    summary = checkpointed(summarize_rules(df, suite, by))
+    summary = materialized(
+        summarize_rules(df, suite, by), scratch_path(df.sparkSession, "rule_summary")
+    )
     failing = {
         row.rule_id
         for row in summary.where(~F.col("success")).select("rule_id").distinct().collect()

@@ -71,10 +71,11 @@ def test_no_machine_local_folder_on_a_cluster():
     assert session.shared_dir(local) == session.shared_dir(local)
 
 
-def test_checkpoint_cuts_lineage(spark):
-    df = session.checkpointed(spark.range(10).withColumn("x", F.rand(1)))
-    assert df.collect() == df.collect()
+def test_materialized_rows_are_fixed_and_have_a_size(spark, tmp_path):
+    df = session.materialized(spark.range(10).withColumn("x", F.rand()), str(tmp_path / "t"))
+    assert sorted(df.collect()) == sorted(df.collect())
     assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 100_000
 
 
 def test_command_line():
