@@ -171,8 +171,10 @@ summary AS (
 
 
 SUMMARY_COLUMNS = (
-    'rule_id, rule_type, "column", kwargs, success, element_count, missing_count, missing_percent, '
-    "unexpected_count, unexpected_percent, unexpected_percent_total, error"
+    'rule_id, rule_type, "column", kwargs, success, coalesce(element_count, -1) AS element_count, '
+    "coalesce(missing_count, -1) AS missing_count, missing_percent, "
+    "coalesce(unexpected_count, -1) AS unexpected_count, unexpected_percent, "
+    "unexpected_percent_total, error"
 )
 STATISTICS = """count(*) AS evaluated_expectations,
   count(*) FILTER (WHERE success) AS successful_expectations,
@@ -224,8 +226,8 @@ SELECT txn_id AS message_key,
   CASE WHEN event_id % 50 NOT IN (0, 1, 4) THEN txn_id END AS txn_id,
   CASE WHEN event_id % 50 NOT IN (0, 1, 2, 4) THEN amount END AS amount,
   CASE WHEN event_id % 50 NOT IN (0, 1, 4) THEN status END AS status,
-  CASE WHEN event_id % 50 NOT IN (0, 1, 3, 4) THEN arrival_day END AS arrival_day,
-  CASE WHEN event_id % 50 NOT IN (0, 1, 3, 4) THEN arrival_hour END AS arrival_hour
+  CASE WHEN event_id % 50 NOT IN (0, 1, 3, 4) THEN arrival_day ELSE -1 END AS arrival_day,
+  CASE WHEN event_id % 50 NOT IN (0, 1, 3, 4) THEN arrival_hour ELSE -1 END AS arrival_hour
 FROM bronze"""
 
 VARIANTS = f"""WITH {TXNS},
@@ -250,7 +252,11 @@ parsed AS (
       THEN try_strptime(variant, '%Y-%m-%dT%H:%M:%S.%gZ') END AS arrived
   FROM spelled
 )
-SELECT event_id, variant, strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS parsed, {ARRIVAL_PARTS}
+SELECT event_id, variant, strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS parsed,
+  CAST(coalesce(year(arrived), -1) AS INTEGER) AS arrival_year,
+  CAST(coalesce(month(arrived), -1) AS INTEGER) AS arrival_month,
+  CAST(coalesce(day(arrived), -1) AS INTEGER) AS arrival_day,
+  CAST(coalesce(hour(arrived), -1) AS INTEGER) AS arrival_hour
 FROM parsed"""
 
 
@@ -333,9 +339,9 @@ ENRICHED = f"""WITH {TXNS}, {LOOKUPS}
 SELECT {T_COLUMNS},
   s.avg_amount AS segment_avg_amount, s.txn_frequency AS segment_frequency,
   c.avg_amount AS category_avg_amount, c.failure_rate AS category_failure_rate,
-  g.success_rate AS gateway_success_rate, g.avg_latency_ms AS gateway_latency_ms,
+  g.success_rate AS gateway_success_rate, coalesce(g.avg_latency_ms, -1) AS gateway_latency_ms,
   m.failure_rate AS method_failure_rate, m.processor AS method_processor,
-  p.success_rate AS processor_success_rate, p.settlement_hours AS settlement_hours
+  p.success_rate AS processor_success_rate, coalesce(p.settlement_hours, -1) AS settlement_hours
 FROM {JOINED}"""
 
 _SUPPORTED = (
@@ -559,7 +565,7 @@ def statements() -> dict[str, str]:
         "silver_upsert": (
             f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM versions), "
             f"kept AS ({latest('everything')}) "
-            "SELECT *, CAST(txn_timestamp[1:10] AS DATE) AS event_date FROM kept"
+            "SELECT *, txn_timestamp[1:10] AS event_date FROM kept"
         ),
         "gold_routes": f"WITH {TXNS} SELECT {ROUTE}, {MEASURES} FROM txns GROUP BY {ROUTE}",
         "gold_rollup": _gold("ROLLUP"),

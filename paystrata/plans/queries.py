@@ -156,6 +156,12 @@ def in_two_deliveries(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [txns.where(early), txns.where(~early)]
 
 
+def _absent_as_minus_one(df: DataFrame, *names: str) -> DataFrame:
+    """Client tools disagree on how to show a NULL integer; -1 is no valid value
+    of the columns this is used for."""
+    return df.fillna(-1, subset=list(names))
+
+
 def transactions_of(bronze: DataFrame) -> DataFrame:
     return bronze.select(*TRANSACTION_COLUMNS, *PARTITION_COLUMNS)
 
@@ -197,7 +203,7 @@ def corrupt_quarantine(spark, folder):
 def corrupt_bronze(spark, folder):
     """Broken messages stay in the table: as NULL rows, or with one NULL field."""
     diagnosed = parse.parse_with_diagnosis(damaged_envelopes(spark, folder))
-    return diagnosed.select(
+    rows = diagnosed.select(
         F.col("key").cast("string").alias("message_key"),
         "txn_id",
         "amount",
@@ -205,6 +211,7 @@ def corrupt_bronze(spark, folder):
         "arrival_day",
         "arrival_hour",
     )
+    return _absent_as_minus_one(rows, "arrival_day", "arrival_hour")
 
 
 @query
@@ -230,7 +237,7 @@ def timestamp_variants(spark, folder):
     for place, spelling in enumerate(spellings[1:], start=1):
         variant = variant.when(kind == place, spelling)
     moment = parse_event_time(F.col("variant"))
-    return txns.select("event_id", variant.alias("variant")).select(
+    parsed = txns.select("event_id", variant.alias("variant")).select(
         "event_id",
         "variant",
         event_time_text(moment).alias("parsed"),
@@ -239,6 +246,7 @@ def timestamp_variants(spark, folder):
         F.dayofmonth(moment).alias("arrival_day"),
         F.hour(moment).alias("arrival_hour"),
     )
+    return _absent_as_minus_one(parsed, *PARTITION_COLUMNS)
 
 
 # --- bronze table and quality gate ---------------------------------------------
@@ -258,7 +266,10 @@ def day_scan(spark, folder):
 
 def _rounded(summary: DataFrame) -> DataFrame:
     shares_ = ("missing_percent", "unexpected_percent", "unexpected_percent_total")
-    return summary.withColumns({name: F.round(name, 6) for name in shares_})
+    counts = ["element_count", "missing_count", "unexpected_count"]
+    return _absent_as_minus_one(
+        summary.withColumns({name: F.round(name, 6) for name in shares_}), *counts
+    )
 
 
 def _bronze(spark, folder) -> DataFrame:
@@ -433,7 +444,8 @@ def merchant_zipf(spark, folder):
 
 @query
 def enrich_dims(spark, folder):
-    return enrichment.enrich(read_transactions(spark, folder))
+    enriched = enrichment.enrich(read_transactions(spark, folder))
+    return _absent_as_minus_one(enriched, "gateway_latency_ms", "settlement_hours")
 
 
 @query
@@ -535,7 +547,8 @@ def silver_upsert(spark, folder):
     batch = versions(spark, folder)
     for _ in range(2):
         silver.upsert_silver(batch, path)
-    return silver.read_silver(spark, path).drop("updated_at")
+    rows = silver.read_silver(spark, path).drop("updated_at")
+    return rows.withColumn("event_date", F.col("event_date").cast("string"))
 
 
 def _rounded_gold(rolled: DataFrame) -> DataFrame:
