@@ -11,15 +11,24 @@ import argparse
 import logging
 import sys
 
+from pyspark.sql import SparkSession
+
 from paystrata.plans.gate import run_gate
-from paystrata.session import engine_session
+from paystrata.session import engine_session, object_store_conf
 from paystrata.sources.envelopes import DEFAULT_TOPIC, stream_from_kafka
 from paystrata.streaming.bronze import start_bronze_batches, start_bronze_files
 from paystrata.streaming.triggers import TRIGGER_INTERVAL
 
 
+def _session(args: argparse.Namespace) -> SparkSession:
+    store = object_store_conf(args.s3_region) if args.s3_region else {}
+    return engine_session(
+        f"paystrata-{args.job}", shuffle_partitions=args.shuffle_partitions, extra=store
+    )
+
+
 def bronze(args: argparse.Namespace) -> int:
-    spark = engine_session("paystrata-bronze")
+    spark = _session(args)
     spark.sparkContext.setLogLevel("WARN")
     envelopes = stream_from_kafka(
         spark,
@@ -44,8 +53,7 @@ def bronze(args: argparse.Namespace) -> int:
 
 
 def gate(args: argparse.Namespace) -> int:
-    spark = engine_session("paystrata-gate")
-    return 0 if run_gate(spark, args.root, args.date, args.reports) else 1
+    return 0 if run_gate(_session(args), args.root, args.date, args.reports) else 1
 
 
 def parser() -> argparse.ArgumentParser:
@@ -69,6 +77,10 @@ def parser() -> argparse.ArgumentParser:
     check.add_argument("--reports", required=True)
     check.add_argument("--date", required=True)
     check.set_defaults(run=gate)
+
+    for job in (stream, check):
+        job.add_argument("--s3-region", help="region of an s3a:// root")
+        job.add_argument("--shuffle-partitions", type=int)
     return root
 
 

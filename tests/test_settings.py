@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from paystrata import session
+from paystrata.operators.parse import to_bronze
 from paystrata.plans import jobs
 from paystrata.sinks import envelopes as sink
+from paystrata.sinks.bronze import append_bronze
 from paystrata.sources import envelopes as source
 
 
@@ -85,3 +87,13 @@ def test_command_line():
     assert (args.run, args.interval, args.files_per_partition) == (jobs.bronze, "30 seconds", 4)
     args = jobs.parser().parse_args(["gate", "--root", "r", "--reports", "q", "--date", "2024-01-15"])
     assert args.run is jobs.gate
+    assert args.s3_region is None and args.shuffle_partitions is None
+
+
+def test_gate_job(spark, transactions, tmp_path):
+    root, reports = str(tmp_path / "bronze"), str(tmp_path)
+    append_bronze(to_bronze(transactions(2)), root)
+    arguments = ["gate", "--root", root, "--reports", reports, "--date", "2024-01-15"]
+    assert jobs.main(arguments) == 0
+    append_bronze(to_bronze(transactions(1)), root, rebalance=False)
+    assert jobs.main(arguments) == 1
