@@ -25,6 +25,25 @@ def day_path(root: str, date: dt.date) -> str:
     )
 
 
+def has_commit_log(spark: SparkSession, root: str) -> bool:
+    """True for a table of the streaming file sink."""
+    return files.exists(spark, f"{root.rstrip('/')}/_spark_metadata")
+
+
+def require_writer(spark: SparkSession, root: str, *, commit_log: bool) -> None:
+    """Refuse to mix the two kinds of writers in one table.
+
+    Readers of a table with a commit log see the logged files only, so rows that
+    another writer adds, or had added before, would silently be missing.
+    """
+    if has_commit_log(spark, root) == commit_log:
+        return
+    if commit_log and not files.matching(spark, f"{root.rstrip('/')}/arrival_year=*"):
+        return
+    kind = "without" if commit_log else "with"
+    raise ValueError(f"{root} is a table {kind} a streaming commit log; use its own writer")
+
+
 def in_contract_order(df: DataFrame) -> DataFrame:
     """Contract columns first and in order; extra columns follow.
 
@@ -51,7 +70,7 @@ def read_day(spark: SparkSession, root: str, logical_date: str) -> DataFrame:
     folder = day_path(root, date)
     if not files.exists(spark, folder):
         raise DayNotFound(f"no bronze rows for {logical_date}: {folder}")
-    if files.exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
+    if has_commit_log(spark, root):
         rows = spark.read.parquet(root)
     else:
         try:

@@ -3,7 +3,8 @@
 Two sinks, both safe against replays:
 
 * :func:`start_bronze_files` uses Spark's file sink. Its commit log makes each
-  micro-batch appear once; read the table through its root.
+  micro-batch appear once; read the table through its root. Its quarantine is a
+  query of its own, :func:`start_quarantine_files`.
 * :func:`start_bronze_batches` runs a callback per micro-batch, which can also
   write a quarantine and report counts. Each batch overwrites only its own
   ``ingest_batch`` folders, so delivering it twice leaves one copy.
@@ -26,6 +27,7 @@ from paystrata.operators.parse import (
     quarantined,
 )
 from paystrata.schema import PARTITION_COLUMNS
+from paystrata.sources.bronze import require_writer
 from paystrata.streaming.triggers import TRIGGER_INTERVAL, with_trigger
 
 logger = logging.getLogger(__name__)
@@ -55,6 +57,7 @@ def start_bronze_files(
     input partitions would each leave a small file in the current hour. Row
     counts of each batch appear in the query's progress (no extra job).
     """
+    require_writer(envelopes.sparkSession, root, commit_log=True)
     rows = parse_transactions(envelopes).observe(OBSERVATION, *_counts())
     if files_per_partition is not None:
         rows = cluster_for_write(rows, PARTITION_COLUMNS, files_per_partition)
@@ -68,6 +71,25 @@ def start_bronze_files(
     return with_trigger(writer, interval=interval, available_now=available_now).start()
 
 
+def start_quarantine_files(
+    envelopes: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    interval: str = TRIGGER_INTERVAL,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append unsound messages, exactly once: the companion of the file sink."""
+    writer = (
+        quarantined(parse_with_diagnosis(envelopes))
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return with_trigger(writer, interval=interval, available_now=available_now).start()
+
+
 def write_bronze_batch(
     batch: DataFrame,
     batch_tag: str,
@@ -82,6 +104,7 @@ def write_bronze_batch(
     a retried task may be counted again. With a quarantine the parsed rows are
     persisted, so that the messages are read and parsed once.
     """
+    require_writer(batch.sparkSession, root, commit_log=False)
     counts = Observation()
     diagnosed = parse_with_diagnosis(batch)
     if quarantine is not None:

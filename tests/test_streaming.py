@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import good
 from pyspark.sql import functions as F
 
@@ -8,7 +9,13 @@ from paystrata.schema import ENVELOPE_SCHEMA
 from paystrata.sinks.envelopes import publish_to_files
 from paystrata.sources.bronze import read_bronze
 from paystrata.sources.envelopes import stream_from_files
-from paystrata.streaming.bronze import start_bronze_batches, start_bronze_files, write_bronze_batch
+from paystrata.sinks.bronze import append_bronze
+from paystrata.streaming.bronze import (
+    start_bronze_batches,
+    start_bronze_files,
+    start_quarantine_files,
+    write_bronze_batch,
+)
 from paystrata.streaming.dedupe import deduplicate_stream, start_append
 from paystrata.streaming.metrics import latest_totals, start_totals
 
@@ -175,3 +182,33 @@ def test_totals_accumulate_over_triggers(spark, transactions, tmp_path):
     newest = latest_totals(history).first()
     assert (newest.published, newest.failed, newest.late) == (4, 1, 1)
     assert (newest.failure_rate, newest.late_rate) == (25.0, 25.0)
+
+
+def test_the_two_kinds_of_writers_are_not_mixed(spark, transactions, tmp_path):
+    source, logged, plain, checkpoint = paths(tmp_path, "in", "logged", "plain", "ck")
+    publish_to_files(transactions(2), source)
+    stream = stream_from_files(spark, source)
+    drain(start_bronze_files(stream, logged, checkpoint, available_now=True))
+    bronze = parse.to_bronze(transactions(2))
+    with pytest.raises(ValueError, match="commit log"):
+        append_bronze(bronze, logged)
+    with pytest.raises(ValueError, match="commit log"):
+        write_bronze_batch(parse.encode_envelopes(transactions(2)), "q-0", logged)
+    append_bronze(bronze, plain)
+    with pytest.raises(ValueError, match="commit log"):
+        start_bronze_files(stream, plain, checkpoint + "2", available_now=True)
+    write_bronze_batch(parse.encode_envelopes(transactions(3)), "q-0", str(tmp_path / "new"))
+
+
+def test_quarantine_of_the_file_sink(spark, transactions, tmp_path):
+    source, side, checkpoint = paths(tmp_path, "in", "side", "ck")
+    publish_to_files(transactions(4), source)
+    bad = spark.createDataFrame([(b"k", b"oops"), (b"l", None)], ENVELOPE_SCHEMA)
+    bad.write.mode("append").parquet(source)
+    for _ in range(2):
+        stream = stream_from_files(spark, source)
+        drain(start_quarantine_files(stream, side, checkpoint, available_now=True))
+    rows = spark.read.parquet(side).collect()
+    assert sorted((bytes(r.key), r.reason) for r in rows) == [
+        (b"k", "malformed_json"), (b"l", "empty_payload")
+    ]
