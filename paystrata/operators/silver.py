@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from paystrata.functions.times import parse_event_time
+from paystrata.operators.duplicates import group_sizes
 from paystrata.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from paystrata.session import materialized, scratch_path
 from paystrata.sources import files
@@ -25,6 +26,8 @@ SILVER_SCHEMA = T.StructType(
         T.StructField("event_date", T.DateType()),
     ]
 )
+# Most repeated ids that are broadcast; about 50 bytes each.
+BROADCAST_IDS = 1_000_000
 _LATEST_FIRST = ("arrival_timestamp", "txn_timestamp")
 
 
@@ -49,10 +52,29 @@ def latest_per_transaction(df: DataFrame, tie_breakers: Sequence[str] = ()) -> D
     )
 
 
-def silver_rows(txns: DataFrame, updated_at: Column | None = None) -> DataFrame:
+def latest_versions(df: DataFrame, scratch: str) -> DataFrame:
+    """Same rows as :func:`latest_per_transaction`, cheaper where ids rarely
+    repeat (runs a job that writes below ``scratch``).
+
+    The repeated ids are found first, from the id column alone. If there are few,
+    they are broadcast: all other rows pass without shuffle or sort, and only the
+    rows that compete are ranked. If there are many, every row is ranked.
+    """
+    repeated = materialized(
+        group_sizes(df).where(F.col("group_size") > 1).select("txn_id"), scratch
+    )
+    if repeated.count() > BROADCAST_IDS:
+        return latest_per_transaction(df)
+    ids = F.broadcast(repeated)
+    alone = df.where(F.col("txn_id").isNotNull()).join(ids, "txn_id", "left_anti")
+    competing = df.join(ids, "txn_id", "left_semi")
+    return alone.unionByName(latest_per_transaction(competing))
+
+
+def silver_rows(latest: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Deduplicated transactions in the silver layout."""
     event_date = F.to_date(parse_event_time(F.col("txn_timestamp")))
-    return latest_per_transaction(txns).select(
+    return latest.select(
         *TRANSACTION_COLUMNS,
         (F.current_timestamp() if updated_at is None else updated_at).alias("updated_at"),
         event_date.alias("event_date"),
@@ -81,9 +103,10 @@ def upsert_silver(
     """
     spark = txns.sparkSession
     finish_pending(spark, path)
-    scratch = scratch_path(spark, "incoming")
-    incoming = materialized(silver_rows(txns, updated_at), scratch)
+    scratch = scratch_path(spark, "upsert")
     try:
+        latest = latest_versions(txns, f"{scratch}/repeated")
+        incoming = materialized(silver_rows(latest, updated_at), f"{scratch}/incoming")
         if files.exists(spark, path):
             _merge(incoming, path)
         else:

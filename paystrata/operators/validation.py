@@ -148,16 +148,19 @@ def _uniqueness(df: DataFrame, rule: Rule, by: Sequence[str]) -> DataFrame:
     return totals.select(*by, F.inline(F.array(outcome)))
 
 
-def suite_statistics(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Evaluated, successful and unsuccessful rules, and the verdict."""
+def _statistics() -> list[Column]:
     evaluated, successful = F.count(F.lit(1)), F.count_if("success")
-    return summary.groupBy(*by).agg(
+    return [
         evaluated.alias("evaluated_expectations"),
         successful.alias("successful_expectations"),
         (evaluated - successful).alias("unsuccessful_expectations"),
         (F.lit(100.0) * successful / evaluated).alias("success_percent"),
-        F.bool_and("success").alias("success"),
-    )
+    ]
+
+
+def suite_statistics(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Evaluated, successful and unsuccessful rules, and the verdict."""
+    return summary.groupBy(*by).agg(*_statistics(), F.bool_and("success").alias("success"))
 
 
 def failed_rules(summary: DataFrame) -> DataFrame:
@@ -256,16 +259,10 @@ def suite_report(summary: DataFrame, samples: DataFrame, by: Sequence[str] = ())
         result.alias("result"),
     )
     failures = F.array_sort(F.collect_list(F.when(~F.col("success"), failure)))
-    evaluated, successful = F.count(F.lit(1)), F.count_if("success")
     joined = summary.join(sampled, [*by, "rule_id"], "left")
     return joined.groupBy(*by).agg(
         F.bool_and("success").alias("success"),
-        F.struct(
-            evaluated.alias("evaluated_expectations"),
-            successful.alias("successful_expectations"),
-            (evaluated - successful).alias("unsuccessful_expectations"),
-            (F.lit(100.0) * successful / evaluated).alias("success_percent"),
-        ).alias("statistics"),
+        F.struct(*_statistics()).alias("statistics"),
         F.transform(failures, lambda entry: entry.dropFields("rule_id")).alias(
             "failed_expectations"
         ),

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import good
+import pytest
+from conftest import good, plan_text
 from pyspark.sql import functions as F
 
 from paystrata.operators import silver
@@ -28,6 +29,24 @@ def test_latest_arrival_wins_and_ties_do_not_depend_on_order(transactions):
         assert row.device_type == "desktop"
 
 
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_both_ways_to_the_latest_version_agree(transactions, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(silver, "BROADCAST_IDS", broadcast)
+    hot = [at(1 + n % 28, amount=float(n)) for n in range(60)]
+    others = [at(15, txn_id=f"TXN-{n % 90:012X}", amount=float(n)) for n in range(120)]
+    table = transactions([*hot, *others, good(txn_id=None)])
+    latest = silver.latest_versions(table, str(tmp_path / "ids"))
+    expected = silver.latest_per_transaction(table)
+    assert sorted(latest.collect(), key=str) == sorted(expected.collect(), key=str)
+    assert latest.count() == 91
+
+
+def test_rows_with_a_unique_id_are_not_shuffled(spark, transactions, tmp_path):
+    plan = plan_text(silver.latest_versions(transactions(20), str(tmp_path / "ids")))
+    alone = plan.split("Window")[0]
+    assert "BroadcastHashJoin" in alone and "Exchange hashpartitioning" not in alone
+
+
 def test_upsert(spark, transactions, tmp_path):
     path = str(tmp_path / "silver")
     silver.upsert_silver(transactions([at(15, txn_id=A), at(15, txn_id=B)]), path)
