@@ -232,11 +232,16 @@ def suite_report(summary: DataFrame, samples: DataFrame, by: Sequence[str] = ())
     Every array is bounded: at most one entry per rule, each with at most
     :data:`SAMPLE_SIZE` sample values.
     """
-    sampled = samples.groupBy(*by, "rule_id").agg(
+    keys = [*by, "rule_id"]
+    sampled = samples.groupBy(*(F.col(name).alias(f"_{name}") for name in keys)).agg(
         F.array_sort(
             F.collect_list(F.struct("place", "value", F.col("n").alias("count")))
         ).alias("_samples")
     )
+    # A group may be keyed by NULL.
+    same_group = reduce(
+        Column.__and__, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys)
+    )
     result = F.struct(
         "element_count",
         "missing_count",
@@ -259,7 +264,7 @@ def suite_report(summary: DataFrame, samples: DataFrame, by: Sequence[str] = ())
         result.alias("result"),
     )
     failures = F.array_sort(F.collect_list(F.when(~F.col("success"), failure)))
-    joined = summary.join(sampled, [*by, "rule_id"], "left")
+    joined = summary.join(sampled, same_group, "left")
     return joined.groupBy(*by).agg(
         F.bool_and("success").alias("success"),
         F.struct(*_statistics()).alias("statistics"),

@@ -6,17 +6,17 @@ import datetime as dt
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystrata.functions.times import parse_logical_date, report_time
 from paystrata.operators.rules import BRONZE_SUITE, Rule
 from paystrata.operators.validation import suite_report, summarize_rules, unexpected_samples
-from paystrata.schema import DAY_COLUMNS
+from paystrata.schema import DAY_COLUMNS, INGEST_COLUMN
 from paystrata.session import materialized, scratch_path
 from paystrata.sinks import reports
 from paystrata.sources import files
-from paystrata.sources.bronze import DayNotFound, read_bronze, read_day
+from paystrata.sources.bronze import DayNotFound, read_bronze, read_day, read_unroutable
 
 logger = logging.getLogger(__name__)
 
@@ -41,14 +41,39 @@ def validate(
     return summary, suite_report(summary, samples, by)
 
 
-def _as_document(report: DataFrame, logical_date) -> DataFrame:
+def _as_document(report: DataFrame, logical_date: Column, unroutable: Column) -> DataFrame:
     return report.select(
         *(name for name in DAY_COLUMNS if name in report.columns),
         logical_date.alias("logical_date"),
         report_time().alias("validated_at"),
         "success",
+        unroutable.alias("unroutable_rows"),
         "statistics",
         "failed_expectations",
+        F.col("success").alias("passed"),
+    )
+
+
+def count_unroutable(spark: SparkSession, root: str, date: dt.date) -> int:
+    """Rows ingested on ``date`` that have no readable arrival time.
+
+    No rule ever sees them, so the report counts them. The range on the ingest
+    time is pushed to the Parquet statistics, which skip files of other days.
+    """
+    rows = read_unroutable(spark, root)
+    if rows is None:
+        return 0
+    ingested = F.col(INGEST_COLUMN)
+    start, end = (F.lit(day).cast("timestamp") for day in (date, date + dt.timedelta(days=1)))
+    return rows.where((ingested >= start) & (ingested < end)).count()
+
+
+def _unroutable_by_day(spark: SparkSession, root: str) -> DataFrame:
+    rows = read_unroutable(spark, root)
+    if rows is None:
+        rows = read_bronze(spark, root).where("false")
+    return rows.groupBy(F.to_date(INGEST_COLUMN).alias("ingest_date")).agg(
+        F.count(F.lit(1)).alias("n_unroutable")
     )
 
 
@@ -72,10 +97,9 @@ def run_gate(
         summary, report = validate(day, suite)
         if summary.where(F.col("element_count") > 0).isEmpty():
             raise DayNotFound(f"no bronze rows for {logical_date} below {root}")
-        row = reports.report_documents(
-            _as_document(report, F.lit(logical_date)).withColumn("passed", F.col("success")),
-            "passed",
-        ).first()
+        unroutable = F.lit(count_unroutable(spark, root, date)).cast("bigint")
+        document = _as_document(report, F.lit(logical_date), unroutable)
+        row = reports.report_documents(document, "passed").first()
         path = reports.write_report(spark, reports_root, date, row.document)
         if row.passed:
             reports.write_marker(spark, root, date)
@@ -99,16 +123,18 @@ def run_gate_for_all_days(
     Rules are evaluated per day by grouping, so the number of Spark jobs does not
     depend on the number of days. What reaches the driver is one bounded document
     per day. Rows without an arrival day belong to no day and are not validated
-    here; they are in the quarantine. Returns the reports as a table.
+    here; each report counts those ingested on its day. Returns the reports as a
+    table.
     """
     days = read_bronze(spark, root).where(F.col(DAY_COLUMNS[0]).isNotNull())
     _, report = validate(days, suite, by=DAY_COLUMNS)
-    logical_date = F.date_format(F.make_date(*map(F.col, DAY_COLUMNS)), "yyyy-MM-dd")
-    documents = reports.report_documents(
-        _as_document(report, logical_date).withColumn("passed", F.col("success")),
-        *DAY_COLUMNS,
-        "passed",
+    day = F.make_date(*map(F.col, DAY_COLUMNS))
+    unroutable = _unroutable_by_day(spark, root)
+    counted = report.join(unroutable, day == unroutable["ingest_date"], "left")
+    document = _as_document(
+        counted, F.date_format(day, "yyyy-MM-dd"), F.coalesce("n_unroutable", F.lit(0))
     )
+    documents = reports.report_documents(document, *DAY_COLUMNS, "passed")
     for row in documents.toLocalIterator():
         date = dt.date(row.arrival_year, row.arrival_month, row.arrival_day)
         reports.remove_marker(spark, root, date)

@@ -16,6 +16,7 @@ REPORT_SCHEMA = """
     logical_date STRING,
     validated_at STRING,
     success BOOLEAN,
+    unroutable_rows BIGINT,
     statistics STRUCT<
         evaluated_expectations: BIGINT,
         successful_expectations: BIGINT,

@@ -58,6 +58,21 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     return in_contract_order(spark.read.parquet(root))
 
 
+def read_unroutable(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows without an arrival day (default partition), or None if there are none.
+
+    They belong to no logical date; their ingest time tells when they came.
+    """
+    folder = f"{root.rstrip('/')}/{DAY_COLUMNS[0]}=__HIVE_DEFAULT_PARTITION__"
+    if not files.exists(spark, folder):
+        return None
+    if has_commit_log(spark, root):
+        rows = spark.read.parquet(root)
+    else:
+        rows = spark.read.option("basePath", root).parquet(folder)
+    return in_contract_order(rows.where(F.col(DAY_COLUMNS[0]).isNull()))
+
+
 def read_day(spark: SparkSession, root: str, logical_date: str) -> DataFrame:
     """All rows that arrived on ``logical_date``; a missing day raises.
 

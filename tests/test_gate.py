@@ -4,6 +4,7 @@ import json
 
 import pytest
 from conftest import good, plan_text
+from pyspark.sql import functions as F
 
 from paystrata.operators import parse
 from paystrata.plans import gate
@@ -50,7 +51,7 @@ def test_pass_writes_report_and_marker(spark, transactions, roots):
         "unsuccessful_expectations": 0,
         "success_percent": 100.0,
     }
-    assert document["failed_expectations"] == []
+    assert document["failed_expectations"] == [] and document["unroutable_rows"] == 0
     assert gate.read_if_published(spark, root, DAY).count() == 4
     assert gate.read_published(spark, root).count() == 4
 
@@ -105,7 +106,7 @@ def test_all_days_match_single_days(spark, transactions, roots, tmp_path):
     alone = str(tmp_path / "alone")
     for date in (DAY, "2024-01-16"):
         gate.run_gate(spark, root, date, alone)
-    columns = ["logical_date", "success", "statistics", "failed_expectations", "year", "month", "day"]
+    columns = ["logical_date", "success", "unroutable_rows", "statistics", "failed_expectations", "year", "month", "day"]
     left, right = (read_reports(spark, path).select(*columns) for path in (reports, alone))
     assert sorted(map(str, left.collect())) == sorted(map(str, right.collect()))
     assert gate.read_published(spark, root).count() == 1
@@ -133,3 +134,17 @@ def test_gate_reads_streamed_tables_through_their_log(spark, transactions, roots
     assert read_day(spark, root, DAY).count() == 3
     assert gate.run_gate(spark, root, DAY, reports)
     assert gate.read_if_published(spark, root, DAY).count() == 3
+
+
+def test_report_counts_rows_no_day_contains(spark, transactions, roots, tmp_path):
+    root, reports = roots
+    bad = [good(txn_id=f"TXN-{n:012X}", arrival_timestamp="?") for n in range(3)]
+    for rows, ingested in (([good()], DAY), (bad[:2], DAY), (bad[2:], "2024-01-16")):
+        bronze = parse.to_bronze(transactions(rows))
+        stamp = F.lit(f"{ingested} 23:59:59").cast("timestamp")
+        append_bronze(bronze.withColumn("pipeline_timestamp", stamp), root)
+    assert gate.run_gate(spark, root, DAY, reports)
+    assert report(reports)["unroutable_rows"] == 2
+    assert report(reports)["statistics"]["successful_expectations"] == 19
+    (row,) = gate.run_gate_for_all_days(spark, root, str(tmp_path / "all")).collect()
+    assert (row.logical_date, row.unroutable_rows) == (DAY, 2)

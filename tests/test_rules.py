@@ -139,6 +139,22 @@ def test_report_lists_failures_with_arguments(transactions):
     assert [tuple(s) for s in failure.result.partial_unexpected_counts] == [("0.5", 2)]
 
 
+def test_groups_keyed_by_null_keep_their_samples(transactions):
+    rows = [
+        good(txn_id=f"TXN-{n:012X}", payment_method=method, amount=0.5)
+        for n, method in enumerate(["UPI", None, None])
+    ]
+    bronze, by = parse.to_bronze(transactions(rows)), ["payment_method"]
+    report = validation.suite_report(
+        validation.summarize_rules(bronze, by=by), validation.unexpected_samples(bronze, by=by), by
+    )
+    samples = {
+        r.payment_method: r.failed_expectations[0].result.partial_unexpected_counts[0]["count"]
+        for r in report.collect()
+    }
+    assert samples == {"UPI": 1, None: 2}
+
+
 @given(st.lists(st.sampled_from("abcdef"), unique=True), st.data())
 def test_any_subsequence_is_in_order(columns, data):
     chosen = [name for name in columns if data.draw(st.booleans())]
