@@ -69,16 +69,16 @@ def _trie_entries(charsmap: bytes) -> dict[bytes, bytes]:
         return (unit >> 10) << ((unit & 0x200) >> 6)
 
     entries: dict[bytes, bytes] = {}
+    labels = np.arange(1, 256, dtype=np.uint32)
     stack = [(child_base(int(units[0])), b"")]
     while stack:
         base, prefix = stack.pop()
-        for label in range(1, 256):
-            place = base ^ label
-            if place >= len(units):
-                continue
+        places = np.uint32(base) ^ labels
+        inside = places < len(units)
+        children = inside.copy()
+        children[inside] = units[places[inside]] & np.uint32(0x800000FF) == labels[inside]
+        for place, label in zip(places[children].tolist(), labels[children].tolist()):
             unit = int(units[place])
-            if unit & 0x800000FF != label:
-                continue
             key, below = prefix + bytes([label]), place ^ child_base(unit)
             if unit >> 8 & 1:
                 start = int(units[below]) & 0x7FFFFFFF

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.llm import language, lengths, mixing, pieces, quality
+from paystrata.llm import language, lengths, mixing, pieces, quality, warc
 from paystrata.llm.common import Query, held_out, use_llm_conf
 
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the capture index."""
+    directory = warc.archive_pages(table(spark, folder, "pages"))
+    return warc.read_archives(directory).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document by the factorisation machine."""
