@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.llm import language, lengths, mixing, pieces, quality, warc
+from paystrata.llm import language, lattice, lengths, mixing, pieces, quality, warc
 from paystrata.llm.common import Query, held_out, use_llm_conf
 
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,12 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors by lattice hashing: links and components."""
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document by word-first backoff."""
