@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.llm import language, lattice, lengths, mixing, pieces, quality, warc
+from paystrata.llm import language, lattice, lengths, mixing, pieces, quality, topk, warc
 from paystrata.llm.common import Query, held_out, use_llm_conf
 
 QUERIES: dict[str, Query] = {}
@@ -69,6 +69,12 @@ def op3_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, folder, "embeddings"))
 
 
+@query
+def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Five largest inner products of every 50th vector with all others."""
+    return topk.top_inner_products(table(spark, folder, "embeddings"))
+
+
 @query
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document by word-first backoff."""
