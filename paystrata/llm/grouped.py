@@ -38,3 +38,20 @@ def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
                 waiting = []
     if waiting:
         yield pa.Table.from_batches(waiting)
+
+
+def smallest_reachable(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each id, the smallest id reachable by the links between positions a and b."""
+    order = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    a, b = place[a], place[b]
+    root = np.arange(len(ids))
+    while True:
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if (root == before).all():
+            return ids[order][root][place]

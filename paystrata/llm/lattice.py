@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from paystrata.llm.common import is_finite_vector, shuffle_width, written
 from paystrata.llm.components import connected_components
-from paystrata.llm.grouped import groups
+from paystrata.llm.grouped import groups, smallest_reachable
 
 #: Rows of a cell compared by one task at once; a larger cell is a grid of such blocks.
 CELL_ROWS = 2048
@@ -121,20 +121,6 @@ def _first_here(codes: np.ndarray, i: np.ndarray, j: np.ndarray, ids: np.ndarray
     return here & ~earlier
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest position reachable from each position by the pairs."""
-    root = np.arange(n)
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        before = root.copy()
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    return root
-
-
 def _counted(lattice: Lattice, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each vector of a cell that has links: their number (if first met here) and one connection."""
     out: list[tuple[np.ndarray, ...]] = []
@@ -157,11 +143,7 @@ def _counted(lattice: Lattice, least: float, batches: Iterator[pa.RecordBatch])
         first = _first_here(lattice.cells(unit[used]), a, b, ids[used], table, cell)
         weight = copies[used]
         links = np.bincount(a[first], weight[b[first]], len(used)) + np.bincount(b[first], weight[a[first]], len(used))
-        order = np.argsort(ids[used], kind="stable")  # so that the root has the smallest id
-        place = np.empty(len(used), np.int64)
-        place[order] = np.arange(len(used))
-        root = ids[used][order][_roots(len(used), place[a], place[b])][place]
-        out.append((ids[used], links.astype(np.int64), root))
+        out.append((ids[used], links.astype(np.int64), smallest_reachable(ids[used], a, b)))
         if sum(len(x[0]) for x in out) >= 10_000:
             yield _batch(out)
             out = []

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.llm import language, lattice, lengths, mixing, pieces, quality, topk, warc
+from paystrata.llm import jaccard, language, lattice, lengths, mixing, pieces, quality, topk, warc
 from paystrata.llm.common import Query, held_out, use_llm_conf
 
 QUERIES: dict[str, Query] = {}
@@ -103,6 +103,13 @@ def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose three-word shingle sets are 90 % alike."""
+    found = jaccard.similar_sets(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The histogram of all documents' token counts with its suffix sums."""
