@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.llm import jaccard, language, lattice, lengths, mixing, pieces, quality, topk, warc
+from paystrata.llm import jaccard, language, lattice, lengths, mixing, pieces, quality, suffixes, topk, warc
 from paystrata.llm.common import Query, held_out, use_llm_conf
 
 QUERIES: dict[str, Query] = {}
@@ -75,6 +75,12 @@ def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_inner_products(table(spark, folder, "embeddings"))
 
 
+@query
+def op5_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that repeat in strings of 400, and what is left."""
+    return suffixes.remove_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document by word-first backoff."""
