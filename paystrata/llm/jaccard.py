@@ -345,7 +345,8 @@ def similar_sets(
     short_list: int = SHORT_LIST,
     group_sets: int = GROUP_SETS,
 ) -> DataFrame:
-    """``doc_id``, ``digest`` (of the text), ``n_shingles``, ``component_id``: a row per document.
+    """A row per document: ``doc_id``, ``digest`` (of the text), ``n_shingles``, ``component_id``
+    and ``component``, a key that also tells apart components with the same smallest id.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets
     of ``words``-word shingles. Null and empty texts and those without words have
@@ -376,7 +377,19 @@ def similar_sets(
         nodes.where("n > 0").select("node", "smallest").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     )
     component = labelled.groupBy("root").agg(F.min("smallest").alias("component"))
-    labels = labelled.join(component, "root").select("node", "component")
+    labels = labelled.join(component, "root").select("node", "root", "component")
     return keyed.join(labels, "node", "left").select(
-        "doc_id", "digest", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", "digest", "n_shingles",
+        F.coalesce("component", "doc_id").alias("component_id"), F.col("root").alias("component"),
     )
+
+
+def first_of_each(found: DataFrame) -> DataFrame:
+    """(doc_id, digest) of the documents to keep: of a component the one with the smallest id.
+
+    Equal ids are told apart by the digest, null ids come last. Documents without
+    shingles belong to no component and all stay.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    grouped = found.where("component IS NOT NULL").groupBy("component").agg(first).select("first.doc_id", "first.digest")
+    return grouped.union(found.where("component IS NULL").select("doc_id", "digest"))
