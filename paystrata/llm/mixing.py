@@ -72,6 +72,15 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         if 0 < sizes[i] <= left and taken[i] < counts[i]:
             taken[i] += 1
             left -= int(sizes[i])
+    # Give back short documents, so that the programme has a choice.
+    for i in order[::-1]:
+        lacking = min(2 * int(sizes.max()), EXACT_WORDS) - left
+        if lacking <= 0:
+            break
+        if sizes[i] > 0:
+            back = min(int(taken[i]), -(-lacking // int(sizes[i])))
+            taken[i] -= back
+            left += back * int(sizes[i])
     # Bit s of ``sums`` says that the items so far can add up to s.
     sums, mask, steps = 1, (1 << (left + 1)) - 1, []
     for i in np.random.default_rng(seed).permutation(len(sizes)):
@@ -104,7 +113,7 @@ def mix_sources(
     seed: int = 7,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target``, ``copies``, ``taken`` and ``keep``.
+    """``doc_id``, ``source``, ``keep``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
     ``copies`` (0 to ``cap``) says how often the mix has the document, ``taken``
     how many words that makes. A null source is a source of its own, a null or
@@ -177,6 +186,6 @@ def mix_sources(
         .withColumn("copies", F.col("passes") + F.when(F.col("before") + F.col("rank") <= F.col("more"), 1).otherwise(0))
     )
     return chosen.select(
-        "p.doc_id", *(f"p.{name}" for name in keep), "p.size", "p.source_size", "p.target", "copies",
+        "p.doc_id", "p.source", *(f"p.{name}" for name in keep), "p.size", "p.source_size", "p.target", "copies",
         (F.col("copies") * F.col("p.size")).alias("taken"),
     )

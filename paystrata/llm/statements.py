@@ -2,4 +2,100 @@
 
 from __future__ import annotations
 
-STATEMENTS: dict[str, str] = {}
+_COMPONENTS = """
+reach AS (
+    SELECT node, node AS other FROM nodes
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op1_warc": """
+        WITH captures AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), kept AS (
+            SELECT payload, max(page_id) AS largest FROM captures
+            WHERE octet_length(payload) >= 1000 GROUP BY payload
+        )
+        SELECT page_id, octet_length(c.payload)::BIGINT AS payload_bytes, sha1(c.payload) AS payload_digest,
+               CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < largest THEN largest END AS refers_to
+        FROM captures c LEFT JOIN kept k ON c.payload = k.payload
+    """,
+    "op3_lattice": f"""
+        WITH RECURSIVE nodes AS (
+            SELECT vec_id AS node, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        ), usable AS (
+            SELECT * FROM nodes WHERE v IS NOT NULL
+              AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(v, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT x.node AS a, y.node AS b FROM usable x JOIN usable y
+            ON x.node <> y.node AND list_cosine_similarity(x.v, y.v) >= 0.9
+        ), {_COMPONENTS}, components AS (
+            SELECT node, min(other) AS component_id FROM reach GROUP BY node
+        ), degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT node AS vec_id, coalesce(n, 0) AS n_links, component_id, node = component_id AS kept
+        FROM components LEFT JOIN degrees ON a = node
+    """,
+    "op4_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op9_jaccard": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id AS node, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), nodes AS (SELECT node FROM words), shingles AS (
+            SELECT DISTINCT node, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+                   ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS s
+            FROM (SELECT node, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)
+        ), sizes AS (SELECT node, count(*) AS n FROM shingles GROUP BY node), shared AS (
+            SELECT x.node AS a, y.node AS b, count(*) AS c
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.node <> y.node GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.node = a JOIN sizes q ON q.node = b
+            WHERE 100 * c >= 90 * (p.n + q.n - c)
+        ), {_COMPONENTS}
+        SELECT r.node AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+        FROM reach r LEFT JOIN sizes s ON s.node = r.node GROUP BY r.node
+    """,
+    "op5_suffixes": """
+        WITH texts AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), starts AS (
+            SELECT doc_id, unnest(range(0, len(h) // 2 - 399)) AS p, h FROM texts WHERE len(h) >= 800
+        ), keyed AS (
+            SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 800)) AS k FROM starts
+        ), repeated AS (
+            SELECT doc_id, p FROM keyed WHERE k IN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1)
+        ), marked AS (
+            SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh
+            FROM repeated
+        ), runs AS (
+            SELECT doc_id, run, min(p) AS b, max(p) + 400 AS e
+            FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked) GROUP BY ALL
+        ), gaps AS (
+            SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS before FROM runs
+        ), cut AS (
+            SELECT t.doc_id, t.h, sum(e - b)::BIGINT AS removed, count(b) AS spans,
+                   string_agg(substr(t.h, (2 * before + 1)::BIGINT, (2 * (b - before))::BIGINT), '' ORDER BY b) AS heads, max(e) AS last
+            FROM texts t LEFT JOIN gaps g ON g.doc_id = t.doc_id GROUP BY t.doc_id, t.h
+        )
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, spans::BIGINT AS n_spans,
+               sha256(unhex(coalesce(heads, '') || substr(h, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
+        FROM cut
+    """,
+}

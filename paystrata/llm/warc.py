@@ -54,10 +54,11 @@ def surt(url: Column) -> Column:
     lower = F.lower(F.regexp_replace(F.trim(url), "^[A-Za-z][A-Za-z0-9+.-]*://", ""))
     bare = F.regexp_replace(lower, "#.*$", "")
     host = F.regexp_replace(F.regexp_extract(bare, "^([^/?]*)", 1), "^.*@", "")
-    host = F.regexp_replace(F.regexp_replace(host, ":(80|443)$", ""), "[.]+$", "")
+    port = F.regexp_replace(F.regexp_extract(host, "(:[0-9]*)$", 1), "^:(80|443|)$", "")
+    host = F.regexp_replace(F.regexp_replace(host, ":[0-9]*$", ""), "[.]+$", "")
     path = F.regexp_extract(bare, "^[^/?]*(.*)$", 1)
     path = F.when(path == "", "/").otherwise(path)
-    key = F.concat(F.array_join(F.reverse(F.split(host, "[.]")), ","), F.lit(")"), path)
+    key = F.concat(F.array_join(F.reverse(F.split(host, "[.]")), ","), port, F.lit(")"), path)
     for raw, code in (("\t", "%09"), ("\n", "%0a"), ("\r", "%0d")):
         key = F.replace(key, F.lit(raw), F.lit(code))
     return F.coalesce(key, F.lit("-"))
