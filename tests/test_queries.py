@@ -6,8 +6,10 @@ import pytest
 from compare import difference, tables
 
 import __spark_entry__ as entry_module
+from paystrata.plans.oracle import statements
+from paystrata.plans.queries import QUERIES
 
-STATEMENTS = entry_module.oracle_sql()
+STATEMENTS = statements()
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +18,14 @@ def duck(small):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry_module.queries()) == set(STATEMENTS)
+    assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(STATEMENTS) <= set(entry_module.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, small, duck, name):
-    result = entry_module.queries()[name](spark, small)
+    result = QUERIES[name](spark, small)
     assert difference(result, duck, STATEMENTS[name]) is None
 
 
