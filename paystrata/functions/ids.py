@@ -13,6 +13,11 @@ def padded_id(prefix: str, number: Column, width: int = 6) -> Column:
     return F.concat(F.lit(prefix), padded)
 
 
+def has_id(txn_id: Column) -> Column:
+    """True for an id that can name a transaction: neither NULL nor blank."""
+    return F.coalesce(F.trim(txn_id) != "", F.lit(False))
+
+
 def hashed_id(prefix: str, key: Column, length: int = 12) -> Column:
     """``prefix`` + upper-case hex digits that depend on ``key`` alone."""
     return F.concat(F.lit(prefix), F.upper(F.substring(F.md5(key), 1, length)))

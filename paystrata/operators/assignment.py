@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +13,6 @@ from paystrata import dimensions as dims
 from paystrata.functions.ids import padded_id, unit_interval
 
 
-# Largest lookup grid that is broadcast; about 50 bytes a record.
-BROADCAST_RECORDS = 1_000_000
-
-
 @dataclass(frozen=True)
 class Intervals:
     """A cut of [0, 1) into ``size`` intervals: value, lower and upper bound."""
@@ -51,9 +48,9 @@ def assign_by_weight(
 
     The range lookup is an equality join on a grid cell plus a range condition,
     a hash join instead of a nested loop. The grid has at most ``cells`` records
-    more than there are intervals. Beyond :data:`BROADCAST_RECORDS` it is joined
-    by shuffle, which is balanced because the numbers are uniform; choose as
-    many cells as intervals then.
+    more than there are intervals; choose as many cells as intervals for a large
+    pool. The planner decides from its size whether it is broadcast; a shuffle by
+    cell is balanced, because the numbers are uniform.
     """
     number = F.col("_uniform")
     grid = intervals.table.select(
@@ -64,8 +61,6 @@ def assign_by_weight(
         F.col("lower").alias("_lower"),
         F.col("upper").alias("_upper"),
     ).where(F.col("_lower") < F.col("_upper"))
-    if intervals.size + cells <= BROADCAST_RECORDS:
-        grid = F.broadcast(grid)
     placed = df.withColumn("_uniform", unit_interval(key)).withColumn(
         "_cell", F.floor(number * cells)
     )
@@ -77,6 +72,27 @@ def assign_by_weight(
     return placed.join(grid, inside, "left").select(*df.columns, name)
 
 
+def draw_from_dimension(
+    key: Column, dim: dims.Dimension, value: str, weigh: Callable[[dict], float] | None = None
+) -> Column:
+    """The dimension's value whose interval holds the key's uniform number.
+
+    A dimension's weights are constants (at most 24), so its bounds are too: the
+    draw is a lookup in a literal array, a plain projection. ``weigh`` gives a
+    row's weight, its ``weight`` unless stated.
+    """
+    rows = [dict(zip(dim.column_names, row)) for row in dim.rows]
+    weights = [weigh(row) if weigh else row["weight"] for row in rows]
+    total, reached, uppers = sum(weights), 0.0, []
+    for weight in weights:
+        reached += weight
+        uppers.append(round(reached / total, 12))
+    uppers[-1] = 1.0  # so that every row finds a value
+    bounds = F.array(*(F.struct(F.lit(u).alias("upper"), F.lit(r[value]).alias("value")) for u, r in zip(uppers, rows)))
+    number = unit_interval(key)
+    return F.get(F.filter(bounds, lambda bound: number < bound["upper"]), F.lit(0))["value"]
+
+
 def dimension_intervals(spark: SparkSession, dim: dims.Dimension, key: str) -> Intervals:
     return weight_intervals(dim.table(spark), len(dim.rows), key, F.col("weight"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paystrata.functions.ids import has_id
 from paystrata.functions.times import parse_event_time
 from paystrata.schema import (
     BRONZE_COLUMNS,
@@ -20,6 +21,13 @@ from paystrata.schema import (
 
 _ARRIVAL = "_arrival_time"
 
+#: How far an arrival time may lie ahead of the ingest time: clocks differ a little.
+CLOCK_TOLERANCE = "1 day"
+
+# Reasons that leave a row without a usable identity or version: it stays in bronze
+# and in the quarantine, and silver and the deduplicated stream do without it.
+UNADDRESSABLE = ("empty_payload", "malformed_json", "no_fields", "no_id", "implausible_time")
+
 
 def _with_arrival_parts(df: DataFrame) -> DataFrame:
     moment = F.col(_ARRIVAL)
@@ -74,14 +82,35 @@ def parse_with_diagnosis(envelopes: DataFrame) -> DataFrame:
     return _with_arrival_parts(parsed).withColumn("reason", _reason()).drop(CORRUPT_COLUMN)
 
 
+def is_plausible() -> Column:
+    """False where a bronze row claims to have arrived after it was ingested.
+
+    A row without a readable arrival time is not implausible, only incomplete.
+    """
+    arrival = parse_event_time(F.col("arrival_timestamp"))
+    latest = F.col(INGEST_COLUMN) + F.expr(f"INTERVAL {CLOCK_TOLERANCE}")
+    return F.coalesce(arrival <= latest, F.lit(True))
+
+
+def addressable(bronze: DataFrame) -> DataFrame:
+    """Bronze rows with an id and a plausible version, as silver takes them.
+
+    Exactly the rows whose reason is in :data:`UNADDRESSABLE` are left out, so what
+    is missing here is in the quarantine.
+    """
+    return bronze.where(has_id(F.col("txn_id")) & is_plausible())
+
+
 def _reason() -> Column:
     text = F.col("value").cast("string")
     nothing_parsed = F.coalesce(*(F.col(name).cast("string") for name in TRANSACTION_COLUMNS)).isNull()
     return (
         F.when(text.isNull() | (F.trim(text) == ""), "empty_payload")
         .when(F.col(CORRUPT_COLUMN).isNotNull() & nothing_parsed, "malformed_json")
-        .when(F.col(CORRUPT_COLUMN).isNotNull(), "bad_field")
         .when(nothing_parsed, "no_fields")
+        .when(~has_id(F.col("txn_id")), "no_id")
+        .when(~is_plausible(), "implausible_time")
+        .when(F.col(CORRUPT_COLUMN).isNotNull(), "bad_field")
         .when(F.col("arrival_year").isNull(), "bad_arrival_time")
     )
 

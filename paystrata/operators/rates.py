@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from paystrata.functions.payments import is_failed, is_late, percent_tenths
+from paystrata.operators.ranking import global_rank
 
 REPORT_EVERY = 1000
 # Report points per second-level block of the running sum.
@@ -44,19 +45,25 @@ def with_rates(counts: DataFrame) -> DataFrame:
 def running_rates(txns: DataFrame, sequence: str, every: int = REPORT_EVERY) -> DataFrame:
     """Totals and rates since the start, at every ``every`` published rows.
 
-    ``sequence`` numbers the rows 0, 1, 2, … in publishing order. Rows are first
-    reduced to one record per report point. The running sum over points then has
-    two levels, because one window over all of them would be a single task: sums
-    of blocks of 10,000 points (one per 10 million rows) are accumulated first
-    and then added to a window inside each block.
+    ``sequence`` orders the rows as they were published; it may start anywhere
+    and have gaps, because rows are counted by their rank (a range sort of three
+    columns, which runs a job). Rows are then reduced to one record per report
+    point. The running sum over points has two levels, because one window over all
+    of them would be a single task: sums of blocks of 10,000 points (one per 10
+    million rows) are accumulated first and then added to a window inside each
+    block.
     """
-    point = F.call_function("div", F.col(sequence), F.lit(every))
+    narrow = txns.select(
+        F.col(sequence).alias("_order"), is_failed().alias("_failed"), is_late().alias("_late")
+    )
+    ranked = global_rank(narrow, F.col("_order").asc_nulls_last(), name="_rank")
+    point = F.call_function("div", F.col("_rank") - 1, F.lit(every))
     points = (
-        txns.groupBy(point.alias("point"))
+        ranked.groupBy(point.alias("point"))
         .agg(
             F.count(F.lit(1)).alias("published"),
-            F.count_if(is_failed()).alias("failed"),
-            F.count_if(is_late()).alias("late"),
+            F.count_if("_failed").alias("failed"),
+            F.count_if("_late").alias("late"),
         )
         .withColumn("block", F.call_function("div", F.col("point"), F.lit(_POINTS_PER_BLOCK)))
     )

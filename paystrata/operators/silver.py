@@ -1,7 +1,7 @@
 """Silver: one row per transaction, kept current by upserts.
 
-Silver is a Parquet table partitioned by ``event_date``. Rows without an id
-cannot be addressed by an upsert; they stay in bronze and in the quarantine.
+Silver is a Parquet table partitioned by ``event_date``. Rows without an id (NULL or
+blank) cannot be addressed by an upsert; the quarantine has them as ``no_id``.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from paystrata.functions.ids import has_id
 from paystrata.functions.times import parse_event_time
 from paystrata.operators.duplicates import group_sizes
 from paystrata.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
@@ -26,8 +27,6 @@ SILVER_SCHEMA = T.StructType(
         T.StructField("event_date", T.DateType()),
     ]
 )
-# Most repeated ids that are broadcast; about 50 bytes each.
-BROADCAST_IDS = 1_000_000
 _LATEST_FIRST = ("arrival_timestamp", "txn_timestamp")
 
 
@@ -45,7 +44,7 @@ def latest_per_transaction(df: DataFrame, tie_breakers: Sequence[str] = ()) -> D
         *(F.col(name).asc_nulls_first() for name in (*rest, *tie_breakers)),
     )
     return (
-        df.where(F.col("txn_id").isNotNull())
+        df.where(has_id(F.col("txn_id")))
         .withColumn("_place", F.row_number().over(ranking))
         .where(F.col("_place") == 1)
         .drop("_place")
@@ -56,18 +55,16 @@ def latest_versions(df: DataFrame, scratch: str) -> DataFrame:
     """Same rows as :func:`latest_per_transaction`, cheaper where ids rarely
     repeat (runs a job that writes below ``scratch``).
 
-    The repeated ids are found first, from the id column alone. If there are few,
-    they are broadcast: all other rows pass without shuffle or sort, and only the
-    rows that compete are ranked. If there are many, every row is ranked.
+    The repeated ids are found first, from the id column alone, and written, so
+    that the planner knows their size in bytes. Where it finds them small enough to
+    broadcast, all other rows pass without shuffle or sort and only the rows that
+    compete are ranked; else both joins meet by id.
     """
     repeated = materialized(
         group_sizes(df).where(F.col("group_size") > 1).select("txn_id"), scratch
     )
-    if repeated.count() > BROADCAST_IDS:
-        return latest_per_transaction(df)
-    ids = F.broadcast(repeated)
-    alone = df.where(F.col("txn_id").isNotNull()).join(ids, "txn_id", "left_anti")
-    competing = df.join(ids, "txn_id", "left_semi")
+    alone = df.where(has_id(F.col("txn_id"))).join(repeated, "txn_id", "left_anti")
+    competing = df.join(repeated, "txn_id", "left_semi")
     return alone.unionByName(latest_per_transaction(competing))
 
 

@@ -88,6 +88,19 @@ def summarize_rules(
     return finished.select(*by, *SUMMARY_COLUMNS)
 
 
+def check_columns(
+    present: Sequence[str], spark: SparkSession, suite: Sequence[Rule] = BRONZE_SUITE
+) -> DataFrame:
+    """The outcome of the suite's column rules for a table with these columns; the
+    data is not read."""
+    rows = [
+        (rule.rule_id, rule.rule_type, rule.kwargs, columns_in_order(list(present), rule.params["column_list"]))
+        for rule in suite
+        if rule.rule_type == COLUMNS_IN_ORDER
+    ]
+    return spark.createDataFrame(rows, "rule_id int, rule_type string, kwargs string, success boolean")
+
+
 def _percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.lit(100.0) * part / whole)
 

@@ -20,18 +20,24 @@ from paystrata.sources.bronze import DayNotFound, read_bronze, read_day, read_un
 
 logger = logging.getLogger(__name__)
 
+_MOMENT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def validate(
-    df: DataFrame, suite: Sequence[Rule] = BRONZE_SUITE, by: Sequence[str] = ()
+    df: DataFrame,
+    suite: Sequence[Rule] = BRONZE_SUITE,
+    by: Sequence[str] = (),
+    scratch: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rule summary and report of ``df``, per group of ``by`` (runs jobs).
 
-    The summary (one row per rule and group) is written down. Sample values are
+    The summary (one row per rule and group) is written down, at ``scratch`` if the
+    caller removes it, else among the application's tables. Sample values are
     then looked up for the failing rules only: a table that passes is not
     scanned again, and one that fails is scanned for the columns at fault.
     """
     summary = materialized(
-        summarize_rules(df, suite, by), scratch_path(df.sparkSession, "rule_summary")
+        summarize_rules(df, suite, by), scratch or scratch_path(df.sparkSession, "rule_summary")
     )
     failing = {
         row.rule_id
@@ -77,6 +83,18 @@ def _unroutable_by_day(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _ingested_until(df: DataFrame) -> str | None:
+    """The latest ingest time, as text with all its digits; None without rows."""
+    latest = F.coalesce(F.max(INGEST_COLUMN), F.current_timestamp())
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.date_format(latest, _MOMENT).alias("latest")).first()
+    return row.latest if row.rows else None
+
+
+def _up_to(moment: str) -> Column:
+    ingested = F.col(INGEST_COLUMN)
+    return ingested.isNull() | (ingested <= F.lit(moment).cast("timestamp"))
+
+
 def run_gate(
     spark: SparkSession,
     root: str,
@@ -87,22 +105,27 @@ def run_gate(
     """Validate one arrival day; True, and a marker, iff every rule holds.
 
     The report is written either way. A marker left by an earlier run is removed
-    first, so a day that no longer passes is not read as published. A day
-    without rows raises :class:`DayNotFound`.
+    before anything else, so neither a day that no longer passes nor one whose
+    validation dies is read as published. Rows ingested after the start are not
+    validated, and the marker does not vouch for them. A day without rows raises
+    :class:`DayNotFound`.
     """
     date = parse_logical_date(logical_date)
+    scratch = scratch_path(spark, "gate")
     try:
-        day = read_day(spark, root, logical_date)
         reports.remove_marker(spark, root, date)
-        summary, report = validate(day, suite)
-        if summary.where(F.col("element_count") > 0).isEmpty():
+        day = read_day(spark, root, logical_date)
+        until = _ingested_until(day)
+        if until is None:
             raise DayNotFound(f"no bronze rows for {logical_date} below {root}")
+        summary, report = validate(day.where(_up_to(until)), suite, scratch=scratch)
+        rows = summary.agg(F.max("element_count")).first()[0]
         unroutable = F.lit(count_unroutable(spark, root, date)).cast("bigint")
         document = _as_document(report, F.lit(logical_date), unroutable)
         row = reports.report_documents(document, "passed").first()
         path = reports.write_report(spark, reports_root, date, row.document)
         if row.passed:
-            reports.write_marker(spark, root, date)
+            reports.write_marker(spark, root, date, reports.Published(until, rows))
             logger.info("all rules hold for %s", logical_date)
         else:
             logger.error("rules broken for %s, see %s", logical_date, path)
@@ -110,6 +133,8 @@ def run_gate(
     except Exception:
         logger.exception("quality gate failed for %s", logical_date)
         raise
+    finally:
+        files.delete(spark, scratch)
 
 
 def run_gate_for_all_days(
@@ -126,22 +151,42 @@ def run_gate_for_all_days(
     here; each report counts those ingested on its day. Returns the reports as a
     table.
     """
+    reports.remove_markers(spark, root)
     days = read_bronze(spark, root).where(F.col(DAY_COLUMNS[0]).isNotNull())
-    _, report = validate(days, suite, by=DAY_COLUMNS)
+    until = _ingested_until(days)
+    if until is None:
+        return reports.read_reports(spark, reports_root)
+    scratch = scratch_path(spark, "gate")
+    try:
+        _report_days(spark, root, reports_root, suite, days.where(_up_to(until)), until, scratch)
+    finally:
+        files.delete(spark, scratch)
+    return reports.read_reports(spark, reports_root)
+
+
+def _report_days(
+    spark: SparkSession,
+    root: str,
+    reports_root: str,
+    suite: Sequence[Rule],
+    days: DataFrame,
+    until: str,
+    scratch: str,
+) -> None:
+    summary, report = validate(days, suite, by=DAY_COLUMNS, scratch=scratch)
+    rows = summary.groupBy(*DAY_COLUMNS).agg(F.max("element_count").alias("n_validated"))
     day = F.make_date(*map(F.col, DAY_COLUMNS))
     unroutable = _unroutable_by_day(spark, root)
     counted = report.join(unroutable, day == unroutable["ingest_date"], "left")
     document = _as_document(
         counted, F.date_format(day, "yyyy-MM-dd"), F.coalesce("n_unroutable", F.lit(0))
-    )
-    documents = reports.report_documents(document, *DAY_COLUMNS, "passed")
+    ).join(rows, list(DAY_COLUMNS))
+    documents = reports.report_documents(document, *DAY_COLUMNS, "passed", "n_validated")
     for row in documents.toLocalIterator():
         date = dt.date(row.arrival_year, row.arrival_month, row.arrival_day)
-        reports.remove_marker(spark, root, date)
         reports.write_report(spark, reports_root, date, row.document)
         if row.passed:
-            reports.write_marker(spark, root, date)
-    return reports.read_reports(spark, reports_root)
+            reports.write_marker(spark, root, date, reports.Published(until, row.n_validated))
 
 
 def is_published(spark: SparkSession, root: str, logical_date: str) -> bool:
@@ -149,22 +194,35 @@ def is_published(spark: SparkSession, root: str, logical_date: str) -> bool:
 
 
 def read_if_published(spark: SparkSession, root: str, logical_date: str) -> DataFrame | None:
-    """The day's rows if the gate let it pass, else None."""
-    if not is_published(spark, root, logical_date):
+    """The validated rows of a day that the gate let pass, else None.
+
+    Rows that came after the validation are left out. If the day no longer has as
+    many validated rows as the marker says (counted from the file statistics where
+    they suffice), nothing is served.
+    """
+    date = parse_logical_date(logical_date)
+    if not reports.has_marker(spark, root, date):
         return None
-    return read_day(spark, root, logical_date)
+    published = reports.read_marker(spark, reports.marker_path(root, date))
+    day = read_day(spark, root, logical_date).where(_up_to(published.ingested_until))
+    if day.count() != published.rows:
+        logger.error("%s has changed since it was validated; run the gate again", logical_date)
+        return None
+    return day
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of all published days, as one partition-filtered scan."""
-    pattern = f"{root.rstrip('/')}/arrival_year=*/arrival_month=*/arrival_day=*/{reports.MARKER_NAME}"
-    chosen = F.lit(False)
-    dates = []
-    for marker in files.matching(spark, pattern):
-        dates.append([int(part.split("=")[1]) for part in marker.split("/")[-4:-1]])
+    """Validated rows of all published days, as one partition-filtered scan."""
+    until = {
+        date.year * 10000 + date.month * 100 + date.day: reports.read_marker(spark, path).ingested_until
+        for date, path in reports.markers(spark, root).items()
+    }
+    rows = read_bronze(spark, root)
+    if not until:
+        return rows.where(F.lit(False))
     year, month, day = (F.col(name) for name in DAY_COLUMNS)
-    if dates:
-        # One number per day keeps the filter flat however many days there are.
-        code = year * 10000 + month * 100 + day
-        chosen = code.isin([y * 10000 + m * 100 + d for y, m, d in dates])
-    return read_bronze(spark, root).where(chosen)
+    # One number per day keeps the filter flat however many days there are.
+    code = year * 10000 + month * 100 + day
+    latest = F.create_map(*(F.lit(part) for item in until.items() for part in item))
+    ingested = F.col(INGEST_COLUMN)
+    return rows.where(code.isin(list(until)) & (ingested.isNull() | (ingested <= latest[code].cast("timestamp"))))

@@ -69,7 +69,12 @@ bronze AS (
 DOUBLED = f"""{TXNS},
 doubled AS (SELECT * FROM txns UNION ALL SELECT * FROM txns WHERE event_id % 100 = 0)"""
 
-SOUND = "gateway_id <> 'GW-004' AND amount >= 1.0"
+_ODD = "CAST(arrival_timestamp[10:10] AS INTEGER) % 2 = 1"
+MENDED = f"""{BRONZE},
+mended AS (
+  SELECT * REPLACE (CASE WHEN {_ODD} AND gateway_id = 'GW-004' THEN 'GW-001' ELSE gateway_id END AS gateway_id,
+    CASE WHEN {_ODD} THEN greatest(amount, 1.0) ELSE amount END AS amount) FROM bronze
+)"""
 
 FAILED = "status = 'FAILED'"
 LATE = "CAST(txn_timestamp[1:10] AS DATE) < CAST(arrival_timestamp[1:10] AS DATE)"
@@ -203,8 +208,8 @@ SELECT rule_id, value, n, place FROM ranked WHERE place <= 20"""
 
 
 def _gate_report() -> str:
-    return f"""WITH {BRONZE},
-{rule_counts("bronze", DAY)}
+    return f"""WITH {MENDED},
+{rule_counts("mended", DAY)}
 SELECT strftime(make_date(arrival_year, arrival_month, arrival_day), '%Y-%m-%d') AS logical_date,
   bool_and(success) AS success, {STATISTICS},
   round(100.0 * count(*) FILTER (WHERE success) / count(*), 6) AS success_percent,
@@ -213,17 +218,29 @@ SELECT strftime(make_date(arrival_year, arrival_month, arrival_day), '%Y-%m-%d')
 FROM summary GROUP BY {DAY}"""
 
 
+def _schema_rule() -> str:
+    """The rule asks for the contract columns in order. The ingest time is stored
+    before the partition columns, which a reader appends; the engine rearranges."""
+    rule = BRONZE_SUITE[18]
+    outcomes = {"as_written": False, "in_contract_order": True, "without_amount": False, "first_two_swapped": False}
+    return " UNION ALL ".join(
+        f"SELECT '{variant}' AS variant, CAST(19 AS INTEGER) AS rule_id, '{rule.rule_type}' AS rule_type, "
+        f"'{rule.kwargs}' AS kwargs, {str(success).lower()} AS success"
+        for variant, success in outcomes.items()
+    )
+
+
 # --- envelopes --------------------------------------------------------------------
 
 QUARANTINE = f"""WITH {TXNS}
 SELECT txn_id AS message_key,
   CASE event_id % 50 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'empty_payload' WHEN 2 THEN 'bad_field'
-    WHEN 3 THEN 'bad_arrival_time' ELSE 'no_fields' END AS reason
-FROM txns WHERE event_id % 50 < 5"""
+    WHEN 3 THEN 'bad_arrival_time' WHEN 4 THEN 'no_fields' WHEN 7 THEN 'implausible_time' ELSE 'no_id' END AS reason
+FROM txns WHERE event_id % 50 < 8"""
 
 CORRUPT_BRONZE = f"""WITH {BRONZE}
 SELECT txn_id AS message_key,
-  CASE WHEN event_id % 50 NOT IN (0, 1, 4) THEN txn_id END AS txn_id,
+  CASE WHEN event_id % 50 = 6 THEN '  ' WHEN event_id % 50 NOT IN (0, 1, 4, 5) THEN txn_id END AS txn_id,
   CASE WHEN event_id % 50 NOT IN (0, 1, 2, 4) THEN amount END AS amount,
   CASE WHEN event_id % 50 NOT IN (0, 1, 4) THEN status END AS status,
   CASE WHEN event_id % 50 NOT IN (0, 1, 3, 4) THEN arrival_day ELSE -1 END AS arrival_day,
@@ -456,6 +473,19 @@ def latest(source: str) -> str:
 WHERE place = 1 AND txn_id IS NOT NULL"""
 
 
+# What silver chooses among: undamaged enough messages, and the versions.
+ROW_ACCOUNTING = f"""WITH {VERSIONS},
+messages AS (
+  SELECT txn_id, CASE event_id % 50 WHEN 3 THEN regexp_replace(arrival_timestamp, '\\.[0-9]{{3}}Z$', 'Z')
+    ELSE arrival_timestamp END AS arrival, event_id % 50 IN (0, 1, 4, 5, 6, 7) AS unusable FROM txns
+  UNION ALL SELECT txn_id, arrival_timestamp, false FROM versions
+),
+newest AS (SELECT txn_id, max(arrival) AS kept FROM messages WHERE NOT unusable GROUP BY txn_id)
+SELECT CASE WHEN unusable THEN 'quarantine' WHEN arrival = kept THEN 'silver' ELSE 'replaced' END AS state,
+  count(*) AS n_rows
+FROM messages LEFT JOIN newest USING (txn_id) GROUP BY 1"""
+
+
 MEASURES = f"""count(*) AS n_txns, count(*) FILTER (WHERE {FAILED}) AS n_failed,
   round(sum(amount), 2) AS amount_sum, min(amount) AS amount_min, max(amount) AS amount_max,
   round(CAST(count(*) FILTER (WHERE {FAILED}) AS DOUBLE) / count(*), 6) AS failure_rate"""
@@ -493,9 +523,7 @@ def statements() -> dict[str, str]:
         "rule_summary_doubled": (
             f"WITH {DOUBLED}, {rule_counts('doubled')} SELECT {SUMMARY_COLUMNS} FROM summary"
         ),
-        "schema_rule": (
-            f"{summary} SELECT rule_id, rule_type, kwargs, success FROM summary WHERE rule_id = 19"
-        ),
+        "schema_rule": _schema_rule(),
         "suite_statistics": (
             f"{summary} SELECT {STATISTICS}, "
             "100.0::DOUBLE * count(*) FILTER (WHERE success) / count(*) AS success_percent, "
@@ -514,10 +542,12 @@ def statements() -> dict[str, str]:
         ),
         "gate_report": _gate_report(),
         "gate_single_day": (
-            f"WITH {BRONZE} SELECT {COLUMNS}, {PARTS}, true AS passed FROM bronze "
-            f"WHERE {SOUND} AND CAST(arrived AS DATE) = DATE '{LOGICAL_DATE}'"
+            f"WITH {MENDED} SELECT {COLUMNS}, {PARTS}, true AS passed FROM mended "
+            f"WHERE CAST(arrived AS DATE) = DATE '{LOGICAL_DATE}'"
         ),
-        "published_read": f"WITH {BRONZE} SELECT {COLUMNS}, {PARTS} FROM bronze WHERE {SOUND}",
+        "published_read": f"WITH {MENDED}, {rule_counts('mended', DAY)}, passing AS "
+        f"(SELECT {DAY} FROM summary GROUP BY {DAY} HAVING bool_and(success)) "
+        f"SELECT {COLUMNS}, {PARTS} FROM mended SEMI JOIN passing USING ({DAY})",
         "late_arrivals": f"WITH {TXNS} SELECT {COLUMNS} FROM txns WHERE {LATE}",
         "failed_transactions": f"WITH {TXNS} SELECT {COLUMNS} FROM txns WHERE {FAILED}",
         "failure_late_rates": RATES,
@@ -557,6 +587,8 @@ def statements() -> dict[str, str]:
             f"WITH {TXNS} SELECT txn_id, amount, round(greatest(10.0::DOUBLE, amount), 2) AS clamped FROM txns"
         ),
         "weighted_assignment": _assignment(),
+        "segment_assignment": f"SELECT txn_id, drawn_segment FROM ({_assignment()})",
+        "row_accounting": ROW_ACCOUNTING,
         "merchant_assignment": MERCHANT_ASSIGNMENT,
         "silver_dedupe": (
             f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM txns "

@@ -7,6 +7,7 @@ that table by Spark.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,12 @@ from paystrata.operators import (
     silver,
     validation,
 )
-from paystrata.operators.rules import COLUMNS_IN_ORDER
 from paystrata.plans import gate
 from paystrata.schema import DAY_COLUMNS, INGEST_COLUMN, PARTITION_COLUMNS, TRANSACTION_COLUMNS
 from paystrata.session import scratch_path, use_engine_conf
 from paystrata.sinks.bronze import append_bronze
 from paystrata.sinks.envelopes import publish_to_files
-from paystrata.sources.bronze import read_bronze, read_day
+from paystrata.sources.bronze import in_contract_order, read_bronze, read_day
 from paystrata.sources.envelopes import read_files, stream_from_files
 from paystrata.sources.events import read_transactions
 from paystrata.streaming import bronze as bronze_stream
@@ -89,13 +89,21 @@ def doubled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def damaged_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    """Every message; five in fifty are broken, each in its own way."""
+    """Every message; eight in fifty are broken, each in its own way."""
     txns = read_transactions(spark, folder, keep=("event_id",))
     # The time without its fraction does not have the wire format.
     short_time = F.regexp_replace("arrival_timestamp", r"\.\d{3}Z$", "Z")
     kind = F.col("event_id") % 50
-    txns = txns.withColumn(
-        "arrival_timestamp", F.when(kind == 3, short_time).otherwise(F.col("arrival_timestamp"))
+    far = F.concat(F.lit("2999"), F.substring("arrival_timestamp", 5, 20))
+    key = F.col("txn_id").cast("binary")
+    txns = txns.withColumns(
+        {
+            "message_key": key,
+            "arrival_timestamp": F.when(kind == 3, short_time)
+            .when(kind == 7, far)
+            .otherwise(F.col("arrival_timestamp")),
+            "txn_id": F.when(kind == 6, F.lit("  ")).when(kind != 5, F.col("txn_id")),
+        }
     )
     text = F.to_json(F.struct(*TRANSACTION_COLUMNS), {"ignoreNullFields": "false"})
     half = F.call_function("div", F.length(text), F.lit(2)).cast("int")
@@ -107,7 +115,7 @@ def damaged_envelopes(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(text)
     )
     return txns.select(
-        F.col("txn_id").cast("binary").alias("key"), damaged.cast("binary").alias("value")
+        F.col("message_key").alias("key"), damaged.cast("binary").alias("value")
     )
 
 
@@ -136,17 +144,31 @@ def versions(spark: SparkSession, folder: str) -> DataFrame:
     return settled.unionByName(outdated).unionByName(redated).drop("event_id")
 
 
-def sound(txns: DataFrame) -> DataFrame:
-    """Only rows that break no rule."""
-    return txns.where((F.col("gateway_id") != "GW-004") & (F.col("amount") >= 1.0))
+def mended(txns: DataFrame) -> DataFrame:
+    """All transactions; those of odd arrival days have their faults mended, so
+    that these days pass the gate and the others do not."""
+    odd = F.substring("arrival_timestamp", 10, 1).isin("1", "3", "5", "7", "9")
+    return txns.withColumns(
+        {
+            "gateway_id": F.when(odd & (F.col("gateway_id") == "GW-004"), "GW-001").otherwise(
+                F.col("gateway_id")
+            ),
+            "amount": F.when(odd, F.greatest("amount", F.lit(1.0))).otherwise(F.col("amount")),
+        }
+    )
 
 
-def written_bronze(spark: SparkSession, folder: str, *, only_sound: bool = False) -> str:
+def written_bronze(spark: SparkSession, folder: str) -> str:
     """Root of the bronze table."""
-    txns = read_transactions(spark, folder)
-    bronze = parse.to_bronze(sound(txns) if only_sound else txns)
-    label = "sound_bronze" if only_sound else "bronze"
-    return _once(spark, folder, label, lambda path: append_bronze(bronze, path))
+    bronze = parse.to_bronze(read_transactions(spark, folder))
+    return _once(spark, folder, "bronze", lambda path: append_bronze(bronze, path))
+
+
+def mended_bronze(spark: SparkSession, folder: str) -> str:
+    """Root of a bronze table of the caller's own, to write markers to."""
+    root = scratch_path(spark, "mended_bronze")
+    append_bronze(parse.to_bronze(mended(read_transactions(spark, folder))), root)
+    return root
 
 
 def in_two_deliveries(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -214,6 +236,23 @@ def corrupt_bronze(spark, folder):
     return _absent_as_minus_one(rows, "arrival_day", "arrival_hour")
 
 
+@query
+def row_accounting(spark, folder):
+    """Where every message went: silver, a later version's place, or the quarantine."""
+    versions_ = parse.encode_envelopes(versions(spark, folder))
+    diagnosed = parse.parse_with_diagnosis(damaged_envelopes(spark, folder).unionByName(versions_))
+    kept = silver.latest_per_transaction(parse.addressable(parse.bronze_rows(diagnosed)))
+    newest = kept.select("txn_id", F.col("arrival_timestamp").alias("kept_arrival"))
+    placed = diagnosed.join(newest, "txn_id", "left")
+    state = (
+        F.when(F.col("reason").isin(*parse.UNADDRESSABLE), "quarantine")
+        .when(newest["txn_id"].isNull(), "lost")
+        .when(F.col("arrival_timestamp").eqNullSafe(F.col("kept_arrival")), "silver")
+        .otherwise("replaced")
+    )
+    return placed.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def timestamp_variants(spark, folder):
     """Arrival texts in valid and invalid spellings, and what parses of them."""
@@ -294,9 +333,23 @@ def rule_summary_doubled(spark, folder):
 
 @query
 def schema_rule(spark, folder):
-    summary = validation.summarize_rules(_bronze(spark, folder))
-    return summary.where(F.col("rule_type") == COLUMNS_IN_ORDER).select(
-        "rule_id", "rule_type", "kwargs", "success"
+    """The column rule on the written table as Spark reads it, as the engine
+    arranges it, without a column and with two columns swapped."""
+    rows = spark.read.parquet(written_bronze(spark, folder))
+    ordered = in_contract_order(rows)
+    first, second, *rest = ordered.columns
+    tables = {
+        "as_written": rows,
+        "in_contract_order": ordered,
+        "without_amount": ordered.drop("amount"),
+        "first_two_swapped": ordered.select(second, first, *rest),
+    }
+    checked = [
+        validation.check_columns(table.columns, spark).withColumn("variant", F.lit(name))
+        for name, table in tables.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, checked).select(
+        "variant", "rule_id", "rule_type", "kwargs", "success"
     )
 
 
@@ -331,7 +384,7 @@ def duplicate_marks(spark, folder):
 @query
 def gate_report(spark, folder):
     """All days validated; the written reports read back, one row per day."""
-    root = written_bronze(spark, folder)
+    root = mended_bronze(spark, folder)
     reports = gate.run_gate_for_all_days(spark, root, scratch_path(spark, "reports"))
     return reports.select(
         "logical_date",
@@ -353,8 +406,8 @@ def gate_report(spark, folder):
 
 @query
 def gate_single_day(spark, folder):
-    """The one-day gate on the table without rule-breaking rows, then the read."""
-    root = written_bronze(spark, folder, only_sound=True)
+    """The one-day gate on a day that passes, then the read."""
+    root = mended_bronze(spark, folder)
     passed = gate.run_gate(spark, root, LOGICAL_DATE, scratch_path(spark, "reports"))
     day = gate.read_if_published(spark, root, LOGICAL_DATE)
     return transactions_of(day).withColumn("passed", F.lit(passed))
@@ -362,8 +415,10 @@ def gate_single_day(spark, folder):
 
 @query
 def published_read(spark, folder):
-    root = written_bronze(spark, folder, only_sound=True)
+    """The days that pass, as validated: rows appended afterwards do not show."""
+    root = mended_bronze(spark, folder)
     gate.run_gate_for_all_days(spark, root, scratch_path(spark, "reports"))
+    append_bronze(parse.to_bronze(read_transactions(spark, folder)), root)
     return transactions_of(gate.read_published(spark, root))
 
 
@@ -387,8 +442,9 @@ def failure_late_rates(spark, folder):
 
 @query
 def rates_per_1000(spark, folder):
+    """The sequence starts at 17 and has two gaps after every number."""
     txns = read_transactions(spark, folder, keep=("event_id",))
-    return rates.running_rates(txns, "event_id")
+    return rates.running_rates(txns.withColumn("sequence", F.col("event_id") * 3 + 17), "sequence")
 
 
 def _rounded_shares(compared: DataFrame) -> DataFrame:
@@ -502,18 +558,30 @@ def weighted_assignment(spark, folder):
     """Each row drawn a segment, category, method, reason, city and hour."""
     txns = read_transactions(spark, folder).select("txn_id")
     draws = {
-        "segment": assignment.frequency_intervals(spark),
-        "category": assignment.dimension_intervals(spark, dims.MERCHANT_CATEGORY, "category"),
-        "method": assignment.dimension_intervals(spark, dims.PAYMENT_METHOD, "method"),
-        "reason": assignment.dimension_intervals(spark, dims.FAILURE_REASON, "reason"),
-        "city": assignment.dimension_intervals(spark, dims.LOCATION, "city"),
-        "hour": assignment.dimension_intervals(spark, dims.HOUR_WEIGHT, "hour"),
+        "segment": (dims.SEGMENT, "segment", lambda row: row["weight"] * row["txn_frequency"]),
+        "category": (dims.MERCHANT_CATEGORY, "category", None),
+        "method": (dims.PAYMENT_METHOD, "method", None),
+        "reason": (dims.FAILURE_REASON, "reason", None),
+        "city": (dims.LOCATION, "city", None),
+        "hour": (dims.HOUR_WEIGHT, "hour", None),
+    }
+    drawn = {
+        f"drawn_{name}": assignment.draw_from_dimension(
+            F.concat(F.lit(f"{name}:"), F.col("txn_id")), dim, value, weigh
+        )
+        for name, (dim, value, weigh) in draws.items()
     }
-    drawn = txns.withColumn("draw_id", hashed_id("TXN-", F.col("txn_id")))
-    for name, intervals in draws.items():
-        key = F.concat(F.lit(f"{name}:"), F.col("txn_id"))
-        drawn = assignment.assign_by_weight(drawn, key, intervals, f"drawn_{name}")
-    return drawn
+    return txns.withColumn("draw_id", hashed_id("TXN-", F.col("txn_id"))).withColumns(drawn)
+
+
+@query
+def segment_assignment(spark, folder):
+    """Each row drawn a segment through the table lookup that pools use."""
+    txns = read_transactions(spark, folder).select("txn_id")
+    key = F.concat(F.lit("segment:"), F.col("txn_id"))
+    return assignment.assign_by_weight(
+        txns, key, assignment.frequency_intervals(spark), "drawn_segment"
+    )
 
 
 @query
@@ -622,15 +690,17 @@ def stream_replay(spark, folder):
 
 @query
 def stream_dedupe(spark, folder):
-    """All messages, then a hundredth of them again in a later delivery."""
+    """Messages from the far future first, then all, then a hundredth of them again."""
     inbox, path, checkpoint = _places(spark, "inbox", "deduplicated", "checkpoint")
     txns = read_transactions(spark, folder, keep=("event_id",))
-    for delivery in (txns, txns.where(F.col("event_id") % 100 == 0)):
+    far = txns.where(F.col("event_id") % 1000 == 7).withColumns(
+        {"txn_id": F.concat("txn_id", F.lit("F")), "arrival_timestamp": F.lit("2999-01-01T00:00:00.000Z")}
+    )
+    for delivery in (far, txns, txns.where(F.col("event_id") % 100 == 0)):
         publish_to_files(delivery, inbox)
         bronze = parse.parse_transactions(stream_from_files(spark, inbox))
-        # The table spans thirty days and its files are not in order: forty cover it.
         dedupe_stream.start_append(
-            dedupe_stream.deduplicate_stream(bronze, "40 days"),
+            dedupe_stream.deduplicate_stream(bronze, "2 hours"),
             path,
             checkpoint,
             available_now=True,

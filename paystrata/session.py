@@ -99,9 +99,21 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/paystrata/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/paystrata/{label}-{uuid.uuid4().hex}"
+    """A fresh, never reused path below the shared folder, one folder per application."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once its results are
+    written: DataFrames that read them are unusable afterwards."""
+    from paystrata.sources import files
+
+    files.delete(spark, _scratch_root(spark))
 
 
 def materialized(df: DataFrame, path: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,13 @@ REPORT_SCHEMA = """
 """
 
 
+class Published(NamedTuple):
+    """What a marker vouches for: rows ingested up to ``ingested_until``."""
+
+    ingested_until: str
+    rows: int
+
+
 def report_path(reports_root: str, date: dt.date) -> str:
     return (
         f"{reports_root.rstrip('/')}/quality_reports/bronze"
@@ -72,8 +81,30 @@ def marker_path(root: str, date: dt.date) -> str:
     return f"{day_path(root, date)}/{MARKER_NAME}"
 
 
-def write_marker(spark: SparkSession, root: str, date: dt.date) -> None:
-    files.write_text(spark, marker_path(root, date), "")
+def write_marker(spark: SparkSession, root: str, date: dt.date, published: Published) -> None:
+    """Publish the day's rows that were ingested up to a moment, and how many they are."""
+    files.write_text(spark, marker_path(root, date), json.dumps(published._asdict()))
+
+
+def read_marker(spark: SparkSession, path: str) -> Published:
+    return Published(**json.loads(files.read_text(spark, path)))
+
+
+def markers(spark: SparkSession, root: str) -> dict[dt.date, str]:
+    """Paths of the markers of all published days."""
+    pattern = f"{root.rstrip('/')}/arrival_year=*/arrival_month=*/arrival_day=*/{MARKER_NAME}"
+    found = {}
+    for path in files.matching(spark, pattern):
+        parts = [part.split("=")[1] for part in path.split("/")[-4:-1]]
+        if all(part.isdigit() for part in parts):
+            found[dt.date(*map(int, parts))] = path
+    return found
+
+
+def remove_markers(spark: SparkSession, root: str) -> None:
+    """Unpublish the whole table, days that have lost all their rows included."""
+    for path in markers(spark, root).values():
+        files.delete(spark, path)
 
 
 def remove_marker(spark: SparkSession, root: str, date: dt.date) -> bool:

@@ -5,30 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from paystrata.functions.times import parse_event_time
+from paystrata.operators.parse import addressable
+from paystrata.schema import INGEST_COLUMN
 from paystrata.streaming.triggers import TRIGGER_INTERVAL, with_trigger
 
-_CLOCK = "_arrival_clock"
+def deduplicate_stream(bronze: DataFrame, delay: str) -> DataFrame:
+    """First copy of each transaction within ``delay`` of its ingestion.
 
-
-def deduplicate_stream(txns: DataFrame, delay: str) -> DataFrame:
-    """First copy of each transaction within ``delay`` of arrival time.
-
-    The clock is arrival time, which hardly runs backwards; event time may lie
-    eight days behind and would need a delay of nine. State holds the ids of the
-    last ``delay`` only. Rows without an id or a readable arrival time have no
-    identity to deduplicate by (NULL ids would all count as one): take them from
-    the quarantine.
+    The clock is the ingest time (``pipeline_timestamp``), which this side sets: no
+    time inside a message can move it, so none makes other rows late. State holds
+    the ids of the last ``delay`` only. Rows without an id or with an arrival time
+    ahead of their ingestion are left out; they are in the quarantine, as ``no_id``
+    and ``implausible_time``.
     """
     return (
-        txns.withColumn(_CLOCK, parse_event_time(F.col("arrival_timestamp")))
-        .where(F.col("txn_id").isNotNull() & F.col(_CLOCK).isNotNull())
-        .withWatermark(_CLOCK, delay)
+        addressable(bronze)
+        .withWatermark(INGEST_COLUMN, delay)
         .dropDuplicatesWithinWatermark(["txn_id"])
-        .drop(_CLOCK)
     )
 
 

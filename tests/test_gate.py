@@ -6,6 +6,7 @@ import pytest
 from conftest import good, plan_text
 from pyspark.sql import functions as F
 
+from paystrata import session
 from paystrata.operators import parse
 from paystrata.plans import gate
 from paystrata.schema import BRONZE_COLUMNS
@@ -41,7 +42,7 @@ def test_pass_writes_report_and_marker(spark, transactions, roots):
     root, reports = roots
     append_bronze(parse.to_bronze(transactions(4)), root)
     assert gate.run_gate(spark, root, DAY, reports) is True
-    assert marker(root).stat().st_size == 0
+    assert json.loads(marker(root).read_text())["rows"] == 4
     document = report(reports)
     assert document["logical_date"] == DAY and document["success"] is True
     assert document["validated_at"].endswith("+00:00")
@@ -70,6 +71,40 @@ def test_fail_writes_report_only(spark, transactions, roots):
     assert gate.read_published(spark, root).count() == 0
 
 
+def test_rows_after_publication_are_not_served(spark, transactions, roots):
+    root, reports = roots
+    append_bronze(parse.to_bronze(transactions(3)), root)
+    assert gate.run_gate(spark, root, DAY, reports)
+    append_bronze(parse.to_bronze(transactions([good(txn_id="TXN-0000000000FF", amount=0.1)])), root)
+    assert read_day(spark, root, DAY).count() == 4
+    assert gate.read_if_published(spark, root, DAY).count() == 3
+    assert gate.read_published(spark, root).count() == 3
+    # A validated row that has gone, or one that was slipped in: nothing is served.
+    early = parse.to_bronze(transactions(1)).withColumn("pipeline_timestamp", F.lit("2020-01-01").cast("timestamp"))
+    append_bronze(early, root)
+    assert gate.read_if_published(spark, root, DAY) is None
+
+
+@pytest.mark.parametrize("run", ["one", "all"])
+def test_dying_run_leaves_nothing_published(spark, transactions, roots, tmp_path, monkeypatch, run):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "shared"))
+    root, reports = roots
+    append_bronze(parse.to_bronze(transactions(3)), root)
+    assert gate.run_gate(spark, root, DAY, reports)
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(gate, "suite_report", die)
+    with pytest.raises(RuntimeError):
+        if run == "one":
+            gate.run_gate(spark, root, DAY, reports)
+        else:
+            gate.run_gate_for_all_days(spark, root, reports)
+    assert not marker(root).exists()
+    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file()]
+
+
 def test_failing_rerun_withdraws_the_marker(spark, transactions, roots):
     root, reports = roots
     append_bronze(parse.to_bronze(transactions(2)), root)

@@ -175,15 +175,28 @@ def test_assignment_follows_the_weights(spark):
     assert assignment.assign_by_weight(unknown, F.col("k"), intervals, "m").first().m is None
 
 
-def test_large_pools_are_joined_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(assignment, "BROADCAST_RECORDS", 100)
+def test_large_pools_are_joined_by_shuffle(spark, conf):
     rows = spark.range(5000).select(F.col("id").cast("string").alias("k"))
     pool = assignment.merchant_intervals(spark, 500)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
     drawn = assignment.assign_by_weight(rows, F.col("k"), pool, "m", cells=512)
     assert "ResolvedHint" not in drawn._jdf.queryExecution().analyzed().toString()
-    monkeypatch.undo()
+    shuffled = sorted(drawn.collect())
+    conf(spark__sql__autoBroadcastJoinThreshold="10m")
     small = assignment.assign_by_weight(rows, F.col("k"), pool, "m")
-    assert sorted(drawn.collect()) == sorted(small.collect())
+    assert shuffled == sorted(small.collect())
+
+
+def test_draws_from_dimensions_are_projections(spark):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
+    drawn = rows.withColumn("m", assignment.draw_from_dimension(F.col("k"), dims.PAYMENT_METHOD, "method"))
+    plan = plan_text(drawn)
+    assert "Join" not in plan and "Window" not in plan and "Exchange" not in plan
+    table = assignment.dimension_intervals(spark, dims.PAYMENT_METHOD, "method")
+    joined = assignment.assign_by_weight(rows, F.col("k"), table, "m")
+    assert sorted(drawn.collect()) == sorted(joined.collect())
+    nothing = rows.limit(1).withColumn("k", F.lit(None).cast("string"))
+    assert nothing.select(assignment.draw_from_dimension(F.col("k"), dims.PAYMENT_METHOD, "method")).first()[0] is None
 
 
 def test_rollups_expand_groups_not_rows(transactions):

@@ -29,12 +29,12 @@ def test_latest_arrival_wins_and_ties_do_not_depend_on_order(transactions):
         assert row.device_type == "desktop"
 
 
-@pytest.mark.parametrize("broadcast", [0, 1_000_000])
-def test_both_ways_to_the_latest_version_agree(transactions, tmp_path, monkeypatch, broadcast):
-    monkeypatch.setattr(silver, "BROADCAST_IDS", broadcast)
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_both_ways_to_the_latest_version_agree(transactions, tmp_path, conf, threshold):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
     hot = [at(1 + n % 28, amount=float(n)) for n in range(60)]
     others = [at(15, txn_id=f"TXN-{n % 90:012X}", amount=float(n)) for n in range(120)]
-    table = transactions([*hot, *others, good(txn_id=None)])
+    table = transactions([*hot, *others, good(txn_id=None), good(txn_id=" ")])
     latest = silver.latest_versions(table, str(tmp_path / "ids"))
     expected = silver.latest_per_transaction(table)
     assert sorted(latest.collect(), key=str) == sorted(expected.collect(), key=str)

@@ -157,10 +157,13 @@ def test_copies_in_later_batches_are_dropped(spark, transactions, tmp_path):
             )
         )
 
+    far = good(txn_id="TXN-FAR", arrival_timestamp="2999-01-01T00:00:00.000Z")
+    publish_to_files(transactions([far]), source)
+    run()  # a time inside a message does not move the clock
     publish_to_files(transactions(4), source)
     run()
     publish_to_files(transactions(6), source)
-    publish_to_files(transactions([good(txn_id=None), good(txn_id=None)]), source)
+    publish_to_files(transactions([good(txn_id=None), good(txn_id=" ")]), source)
     run()
     assert spark.read.parquet(out).count() == 6
 
