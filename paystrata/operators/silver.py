@@ -1,12 +1,16 @@
 """Silver: one row per transaction, kept current by upserts.
 
-Silver is a Parquet table partitioned by ``event_date``. Rows without an id (NULL or
+Silver is a Parquet table with a folder per event date; a version file names the
+folders that make up the table. Rows without an id (NULL or
 blank) cannot be addressed by an upsert; the quarantine has them as ``no_id``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+import json
+import uuid
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +31,8 @@ SILVER_SCHEMA = T.StructType(
         T.StructField("event_date", T.DateType()),
     ]
 )
+_VERSIONS = "_versions"
+_NO_DATE = "none"
 _LATEST_FIRST = ("arrival_timestamp", "txn_timestamp")
 
 
@@ -78,8 +84,35 @@ def silver_rows(latest: DataFrame, updated_at: Column | None = None) -> DataFram
     )
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SILVER_SCHEMA).parquet(path)
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    return files.matching(spark, f"{path.rstrip('/')}/{_VERSIONS}/*.json")
+
+
+def _folders(spark: SparkSession, version: str) -> dict[str, str]:
+    """Date (or ``none``) to folder, one record per date."""
+    return json.loads(files.read_text(spark, version))
+
+
+def _read(spark: SparkSession, path: str, folders: Collection[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], SILVER_SCHEMA)
+    return spark.read.schema(SILVER_SCHEMA).parquet(*(f"{path.rstrip('/')}/{name}" for name in sorted(folders)))
+
+
+def read_silver(
+    spark: SparkSession, path: str, dates: Collection[dt.date | None] | None = None
+) -> DataFrame:
+    """The table's newest version, or only some event dates of it.
+
+    A version names its folders, so a reader sees one state of the table even
+    while an upsert runs, and only the folders of the chosen dates are listed.
+    """
+    versions = _versions(spark, path)
+    folders = _folders(spark, versions[-1]) if versions else {}
+    if dates is not None:
+        chosen = {_slot(date) for date in dates}
+        folders = {slot: name for slot, name in folders.items() if slot in chosen}
+    return _read(spark, path, folders.values())
 
 
 def upsert_silver(
@@ -87,102 +120,75 @@ def upsert_silver(
 ) -> None:
     """Merge new transactions into the silver table at ``path`` (runs jobs).
 
-    * Only partitions that receive rows, or hold an older version of a received
-      id, are rewritten. Finding the latter reads ids and dates only.
-    * Existing rows without a new version are copied, not sorted: they only meet
-      the (unique) new ids in a semi and an anti join, which AQE turns into
-      broadcasts when the batch is small.
-    * The result is staged first and then moved in by partition overwrite. A run
-      that dies half-way is finished by the next one, and repeating a batch
-      changes nothing.
-
-    One writer at a time per table.
+    * The batch is evaluated once. Only dates that receive rows, or hold an older
+      version of a received id, are rewritten; finding the latter reads the id and
+      date columns of the table.
+    * Existing rows without a new version are copied where they are read: they only
+      meet the (unique) new ids in a semi and an anti join, which become broadcasts
+      when the batch is small, and are neither sorted nor shuffled for the write.
+    * Changed dates are written once, to new folders, and then named by a new
+      version. A run that dies before that has changed nothing; the next one
+      removes what it left. Repeating a batch changes nothing.
+
+    One writer at a time per table: a version that exists is not replaced. Folders
+    stay until the second upsert after the one that replaced them, for readers.
     """
     spark = txns.sparkSession
-    finish_pending(spark, path)
+    versions = _versions(spark, path)
+    current = _folders(spark, versions[-1]) if versions else {}
+    _remove_unnamed(spark, path, versions)
     scratch = scratch_path(spark, "upsert")
     try:
-        latest = latest_versions(txns, f"{scratch}/repeated")
+        batch = materialized(txns.select(*TRANSACTION_COLUMNS), f"{scratch}/batch")
+        latest = latest_versions(batch, f"{scratch}/repeated")
         incoming = materialized(silver_rows(latest, updated_at), f"{scratch}/incoming")
-        if files.exists(spark, path):
-            _merge(incoming, path)
-        else:
-            _stage_and_apply(incoming, path, emptied_of=[])
+        named = _write_changed(incoming, path, current)
     finally:
         files.delete(spark, scratch)
+    number = int(versions[-1].rsplit("/", 1)[1].removesuffix(".json")) + 1 if versions else 1
+    target = f"{path.rstrip('/')}/{_VERSIONS}/{number:012d}.json"
+    files.write_text(spark, target, json.dumps(named, indent=0), replace=False)
+    for old in versions[:-1]:
+        files.delete(spark, old)
 
 
-def _merge(incoming: DataFrame, path: str) -> None:
-    existing = read_silver(incoming.sparkSession, path)
+def _write_changed(incoming: DataFrame, path: str, current: dict[str, str]) -> dict[str, str]:
+    """Write the changed dates to a new folder; the folders of the next version."""
+    spark = incoming.sparkSession
     ids = incoming.select("txn_id")
+    existing = _read(spark, path, current.values())
     replaced = existing.select("txn_id", "event_date").join(ids, "txn_id", "left_semi")
     # One record per calendar day at most.
-    affected = [
-        row.event_date
+    affected = {
+        _slot(row.event_date)
         for row in replaced.select("event_date")
         .unionByName(incoming.select("event_date"))
         .distinct()
         .collect()
-    ]
-    in_affected = existing.where(_on_dates(affected))
+    }
+    in_affected = _read(spark, path, [name for slot, name in current.items() if slot in affected])
     untouched = in_affected.join(ids, "txn_id", "left_anti")
     contested = in_affected.join(ids, "txn_id", "left_semi").unionByName(incoming)
     winners = latest_per_transaction(contested, tie_breakers=["updated_at"])
-    merged = untouched.select(*SILVER_SCHEMA.names).unionByName(winners)
-    _stage_and_apply(merged, path, emptied_of=affected)
-
-
-def _on_dates(dates: list) -> Column:
-    known = [date for date in dates if date is not None]
-    chosen = F.col("event_date").isin(known) if known else F.lit(False)
-    return chosen | F.col("event_date").isNull() if None in dates else chosen
-
-
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}.pending"
-
-
-def _write_by_date(df: DataFrame, path: str) -> None:
-    """Replace exactly the partitions ``df`` has rows for.
-
-    The rebalance lets AQE size the files: it joins small dates and splits
-    large ones, whatever the skew between dates.
-    """
-    (
-        df.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
-
-
-def _stage_and_apply(merged: DataFrame, path: str, emptied_of: list) -> None:
-    spark, pending = merged.sparkSession, _pending(path)
-    _write_by_date(merged, f"{pending}/rows")
-    present = {
-        row.event_date
-        for row in read_silver(spark, f"{pending}/rows").select("event_date").distinct().collect()
-    }
-    emptied = [_partition_name(date) for date in emptied_of if date not in present]
-    files.write_text(spark, f"{pending}/emptied", "\n".join(emptied))
-    files.write_text(spark, f"{pending}/READY", "")
-    finish_pending(spark, path)
-
-
-def _partition_name(date) -> str:
-    return f"event_date={'__HIVE_DEFAULT_PARTITION__' if date is None else date.isoformat()}"
-
-
-def finish_pending(spark: SparkSession, path: str) -> bool:
-    """Complete a staged upsert, or clear one that was never fully staged."""
-    pending = _pending(path)
-    if not files.exists(spark, pending):
-        return False
-    ready = files.exists(spark, f"{pending}/READY")
-    if ready:
-        _write_by_date(read_silver(spark, f"{pending}/rows"), path)
-        for name in files.read_text(spark, f"{pending}/emptied").split():
-            files.delete(spark, f"{path.rstrip('/')}/{name}")
-    files.delete(spark, pending)
-    return ready
+    merged = untouched.select(*SILVER_SCHEMA.names).unionByName(winners.hint("rebalance", "event_date"))
+    folder = f"data/{uuid.uuid4().hex}"
+    slot = F.coalesce(F.date_format("event_date", "yyyy-MM-dd"), F.lit(_NO_DATE))
+    merged.withColumn("slot", slot).write.partitionBy("slot").parquet(f"{path.rstrip('/')}/{folder}")
+    kept = {slot: name for slot, name in current.items() if slot not in affected}
+    for written in files.matching(spark, f"{path.rstrip('/')}/{folder}/slot=*"):
+        name = written.rsplit("/", 1)[1]
+        kept[name.removeprefix("slot=")] = f"{folder}/{name}"
+    return kept
+
+
+def _slot(date: dt.date | None) -> str:
+    return _NO_DATE if date is None else date.isoformat()
+
+
+def _remove_unnamed(spark: SparkSession, path: str, versions: list[str]) -> None:
+    """Delete folders that neither of the two newest versions names: replaced
+    earlier, or left behind by a run that died."""
+    named = {name for version in versions[-2:] for name in _folders(spark, version).values()}
+    for written in files.matching(spark, f"{path.rstrip('/')}/data/*/slot=*"):
+        if "data/" + "/".join(written.split("/")[-2:]) not in named:
+            files.delete(spark, written)

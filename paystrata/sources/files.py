@@ -22,10 +22,10 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create or replace one small file."""
+def write_text(spark: SparkSession, path: str, text: str, *, replace: bool = True) -> None:
+    """Create one small file; an existing one is replaced, or else an error."""
     target, fs = _path(spark, path)
-    stream = fs.create(target, True)
+    stream = fs.create(target, replace)
     try:
         if text:
             stream.write(bytearray(text, "utf-8"))

@@ -64,10 +64,40 @@ def test_untouched_dates_are_not_rewritten(spark, transactions, tmp_path):
     path = str(tmp_path / "silver")
     other = good(txn_id=B, txn_timestamp="2024-01-03T00:00:00.000Z")
     silver.upsert_silver(transactions([at(15, txn_id=A), other]), path)
-    before = {p.name for p in (tmp_path / "silver/event_date=2024-01-03").iterdir()}
+    before = folders(spark, path)
     silver.upsert_silver(transactions([at(16, txn_id=A)]), path)
-    assert {p.name for p in (tmp_path / "silver/event_date=2024-01-03").iterdir()} == before
+    after = folders(spark, path)
+    assert after["2024-01-03"] == before["2024-01-03"] and after["2024-01-15"] != before["2024-01-15"]
     assert sorted(table(spark, path)) == [A, B]
+    assert silver.read_silver(spark, path, [dt.date(2024, 1, 3)]).first().txn_id == B
+    assert silver.read_silver(spark, path, []).count() == 0
+
+
+def test_copied_rows_are_not_exchanged(spark, transactions, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "silver"), []
+    silver.upsert_silver(transactions(20), path)
+    real = silver.latest_per_transaction
+
+    def watched(df, tie_breakers=()):
+        plans.append(plan_text(df))
+        return real(df, tie_breakers)
+
+    monkeypatch.setattr(silver, "latest_per_transaction", watched)
+    silver.upsert_silver(transactions([at(16, txn_id="TXN-000000000003")]), path)
+    assert "BroadcastHashJoin" in plans[-1] and "Exchange hashpartitioning" not in plans[-1]
+    assert len(table(spark, path)) == 20
+
+
+def test_readers_keep_their_version_during_an_upsert(spark, transactions, tmp_path):
+    path = str(tmp_path / "silver")
+    silver.upsert_silver(transactions([at(15, txn_id=A)]), path)
+    reader = silver.read_silver(spark, path)
+    silver.upsert_silver(transactions([at(16, txn_id=A, amount=9.0)]), path)
+    assert reader.first().amount == 250.5 and table(spark, path)[A].amount == 9.0
+    silver.upsert_silver(transactions([at(17, txn_id=A, amount=8.0)]), path)
+    silver.upsert_silver(transactions([at(18, txn_id=A, amount=7.0)]), path)
+    assert len(list((tmp_path / "silver/data").glob("*/slot=*"))) == 3
+    assert len(list((tmp_path / "silver/_versions").glob("*.json"))) == 2
 
 
 def test_repeating_a_batch_changes_nothing(spark, transactions, tmp_path):
@@ -87,7 +117,7 @@ def test_moved_transaction_leaves_no_old_row(spark, transactions, tmp_path):
     silver.upsert_silver(transactions([moved]), path)
     rows = silver.read_silver(spark, path).collect()
     assert [(r.txn_id, r.event_date) for r in rows] == [(A, dt.date(2024, 1, 11))]
-    assert not (tmp_path / "silver/event_date=2024-01-15").exists()
+    assert list(folders(spark, path)) == ["2024-01-11"]
 
 
 def test_unreadable_event_time_has_its_own_partition(spark, transactions, tmp_path):
@@ -100,36 +130,29 @@ def test_unreadable_event_time_has_its_own_partition(spark, transactions, tmp_pa
     assert [r.event_date for r in rows] == [dt.date(2024, 1, 15)]
 
 
-def test_interrupted_upsert_is_finished_by_the_next(spark, transactions, tmp_path, monkeypatch):
+def test_interrupted_upsert_changes_nothing(spark, transactions, tmp_path, monkeypatch):
     path = str(tmp_path / "silver")
     silver.upsert_silver(transactions([at(15, txn_id=A)]), path)
     with monkeypatch.context() as patch:
-        patch.setattr(silver, "_write_by_date", _fail_on(path, silver._write_by_date))
-        try:
+        patch.setattr(silver.files, "write_text", _lost)
+        with pytest.raises(RuntimeError):
             silver.upsert_silver(transactions([at(16, txn_id=A, amount=9.0)]), path)
-        except RuntimeError:
-            pass
-    assert files.exists(spark, f"{path}.pending/READY")
     assert table(spark, path)[A].amount == 250.5
+    assert len(list((tmp_path / "silver/data").glob("*/slot=*"))) == 2
     silver.upsert_silver(transactions([at(16, txn_id=B)]), path)
-    rows = table(spark, path)
-    assert rows[A].amount == 9.0 and sorted(rows) == [A, B]
-    assert not files.exists(spark, f"{path}.pending")
+    assert sorted(table(spark, path)) == [A, B]
+    assert len(list((tmp_path / "silver/data").glob("*/slot=*"))) == 2
 
 
-def test_half_staged_upsert_is_discarded(spark, transactions, tmp_path):
-    path = str(tmp_path / "silver")
-    silver.upsert_silver(transactions([at(15, txn_id=A)]), path)
-    rows = silver.silver_rows(transactions([at(16, txn_id=A, amount=9.0)]))
-    silver._write_by_date(rows, f"{path}.pending/rows")
-    assert silver.finish_pending(spark, path) is False
-    assert table(spark, path)[A].amount == 250.5
+def test_a_version_is_not_replaced(spark, tmp_path):
+    files.write_text(spark, str(tmp_path / "v.json"), "1", replace=False)
+    with pytest.raises(Exception, match="exist"):
+        files.write_text(spark, str(tmp_path / "v.json"), "2", replace=False)
+
 
+def _lost(*_, **__):
+    raise RuntimeError("driver lost")
 
-def _fail_on(path, write):
-    def attempt(df, target):
-        if target == path:
-            raise RuntimeError("driver lost")
-        write(df, target)
 
-    return attempt
+def folders(spark, path):
+    return silver._folders(spark, silver._versions(spark, path)[-1])
