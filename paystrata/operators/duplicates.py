@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds at least this share of all rows and at least this
-# many rows. The share alone bounds the number of hot keys: 10,000.
+# Unless stated otherwise, a key is hot when it holds at least this share of all
+# rows and at least this many rows. The share alone bounds the number of hot keys:
+# 10,000. Both ways give the same rows.
 HOT_SHARE = 1 / 10_000
 HOT_ROWS = 100_000
 
@@ -18,12 +19,12 @@ def group_sizes(df: DataFrame, key: str = "txn_id") -> DataFrame:
     return present.groupBy(key).agg(F.count(F.lit(1)).alias("group_size"))
 
 
-def _with_group_size(df: DataFrame, key: str) -> DataFrame:
+def _with_group_size(df: DataFrame, key: str, hot_share: float, hot_rows: int) -> DataFrame:
     """Attach ``group_size`` (NULL where the key occurs once or is NULL).
 
     A window over the key would put a whole group into one task, and so would a
     plain join with the counted groups. Hot keys are therefore looked up in a
-    broadcast table, which the hot share bounds at 10,000 records whatever the
+    broadcast table, which the hot share bounds (1/share records) whatever the
     size of the data. Only the other repeated keys are joined by key, and in that
     join the hot and the NULL-keyed rows, which have no partner there, are
     scattered by the task that read them. AQE turns that join into a broadcast
@@ -31,7 +32,7 @@ def _with_group_size(df: DataFrame, key: str) -> DataFrame:
     """
     sizes = group_sizes(df, key).where(F.col("group_size") > 1)
     rows = df.agg(F.count(F.lit(1))).scalar()
-    is_hot = F.col("group_size") >= F.greatest(rows * F.lit(HOT_SHARE), F.lit(float(HOT_ROWS)))
+    is_hot = F.col("group_size") >= F.greatest(rows * F.lit(hot_share), F.lit(float(hot_rows)))
     hot = sizes.where(is_hot).select(key, F.col("group_size").alias("_hot_size"))
     by_key = F.xxhash64(key)
     cold = sizes.where(~is_hot).select(
@@ -49,12 +50,17 @@ def _with_group_size(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, key: str = "txn_id") -> DataFrame:
+def duplicate_rows(
+    df: DataFrame, key: str = "txn_id", *, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """All members of every duplicate group, with ``group_size``."""
-    return _with_group_size(df, key).where(F.col("group_size").isNotNull())
+    sized = _with_group_size(df, key, hot_share, hot_rows)
+    return sized.where(F.col("group_size").isNotNull())
 
 
-def mark_duplicates(df: DataFrame, key: str = "txn_id") -> DataFrame:
+def mark_duplicates(
+    df: DataFrame, key: str = "txn_id", *, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Every row of ``df`` with ``is_duplicate``; NULL keys are never duplicates."""
-    marked = _with_group_size(df, key)
+    marked = _with_group_size(df, key, hot_share, hot_rows)
     return marked.select(*df.columns, F.col("group_size").isNotNull().alias("is_duplicate"))

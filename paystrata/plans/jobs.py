@@ -1,24 +1,36 @@
-"""Command-line jobs: the bronze stream and the quality gate.
+"""Command-line jobs, one per layer. ``--help`` lists each job's options.
 
     spark-submit … -m paystrata.plans.jobs bronze --bootstrap HOST:PORT \\
         --root URI --checkpoint URI
     spark-submit … -m paystrata.plans.jobs gate --root URI --reports URI --date YYYY-MM-DD
+    spark-submit … -m paystrata.plans.jobs gate --root URI --reports URI --all-days
+    spark-submit … -m paystrata.plans.jobs silver --root URI --silver URI --date YYYY-MM-DD
+    spark-submit … -m paystrata.plans.jobs gold --silver URI --gold URI
+
+Each returns 0, or 1 if the stream failed, a day did not pass or was not published.
+Logging is left to the caller's configuration.
 """
 
 from __future__ import annotations
 
 import argparse
-import logging
+import signal
 import sys
+import threading
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from paystrata.plans.gate import run_gate
+from paystrata.operators import gold, parse, silver
+from paystrata.plans import gate
 from paystrata.session import engine_session, object_store_conf
 from paystrata.sources.envelopes import DEFAULT_TOPIC, stream_from_kafka
 from paystrata.streaming.bronze import start_bronze_batches, start_bronze_files
 from paystrata.streaming.triggers import TRIGGER_INTERVAL
 
+_POLL_SECONDS = 1.0
+
 
 def _session(args: argparse.Namespace) -> SparkSession:
     store = object_store_conf(args.s3_region) if args.s3_region else {}
@@ -27,11 +39,26 @@ def _session(args: argparse.Namespace) -> SparkSession:
     )
 
 
+def follow(query: StreamingQuery, stop: threading.Event) -> int:
+    """Stay with a stream until it ends or ``stop`` is set; 1 if it failed.
+
+    A stop waits until the running micro-batch is written, so that the next start
+    has nothing to repeat.
+    """
+    try:
+        while not (stop.is_set() or query.awaitTermination(_POLL_SECONDS)):
+            pass
+        while query.isActive and query.status["isTriggerActive"]:
+            query.awaitTermination(_POLL_SECONDS)
+    except StreamingQueryException:
+        return 1
+    query.stop()
+    return 0 if query.exception() is None else 1
+
+
 def bronze(args: argparse.Namespace) -> int:
-    spark = _session(args)
-    spark.sparkContext.setLogLevel("WARN")
     envelopes = stream_from_kafka(
-        spark,
+        _session(args),
         args.bootstrap,
         topic=args.topic,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
@@ -44,48 +71,68 @@ def bronze(args: argparse.Namespace) -> int:
         query = start_bronze_batches(
             envelopes, args.root, args.checkpoint, quarantine=args.quarantine, **options
         )
-    try:
-        query.awaitTermination()
-    except KeyboardInterrupt:
-        query.stop()
-        spark.stop()
+    stop = threading.Event()
+    for number in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(number, lambda *_: stop.set())
+    return follow(query, stop)
+
+
+def check(args: argparse.Namespace) -> int:
+    spark = _session(args)
+    if not args.all_days:
+        return 0 if gate.run_gate(spark, args.root, args.date, args.reports) else 1
+    status = gate.run_gate_for_all_days(spark, args.root, args.reports)
+    return 0 if status.where("NOT success").isEmpty() else 1
+
+
+def to_silver(args: argparse.Namespace) -> int:
+    """Upsert a published day. What is left out is in the quarantine."""
+    spark = _session(args)
+    day = gate.read_if_published(spark, args.root, args.date)
+    if day is None:
+        return 1
+    silver.upsert_silver(parse.addressable(day), args.silver)
     return 0
 
 
-def gate(args: argparse.Namespace) -> int:
-    return 0 if run_gate(_session(args), args.root, args.date, args.reports) else 1
+def to_gold(args: argparse.Namespace) -> int:
+    """Write the route cube of the whole silver table."""
+    rows = silver.read_silver(_session(args), args.silver)
+    gold.route_cube(rows).write.mode("overwrite").parquet(args.gold)
+    return 0
 
 
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="paystrata")
     jobs = root.add_subparsers(dest="job", required=True)
 
-    stream = jobs.add_parser("bronze", help="topic to hourly-partitioned Parquet")
-    stream.add_argument("--bootstrap", required=True)
+    def job(name: str, run, about: str, *required: str) -> argparse.ArgumentParser:
+        added = jobs.add_parser(name, help=about)
+        for option in required:
+            added.add_argument(f"--{option}", required=True)
+        added.add_argument("--s3-region", help="region of an s3a:// root")
+        added.add_argument("--shuffle-partitions", type=int)
+        added.set_defaults(run=run)
+        return added
+
+    stream = job("bronze", bronze, "topic to hourly-partitioned Parquet", "bootstrap", "root", "checkpoint")
     stream.add_argument("--topic", default=DEFAULT_TOPIC)
-    stream.add_argument("--root", required=True)
-    stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--quarantine")
     stream.add_argument("--interval", default=TRIGGER_INTERVAL)
     stream.add_argument("--files-per-partition", type=int)
     stream.add_argument("--max-offsets-per-trigger", type=int)
     stream.add_argument("--min-partitions", type=int)
-    stream.set_defaults(run=bronze)
 
-    check = jobs.add_parser("gate", help="validate one arrival day")
-    check.add_argument("--root", required=True)
-    check.add_argument("--reports", required=True)
-    check.add_argument("--date", required=True)
-    check.set_defaults(run=gate)
+    days = job("gate", check, "validate arrival days", "root", "reports").add_mutually_exclusive_group(required=True)
+    days.add_argument("--date")
+    days.add_argument("--all-days", action="store_true")
 
-    for job in (stream, check):
-        job.add_argument("--s3-region", help="region of an s3a:// root")
-        job.add_argument("--shuffle-partitions", type=int)
+    job("silver", to_silver, "upsert a published day", "root", "silver", "date")
+    job("gold", to_gold, "roll silver up by route", "silver", "gold")
     return root
 
 
 def main(argv: list[str] | None = None) -> int:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     args = parser().parse_args(argv)
     return args.run(args)
 

@@ -536,6 +536,11 @@ def statements() -> dict[str, str]:
             "count(*) OVER (PARTITION BY txn_id) AS group_size FROM doubled WHERE txn_id IS NOT NULL) "
             "WHERE group_size > 1"
         ),
+        "duplicate_rows_hot": (
+            f"WITH {TXNS}, hot AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 'TXN-HOT' ELSE txn_id END AS txn_id) "
+            f"FROM txns) SELECT * FROM (SELECT {COLUMNS}, count(*) OVER (PARTITION BY txn_id) AS group_size FROM hot) "
+            "WHERE group_size > 1"
+        ),
         "duplicate_marks": (
             f"WITH {DOUBLED} SELECT txn_id, arrival_timestamp, "
             "count(*) OVER (PARTITION BY txn_id) > 1 AND txn_id IS NOT NULL AS is_duplicate FROM doubled"
@@ -594,6 +599,10 @@ def statements() -> dict[str, str]:
             f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM txns "
             f"WHERE event_id % 100 = 0 UNION ALL SELECT * FROM versions) {latest('everything')}"
         ),
+        "silver_dedupe_ranked": (
+            f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM txns "
+            f"WHERE event_id % 100 = 0 UNION ALL SELECT * FROM versions) {latest('everything')}"
+        ),
         "silver_upsert": (
             f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM versions), "
             f"kept AS ({latest('everything')}) "

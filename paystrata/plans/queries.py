@@ -375,6 +375,16 @@ def duplicate_rows(spark, folder):
     return duplicates.duplicate_rows(doubled(spark, folder))
 
 
+@query
+def duplicate_rows_hot(spark, folder):
+    """A third of all rows under one id, looked up in the broadcast table."""
+    txns = read_transactions(spark, folder, keep=("event_id",))
+    one = F.when(F.col("event_id") % 3 == 0, "TXN-HOT").otherwise(F.col("txn_id"))
+    return duplicates.duplicate_rows(
+        txns.withColumn("txn_id", one).drop("event_id"), hot_share=0.01, hot_rows=100
+    )
+
+
 @query
 def duplicate_marks(spark, folder):
     marked = duplicates.mark_duplicates(doubled(spark, folder))
@@ -603,6 +613,14 @@ def merchant_assignment(spark, folder):
 
 @query
 def silver_dedupe(spark, folder):
+    """Repeated ids first; only the rows that compete are ranked."""
+    rows = doubled(spark, folder).unionByName(versions(spark, folder))
+    return silver.latest_versions(rows, scratch_path(spark, "repeated"))
+
+
+@query
+def silver_dedupe_ranked(spark, folder):
+    """Every row ranked."""
     rows = doubled(spark, folder).unionByName(versions(spark, folder))
     return silver.latest_per_transaction(rows)
 
@@ -710,17 +728,23 @@ def stream_dedupe(spark, folder):
 
 @query
 def stream_rates(spark, folder):
-    """Running totals over two deliveries, resumed in between."""
-    inbox, path, checkpoint = _places(spark, "inbox", "totals", "checkpoint")
-    for delivery in in_two_deliveries(spark, folder):
-        publish_to_files(delivery, inbox)
+    """Running totals over two deliveries, resumed in between, and then anew from a
+    fresh checkpoint, which starts at zero and ends at the same totals."""
+    inbox, path, checkpoint, fresh = _places(spark, "inbox", "totals", "checkpoint", "checkpoint")
+
+    def run(place: str) -> None:
         metrics_stream.start_totals(
             parse.parse_transactions(stream_from_files(spark, inbox)),
             path,
-            checkpoint,
+            place,
             available_now=True,
         ).awaitTermination()
-    return metrics_stream.latest_totals(spark.read.parquet(path))
+
+    for delivery in in_two_deliveries(spark, folder):
+        publish_to_files(delivery, inbox)
+        run(checkpoint)
+    run(fresh)
+    return metrics_stream.latest_totals(metrics_stream.read_totals(spark, path))
 
 
 def _places(spark, *labels):

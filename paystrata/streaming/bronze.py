@@ -101,25 +101,22 @@ def write_bronze_batch(
     """Write one micro-batch of envelopes; returns its counts.
 
     The counts are observed while the rows are written, for logs and metrics;
-    a retried task may be counted again. With a quarantine the parsed rows are
-    persisted, so that the messages are read and parsed once.
+    a retried task may be counted again. Nothing is persisted: messages are read
+    and parsed once, and once more for the quarantine if the first pass has seen
+    any that belong there.
     """
     require_writer(batch.sparkSession, root, commit_log=False)
     counts = Observation()
     diagnosed = parse_with_diagnosis(batch)
-    if quarantine is not None:
-        diagnosed = diagnosed.persist()
-    try:
-        rows = bronze_rows(diagnosed).observe(counts, *_counts())
-        if files_per_partition is not None:
-            rows = cluster_for_write(rows, PARTITION_COLUMNS, files_per_partition)
-        _overwrite_batch(rows, batch_tag, root, PARTITION_COLUMNS)
-        if quarantine is not None:
-            _overwrite_batch(quarantined(diagnosed), batch_tag, quarantine, ())
-    finally:
-        if quarantine is not None:
-            diagnosed.unpersist()
-    return counts.get
+    unsound = F.count_if(F.col("reason").isNotNull()).alias("unsound")
+    rows = bronze_rows(diagnosed.observe(counts, *_counts(), unsound))
+    if files_per_partition is not None:
+        rows = cluster_for_write(rows, PARTITION_COLUMNS, files_per_partition)
+    _overwrite_batch(rows, batch_tag, root, PARTITION_COLUMNS)
+    seen = counts.get
+    if quarantine is not None and seen["unsound"]:
+        _overwrite_batch(quarantined(diagnosed), batch_tag, quarantine, ())
+    return seen
 
 
 def _overwrite_batch(df: DataFrame, batch_tag: str, path: str, partitions) -> None:

@@ -1,14 +1,19 @@
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from paystrata import session
-from paystrata.operators.parse import to_bronze
+from paystrata.operators.parse import parse_transactions, to_bronze
+from paystrata.operators.silver import read_silver
 from paystrata.plans import jobs
 from paystrata.sinks import envelopes as sink
 from paystrata.sinks.bronze import append_bronze
+from paystrata.sinks.envelopes import publish_to_files
 from paystrata.sources import envelopes as source
+from paystrata.sources.envelopes import stream_from_files
 
 
 def test_kafka_source_options():
@@ -86,7 +91,10 @@ def test_command_line():
     )
     assert (args.run, args.interval, args.files_per_partition) == (jobs.bronze, "30 seconds", 4)
     args = jobs.parser().parse_args(["gate", "--root", "r", "--reports", "q", "--date", "2024-01-15"])
-    assert args.run is jobs.gate
+    assert args.run is jobs.check
+    assert jobs.parser().parse_args(["gate", "--root", "r", "--reports", "q", "--all-days"]).all_days
+    with pytest.raises(SystemExit):
+        jobs.parser().parse_args(["gate", "--root", "r", "--reports", "q"])
     assert args.s3_region is None and args.shuffle_partitions is None
 
 
@@ -95,5 +103,25 @@ def test_gate_job(spark, transactions, tmp_path):
     append_bronze(to_bronze(transactions(2)), root)
     arguments = ["gate", "--root", root, "--reports", reports, "--date", "2024-01-15"]
     assert jobs.main(arguments) == 0
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    to_silver = ["silver", "--root", root, "--silver", silver, "--date", "2024-01-15"]
+    assert jobs.main(to_silver) == 0 and read_silver(spark, silver).count() == 2
+    assert jobs.main(["gold", "--silver", silver, "--gold", gold]) == 0
+    assert spark.read.parquet(gold).where("grouping_level = 7").first().n_txns == 2
     append_bronze(to_bronze(transactions(1)), root, rebalance=False)
     assert jobs.main(arguments) == 1
+    assert jobs.main(to_silver) == 1
+    assert jobs.main(["gate", "--root", root, "--reports", reports, "--all-days"]) == 1
+
+
+def test_stream_job_stops_after_its_batch_and_reports_failure(spark, transactions, tmp_path):
+    inbox = str(tmp_path / "in")
+    publish_to_files(transactions(3), inbox)
+    stream = parse_transactions(stream_from_files(spark, inbox))
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "a")).start()
+    stop = threading.Event()
+    threading.Timer(3, stop.set).start()
+    assert jobs.follow(query, stop) == 0 and not query.isActive
+    broken = stream.select(F.raise_error(F.lit("broken")).alias("x"))
+    query = broken.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "b")).start()
+    assert jobs.follow(query, threading.Event()) == 1

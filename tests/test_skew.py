@@ -34,7 +34,7 @@ def rows_per_task(df, condition) -> list[int]:
     return [row["count"] for row in placed.collect()]
 
 
-def test_hot_duplicates_are_spread_over_tasks(spark, conf, tmp_path, monkeypatch):
+def test_hot_duplicates_are_spread_over_tasks(spark, conf, tmp_path):
     path = str(tmp_path / "t")
     skewed(spark).write.parquet(path)
     conf(
@@ -43,16 +43,15 @@ def test_hot_duplicates_are_spread_over_tasks(spark, conf, tmp_path, monkeypatch
         spark__sql__files__maxPartitionBytes="100000",
         spark__sql__files__openCostInBytes="1000",
     )
-    monkeypatch.setattr(duplicates, "HOT_ROWS", 100)
     table = spark.read.parquet(path)
-    found = duplicates.duplicate_rows(table)
+    found = duplicates.duplicate_rows(table, hot_rows=100)
     plan = plan_text(found)
     # Hot keys are broadcast, the others meet in a shuffled join.
     assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
     assert found.groupBy("txn_id", "group_size").count().collect() == [("hot", 10_000, 10_000)]
     loads = rows_per_task(found, "txn_id = 'hot'")
     assert sum(loads) == 10_000 and max(loads) < 5_000
-    marked = duplicates.mark_duplicates(table)
+    marked = duplicates.mark_duplicates(table, hot_rows=100)
     assert Counter(r.is_duplicate for r in marked.collect()) == {True: 10_000, False: 20_000}
 
 
@@ -60,15 +59,14 @@ def test_the_number_of_hot_keys_is_bounded():
     assert 1 / duplicates.HOT_SHARE == 10_000
 
 
-def test_hot_and_cold_groups_give_the_same_answer(spark, monkeypatch):
+def test_hot_and_cold_groups_give_the_same_answer(spark):
     rows = spark.range(0, 2000, numPartitions=6).select(
         F.when(F.col("id") % 10 > 0, F.sqrt("id").cast("int").cast("string")).alias("txn_id"), "id"
     )
     sizes = Counter(r.txn_id for r in rows.collect())
     expected = sorted((r.id, sizes[r.txn_id]) for r in rows.collect() if r.txn_id and sizes[r.txn_id] > 1)
     for hot_rows in (1, 20, 10**9):  # all groups hot, some, none
-        monkeypatch.setattr(duplicates, "HOT_ROWS", hot_rows)
-        found = duplicates.duplicate_rows(rows)
+        found = duplicates.duplicate_rows(rows, hot_rows=hot_rows)
         assert sorted((r.id, r.group_size) for r in found.collect()) == expected
 
 

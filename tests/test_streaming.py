@@ -17,7 +17,7 @@ from paystrata.streaming.bronze import (
     write_bronze_batch,
 )
 from paystrata.streaming.dedupe import deduplicate_stream, start_append
-from paystrata.streaming.metrics import latest_totals, start_totals
+from paystrata.streaming.metrics import latest_totals, read_totals, start_totals
 
 
 def drain(query):
@@ -85,7 +85,7 @@ def test_batches_report_counts_and_fill_the_quarantine(spark, transactions, tmp_
             on_batch=lambda number, counts: seen.append((number, counts)),
         )
     )
-    assert seen == [(0, {"rows": 9, "unroutable": 2})]
+    assert seen == [(0, {"rows": 9, "unroutable": 2, "unsound": 2})]
     assert read_bronze(spark, root).count() == 9
     quarantine = spark.read.parquet(side)
     assert sorted(r.reason for r in quarantine.collect()) == ["malformed_json", "no_fields"]
@@ -97,7 +97,7 @@ def test_replayed_batch_leaves_one_copy(spark, transactions, tmp_path):
     batch = parse.encode_envelopes(transactions([good(), good(arrival_timestamp="x")]))
     for _ in range(2):
         counts = write_bronze_batch(batch, "q-0", root, quarantine=side)
-    assert counts == {"rows": 2, "unroutable": 1}
+    assert counts == {"rows": 2, "unroutable": 1, "unsound": 1}
     assert read_bronze(spark, root).count() == 2
     assert spark.read.parquet(side).count() == 1
     write_bronze_batch(batch, "q-1", root, quarantine=side)
@@ -180,11 +180,18 @@ def test_totals_accumulate_over_triggers(spark, transactions, tmp_path):
     late = good(status="FAILED", txn_timestamp="2024-01-12T00:00:00.000Z")
     publish_to_files(transactions([late]), source)
     run()
-    history = spark.read.parquet(out)
-    assert history.agg(F.max("published")).first()[0] == 4
-    newest = latest_totals(history).first()
+    recorded = read_totals(spark, out)
+    assert [r.published for r in recorded.collect()] == [4]  # one record however many triggers
+    newest = latest_totals(recorded).first()
     assert (newest.published, newest.failed, newest.late) == (4, 1, 1)
     assert (newest.failure_rate, newest.late_rate) == (25.0, 25.0)
+    # A stream over two messages with a checkpoint of its own counts two.
+    other = str(tmp_path / "other")
+    publish_to_files(transactions(2), other)
+    stream = parse.parse_transactions(stream_from_files(spark, other))
+    drain(start_totals(stream, out, str(tmp_path / "ck2"), available_now=True))
+    assert latest_totals(read_totals(spark, out)).first().published == 2
+    assert sorted(r.published for r in read_totals(spark, out).collect()) == [2, 4]
 
 
 def test_the_two_kinds_of_writers_are_not_mixed(spark, transactions, tmp_path):
