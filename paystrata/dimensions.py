@@ -154,9 +154,8 @@ HOUR_WEIGHT = Dimension(
 )
 # A card payment may also settle through this processor besides its mapped one.
 CARD_ALTERNATIVE = ("CARD", "PRC-003")
-# Sizes of the simulated pools, for the rank weights.
+# Size of the simulated pool of merchants, for the rank weights.
 MERCHANT_POOL_SIZE = 1000
-USER_POOL_SIZE = 10000
 
 DIMENSIONS = {
     dim.name: dim
