@@ -169,36 +169,39 @@ def _members(index: DataFrame, percent: int, short_list: int) -> DataFrame:
     """
     # Most tokens have one set only. Reduced on the map side, so a frequent token is
     # one row per task; the join that follows splits a hot token if need be.
-    several = index.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    several = index.groupBy("token").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("sets")
+    )
+    # Lists are stored in pieces of bounded length, without another shuffle. Copies
+    # of a text count in ``sets``, so a list may be taken for long too early.
+    piece = F.when(F.col("sets") <= short_list, 0).otherwise(F.pmod(F.xxhash64("node"), F.ceil(F.col("sets") / short_list)))
     lists = written(
-        index.join(several.where("low <> high").select("token"), "token").distinct(), "shingle-lists"
+        index.join(several.where("low <> high").select("token", "sets"), "token")
+        .groupBy("token", piece.alias("piece"))
+        .agg(F.first("sets").alias("sets"), F.collect_set(F.struct("node", "size")).alias("members")),
+        "shingle-lists",
     )
-    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
-    rows = lists.join(sizes, "token")
-
-    short = rows.where(F.col("sets") <= short_list)
-    x, y = short.alias("x"), short.alias("y")
-    least = F.least("x.size", "y.size")
-    most = F.greatest("x.size", "y.size")
-    alike = (F.col("x.node") < F.col("y.node")) & (least * 100 >= most * percent)
-    pairs = (
-        x.join(y, (F.col("x.token") == F.col("y.token")) & alike)
-        .groupBy(F.col("x.node").alias("pivot"), F.col("y.node").alias("node"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(least).alias("small"), F.min(most).alias("large"))
+
+    # At most short_list sets each, so their pairs are few.
+    one = lists.where(F.col("sets") <= short_list).select("members", F.explode("members").alias("x"))
+    pairs = one.select("x", F.explode("members").alias("y")).select(
+        F.col("x.node").alias("pivot"), F.col("y.node").alias("node"),
+        F.least("x.size", "y.size").alias("small"), F.greatest("x.size", "y.size").alias("large"),
     )
+    alike = (F.col("pivot") < F.col("node")) & (F.col("small") * 100 >= F.col("large") * percent)
     # Shared shingles outside the prefixes are at most the rest of a set, so the
-    # prefixes must share the others; those in long lists are not in ``shared``.
-    long_ = rows.where(F.col("sets") > short_list)
-    more = written(long_.groupBy("node").agg(F.count(F.lit(1)).alias("more")), "long-list-sets")
-    total = F.col("small") + F.col("large")
-    overlap = F.ceil(total * percent / (100 + percent) - F.lit(1e-9))
+    # prefixes must share the others. Two sets that also share a long list meet in
+    # its group, whatever their number here says.
+    overlap = F.ceil((F.col("small") + F.col("large")) * percent / (100 + percent) - F.lit(1e-9))
     rest = F.ceil(F.col("large") * percent / 100 - F.lit(1e-9)) - 1
     possible = (
-        pairs.join(more.select(F.col("node").alias("pivot"), F.col("more").alias("more_x")), "pivot", "left")
-        .join(more.select("node", F.col("more").alias("more_y")), "node", "left")
-        .where(F.col("shared") + F.least(F.coalesce("more_x", F.lit(0)), F.coalesce("more_y", F.lit(0))) + rest >= overlap)
+        pairs.where(alike)
+        .groupBy("pivot", "node", "small", "large")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .where(F.col("shared") + rest >= overlap)
         .select("pivot", "node")
     )
+    long_ = lists.where(F.col("sets") > short_list).select("token", F.inline("members"))
     size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-6)
     cut = long_.select("token", "node", size_class.alias("class"))
     pivots = cut.groupBy("token", "class").agg(F.min("node").alias("pivot"))
@@ -245,10 +248,11 @@ class _Group:
 
 
 def _resolve(words: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, with_pivot) per set of a group; the pivot's own text comes first.
+    """(a, b, linked, text) per set of a group.
 
     In a whole group, b is the smallest set that a is connected with. In a block of
-    a large group, b is the pivot and with_pivot says whether the two link.
+    a large group, b is the pivot, ``linked`` says whether the two link, and the text
+    goes along for the comparisons to come.
     """
     shingler = Shingler(words)
     for group in groups(batches, "pivot", "block"):
@@ -264,6 +268,7 @@ def _resolve(words: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Ite
         first = compared.pivot_links()
         if not whole:
             a, b, linked = nodes[1:], np.full(len(nodes) - 1, pivot), first[1:]
+            kept = pa.array([texts[i] for i in order[1:]], pa.string())
         else:
             # Sets that link with the pivot are connected; only the others are compared.
             others = np.flatnonzero(~first)
@@ -275,7 +280,10 @@ def _resolve(words: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Ite
             root = smallest_reachable(nodes, np.concatenate([i, near]), np.concatenate([j, np.zeros(len(near), int)]))
             apart = root != nodes
             a, b, linked = nodes[apart], root[apart], np.ones(int(apart.sum()), bool)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(linked)], names=["a", "b", "linked"])
+            kept = pa.nulls(len(a), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b), pa.array(linked), kept], names=["a", "b", "linked", "text"]
+        )
 
 
 def _across(words: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,30 +318,32 @@ def _links(texts: DataFrame, members: DataFrame, words: int, percent: int, group
     keys = ("pivot", "block")
     together = rows.repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
     resolved = written(
-        together.mapInArrow(lambda it: _resolve(words, percent, it), "a long, b long, linked boolean"), "group-links"
+        together.mapInArrow(lambda it: _resolve(words, percent, it), "a long, b long, linked boolean, text string"),
+        "group-links",
     )
     links = resolved.where("linked").select("a", "b")
     if not sizes.where("blocks > 0").head(1):
         return links
     # Large groups: the sets that do not link with the pivot against all others.
-    apart = resolved.where("NOT linked").select(F.col("b").alias("pivot"), F.col("a").alias("node"))
+    large = resolved.where("text IS NOT NULL").select(F.col("b").alias("pivot"), F.col("a").alias("node"), "linked", "text")
+    apart = large.where("NOT linked")
     rest = written(
         apart.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) * 2 / group_sets).cast("int").alias("lefts")), "groups-apart"
     )
-    large = members.join(sizes.where("blocks > 0"), "pivot").join(rest, "pivot")
     left = (
         apart.join(rest, "pivot").join(sizes, "pivot")
         .withColumn("left", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int"))
         .withColumn("right", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("pivot", "left", "right", "node", F.lit(True).alias("probe"))
+        .select("pivot", "left", "right", "node", "text", F.lit(True).alias("probe"))
     )
     right = (
-        large.withColumn("right", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        large.join(rest, "pivot").join(sizes, "pivot")
+        .withColumn("right", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("left", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
-        .select("pivot", "left", "right", "node", F.lit(False).alias("probe"))
+        .select("pivot", "left", "right", "node", "text", F.lit(False).alias("probe"))
     )
     keys = ("pivot", "left", "right")
-    both = left.union(right).join(texts, "node").repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
+    both = left.union(right).repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
     return links.union(both.mapInArrow(lambda it: _across(words, percent, it), "a long, b long"))
 
 
@@ -368,10 +378,9 @@ def similar_sets(
             break
     key = node_key(F.col("text"), word)
     members = _members(_index(docs, key, words, percent, levels), percent, short_list)
-    # One text per node; copies are reduced on the map side.
-    wanted = members.select("node").union(members.select("pivot")).distinct()
+    # One text per node; copies are reduced on the map side, and the groups join them
+    # where this one shuffle of the texts has put them.
     texts = docs.groupBy(key.alias("node")).agg(F.first("text").alias("text"))
-    texts = written(texts.join(wanted, "node", "left_semi"), "group-texts")
     roots = connected_components(_links(texts, members, words, percent, group_sets))
     labelled = (
         nodes.where("n > 0").select("node", "smallest").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
