@@ -186,7 +186,12 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> Mach
         .limit(rows)
     )
     # ``rows`` bounds the sample, so it may be broadcast.
-    labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    labelled = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("quality").alias("quality"))
+    )
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         featurize = Featurizer()
@@ -202,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> Mach
             )
 
     found = labelled.mapInPandas(features, "doc_id long, quality int, index binary, values binary").toPandas()
-    found = found.sort_values(["doc_id", "index", "values"]).drop_duplicates().head(2 * rows)
+    found = found.sort_values("doc_id")
     vectors = [
         (np.frombuffer(i, np.int32), np.frombuffer(v, np.float32)) for i, v in zip(found["index"], found["values"])
     ]
