@@ -99,8 +99,10 @@ class Lattice:
         return out
 
 
-def _unit(blobs: list[bytes]) -> np.ndarray:
-    rows = np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), -1)
+def _unit(blobs: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors in double precision; tiny and huge ones keep their direction."""
+    rows = np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), -1).astype(np.float64)
+    rows /= np.abs(rows).max(1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -121,7 +123,7 @@ def _first_here(codes: np.ndarray, i: np.ndarray, j: np.ndarray, ids: np.ndarray
     return here & ~earlier
 
 
-def _counted(lattice: Lattice, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(lattice: Lattice, least: float, kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each vector of a cell that has links: their number (if first met here) and one connection."""
     out: list[tuple[np.ndarray, ...]] = []
     for rows in groups(batches, "t", "cell", "left", "right"):
@@ -129,7 +131,7 @@ def _counted(lattice: Lattice, least: float, batches: Iterator[pa.RecordBatch])
             continue
         table, cell, left, right = (rows.column(k)[0].as_py() for k in ("t", "cell", "left", "right"))
         ids, own, chunk, copies = (rows.column(k).to_numpy() for k in ("class", "own", "chunk", "copies"))
-        unit = _unit(rows.column("vector").to_pylist())
+        unit = _unit(rows.column("vector").to_pylist(), kind)
         # At least one of a pair is a member; blocks off the diagonal compare across.
         cosine = unit @ unit.T
         linked = np.triu(cosine >= least, 1) & (own[:, None] | own[None, :])
@@ -187,6 +189,9 @@ def near_duplicates(
         "vector-classes",
     )
 
+    # Vectors travel in the precision they came in; all arithmetic is in doubles.
+    single = dict(vectors.dtypes)[embedding] == "array<float>"
+    kind = "<f4" if single else "<f8"
     placed_schema = "t int, cell long, class long, own boolean, copies long, vector binary"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,11 +203,9 @@ def near_duplicates(
             ids, copies = batch.column("class").to_numpy(), batch.column("copies").to_numpy()
             for size in np.unique(sizes):
                 mine = np.flatnonzero(sizes == size)
-                values = np.ascontiguousarray(flat[starts[mine][:, None] + np.arange(size)], "<f8")
-                # Tiny and huge vectors keep their direction.
-                values /= np.abs(values).max(1, keepdims=True)
-                cells = lattice.cells(values / np.linalg.norm(values, axis=1, keepdims=True))
+                values = np.ascontiguousarray(flat[starts[mine][:, None] + np.arange(size)], kind)
                 blobs = [v.tobytes() for v in values]
+                cells = lattice.cells(_unit(blobs, kind))
                 for t in range(lattice.tables):
                     for k in range(1 + lattice.neighbours):
                         n = len(mine)
@@ -239,7 +242,7 @@ def near_duplicates(
     keys = ("t", "cell", "left", "right")
     met = gridded.repartition(shuffle_width(vectors.sparkSession), *keys).sortWithinPartitions(*keys)
     counted = written(
-        met.mapInArrow(lambda it: _counted(lattice, least, it), "class long, links long, root long"), "vector-links"
+        met.mapInArrow(lambda it: _counted(lattice, least, kind, it), "class long, links long, root long"), "vector-links"
     )
     links = counted.groupBy("class").agg(F.sum("links").alias("links"))
     roots = connected_components(counted, "class", "root")
