@@ -90,7 +90,12 @@ def draw_from_dimension(
     uppers[-1] = 1.0  # so that every row finds a value
     bounds = F.array(*(F.struct(F.lit(u).alias("upper"), F.lit(r[value]).alias("value")) for u, r in zip(uppers, rows)))
     number = unit_interval(key)
-    return F.get(F.filter(bounds, lambda bound: number < bound["upper"]), F.lit(0))["value"]
+
+    def pick(drawn: Column) -> Column:
+        return F.get(F.filter(bounds, lambda bound: drawn < bound["upper"]), F.lit(0))["value"]
+
+    # As a lambda's variable the number is computed once, not once per bound.
+    return F.get(F.transform(F.array(number), pick), F.lit(0))
 
 
 def dimension_intervals(spark: SparkSession, dim: dims.Dimension, key: str) -> Intervals:
