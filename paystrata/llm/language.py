@@ -1,9 +1,10 @@
 """Language identification: known words first, then shorter and shorter n-grams.
 
 Training counts every letter run of every training text per language, as a word
-and by its character n-grams, in hashed tables of fixed size. A text's words are
-scored by their log frequency in each language; a word never seen falls back to
-its longest character n-grams that were.
+and by its character n-grams, exactly: one entry per distinct word or n-gram, so
+the model grows with the vocabulary. A text's words are scored by their log
+frequency in each language; a word never seen falls back to its longest character
+n-grams that were.
 """
 
 from __future__ import annotations
@@ -18,17 +19,12 @@ from pyspark.sql import functions as F
 
 from paystrata.llm.common import held_out
 
-#: Buckets of the word table and of each n-gram table.
-WORD_BUCKETS, GRAM_BUCKETS = 1 << 18, 1 << 16
+#: Lengths of the n-grams, whose tables follow the table of words.
 ORDERS = (4, 3, 2, 1)
 #: Characters looked at together; longer texts are cut, if possible between words.
 SEGMENT = 1 << 19
 UNKNOWN = "und"
 
-_TABLES = [WORD_BUCKETS, *(GRAM_BUCKETS for _ in ORDERS)]
-_OFFSETS = np.cumsum([0, *_TABLES])
-CELLS = int(_OFFSETS[-1])
-_PART = 1 << 14  # cells per record when tables are added up
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -85,96 +81,156 @@ class WordReader:
 
     @staticmethod
     def grams(mixed: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """(place, bucket) of the n-grams that consist of letters."""
+        """(place, hash) of the n-grams that consist of letters."""
         n = len(mixed) - order + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         value, inside = np.full(n, np.uint64(order)), np.ones(n, bool)
         for k in range(order):
             piece = mixed[k : k + n]
             value = value * _BASE + piece
             inside &= piece != 0
         place = np.flatnonzero(inside)
-        return place, (_mixed(value[place]) % np.uint64(GRAM_BUCKETS)).astype(np.int64)
-
-
-def _word_cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of a word, and its bit among those that say which words were seen."""
-    return (hashes % np.uint64(WORD_BUCKETS)).astype(np.int64), np.uint32(1) << ((hashes >> np.uint64(40)) % np.uint64(32)).astype(np.uint32)
+        return place, _mixed(value[place])
+
+
+def _summed(language: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each (key, language) once, in this order, its sum, and where one of it was."""
+    order = np.lexsort((language, key))
+    language, key = language[order], key[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (key[1:] != key[:-1]) | (language[1:] != language[:-1])
+    at = np.flatnonzero(new)
+    sums = np.add.reduceat(n[order], at) if len(at) else n[:0]
+    return language[at], key[at], sums, order[at]
+
+
+class Table:
+    """Counts of a table's keys: a key's languages and counts are neighbours."""
+
+    def __init__(self, languages: int, language: np.ndarray, key: np.ndarray, n: np.ndarray) -> None:
+        """From entries in order of key and language, each pair once."""
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        starts = np.flatnonzero(new)
+        self.keys, self.first = key[starts], np.append(starts, len(key))
+        self.language = language
+        # log((n + 0.1) / (total + 0.1 * keys)) is a part of the language and one of the entry.
+        total = np.bincount(language, n, languages)
+        self.base = np.log(0.1 / (total + 0.1 * max(1, len(starts))))
+        self.gain = np.log1p(10.0 * n).astype(np.float32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each hash's place among the keys, and whether it is one of them."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        # Ordered, so that neighbours in a large table are looked up together.
+        some, back = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        return at[back], (self.keys[at] == some)[back]
+
+    def logs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log frequencies (language x distinct key) of the keys, and the column of each."""
+        some, back = np.unique(at, return_inverse=True)
+        size = self.first[some + 1] - self.first[some]
+        column = np.repeat(np.arange(len(some)), size)
+        entry = np.arange(len(column)) + np.repeat(self.first[some] - (np.cumsum(size) - size), size)
+        out = np.repeat(self.base[:, None], len(some), 1)
+        out[self.language[entry], column] += self.gain[entry]
+        return out, back
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Counts per language and cell, and the bits of seen words; fixed size per language."""
+    """Counts per language of all words, then of all n-grams of each order."""
 
     languages: tuple[str, ...]
-    counts: np.ndarray  # language x cell
-    seen: np.ndarray  # bits per word bucket
-
-    def logs(self) -> np.ndarray:
-        """Log frequency of each cell within its table, for each language."""
-        out = np.empty(self.counts.shape, np.float32)
-        for a, b in zip(_OFFSETS[:-1], _OFFSETS[1:]):
-            block = self.counts[:, a:b] + 0.1
-            out[:, a:b] = np.log(block / block.sum(1, keepdims=True))
-        return out
+    #: Per table (language, key, count), in order of key and language.
+    entries: tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]
 
+    def tables(self) -> list[Table]:
+        return [Table(len(self.languages), *entries) for entries in self.entries]
 
-def train(docs: DataFrame) -> LanguageModel:
-    """Count all training texts: ``lang`` given and not held out by ``doc_id``.
 
-    Each task adds up its own tables and sends each part of them once; the sums
-    are formed by streaming, so neither depends on the number of documents. The
-    driver gets the finished tables (2 MB per language).
-    """
-    given = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("text", "lang")
-    # One record per language; the tables' size is a multiple of their number.
-    languages = tuple(sorted(r.lang for r in given.select("lang").distinct().collect()))
-    number = {name: n for n, name in enumerate(languages)}
+def _count_words(number: dict[str, int]):
+    """Task function: (language, hash, word, n) of the words of a segment of texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = WordReader()
-        counts = np.zeros((len(languages), CELLS), np.int64)
-        seen = np.zeros(WORD_BUCKETS, np.uint32)
         for batch in batches:
-            speech = np.array([number[x] for x in batch["lang"]], np.int64)
+            speech = np.array([number[x] for x in batch["lang"]], np.int32)
             for codes, owner in reader.segments(batch["text"].tolist()):
-                _, _, of, hashes, mixed = reader.words(codes, owner)
-                bucket, bit = _word_cells(hashes)
-                np.bitwise_or.at(seen, bucket, bit)
-                flat = counts.reshape(-1)
-                cells = [speech[of] * CELLS + bucket]
-                for table, order in enumerate(ORDERS, 1):
-                    place, gram = reader.grams(mixed, order)
-                    cells.append(speech[owner[place]] * CELLS + _OFFSETS[table] + gram)
-                flat += np.bincount(np.concatenate(cells), minlength=flat.size)
-        for language, row in [*enumerate(counts), (-1, seen.astype(np.int64))]:
-            parts = [row[at : at + _PART] for at in range(0, len(row), _PART)]
-            full = [(n, p.astype("<i8").tobytes()) for n, p in enumerate(parts) if p.any()]
-            if full:
-                yield pd.DataFrame({"language": language, "part": [n for n, _ in full], "cells": [p for _, p in full]})
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for language, part, cells in batch.itertuples(index=False):
-                more = np.frombuffer(cells, "<i8")
-                old = sums.get((language, part))
-                sums[language, part] = more.copy() if old is None else old | more if language < 0 else old + more
-        if sums:
-            keys = list(sums)
+                start, end, of, hashes, _ = reader.words(codes, owner)
+                language, key, n, at = _summed(speech[of], hashes, np.ones(len(of), np.int64))
+                text = codes.tobytes().decode("utf-32-le", "surrogatepass")
+                words = [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
+                yield pd.DataFrame({"language": language, "hash": key.view(np.int64), "word": words, "n": n})
+
+    return count
+
+
+def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Task function: (table, language, hash, n) of counted words and their n-grams."""
+    reader = WordReader()
+
+    def frame(table: int, language: np.ndarray, key: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        language, key, n, _ = _summed(language, key, n)
+        return pd.DataFrame({"table": np.int32(table), "language": language, "hash": key.view(np.int64), "n": n})
+
+    for batch in batches:
+        speech, n = batch["language"].to_numpy(np.int32), batch["n"].to_numpy(np.int64)
+        yield frame(0, speech, batch["hash"].to_numpy(np.int64).view(np.uint64), n)
+        for codes, owner in reader.segments(batch["word"].tolist()):
+            *_, mixed = reader.words(codes, owner)
+            for table, order in enumerate(ORDERS, 1):
+                place, gram = reader.grams(mixed, order)
+                of = owner[place]
+                yield frame(table, speech[of], gram, n[of])
+
+
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Task function: the entries of each table as arrays."""
+    for batch in batches:
+        for table, rows in batch.groupby("table"):
             yield pd.DataFrame(
-                {"language": [k[0] for k in keys], "part": [k[1] for k in keys], "cells": [sums[k].tobytes() for k in keys]}
+                {
+                    "table": [table],
+                    "language": [rows["language"].to_numpy("<i4").tobytes()],
+                    "hash": [rows["hash"].to_numpy("<i8").tobytes()],
+                    "n": [rows["n"].to_numpy("<i8").tobytes()],
+                }
             )
 
-    schema = "language int, part int, cells binary"
-    rows = given.mapInPandas(count, schema).repartition("language", "part").mapInPandas(add, schema).collect()
-    counts, seen = np.zeros((len(languages), CELLS), np.int64), np.zeros(WORD_BUCKETS, np.uint32)
-    for language, part, cells in rows:
-        block = np.frombuffer(cells, "<i8")
-        target = seen if language < 0 else counts[language]
-        target[part * _PART : part * _PART + len(block)] = block
-    return LanguageModel(languages, counts.astype(np.float32), seen)
+
+def train(docs: DataFrame) -> LanguageModel:
+    """Count all training texts: ``lang`` given and not held out by ``doc_id``.
+
+    Words are counted by grouping, reduced before they are sent; n-grams lie
+    within words, so they are counted from the distinct words. The driver gets 20
+    bytes per distinct word or n-gram and language it occurs in.
+    """
+    given = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("text", "lang")
+    # One record per language; the tables' size is a multiple of their number.
+    languages = tuple(sorted(r.lang for r in given.select("lang").distinct().collect()))
+    number = {name: n for n, name in enumerate(languages)}
+    words = (
+        given.mapInPandas(_count_words(number), "language int, hash long, word string, n long")
+        .groupBy("language", "hash", "word").agg(F.sum("n").alias("n"))
+    )
+    counted = (
+        words.mapInPandas(_count_grams, "table int, language int, hash long, n long")
+        .groupBy("table", "language", "hash").agg(F.sum("n").alias("n"))
+    )
+    rows = counted.mapInPandas(_packed, "table int, language binary, hash binary, n binary").collect()
+    entries = []
+    for table in range(len(ORDERS) + 1):
+        mine = [r for r in rows if r.table == table]
+        language, key, n = (
+            np.frombuffer(b"".join(getattr(r, name) for r in mine), kind)
+            for name, kind in (("language", "<i4"), ("hash", "<u8"), ("n", "<i8"))
+        )
+        entries.append(_summed(language, key, n)[:3])
+    return LanguageModel(languages, tuple(entries))
 
 
 class Scorer:
@@ -183,20 +239,18 @@ class Scorer:
     def __init__(self, model: LanguageModel) -> None:
         self.reader = WordReader()
         self.model = model
-        self.logs = model.logs()
-        self.known = model.counts.sum(0) > 0
+        self.words, *self.grams = model.tables()
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log likelihood per text and language, and each text's number of words."""
         totals, words = np.zeros((len(texts), len(self.model.languages))), np.zeros(len(texts))
         for codes, owner in self.reader.segments(texts):
             start, end, of, hashes, mixed = self.reader.words(codes, owner)
-            bucket, bit = _word_cells(hashes)
-            seen = (self.model.seen[bucket] & bit) != 0
+            at, seen = self.words.find(hashes)
             words += np.bincount(of, minlength=len(texts))
-            part = self.logs[:, bucket[seen]]
-            for n in range(len(part)):
-                totals[:, n] += np.bincount(of[seen], part[n], len(texts))
+            logs, column = self.words.logs(at[seen])
+            for n in range(len(logs)):
+                totals[:, n] += np.bincount(of[seen], logs[n, column], len(texts))
             self._back_off(totals, start[~seen], end[~seen], of[~seen], mixed)
         return totals, words
 
@@ -210,17 +264,18 @@ class Scorer:
         word = np.zeros(len(mixed), np.int64)
         word[place] = np.repeat(np.arange(len(start)), end - start)
         open_ = np.ones(len(start), bool)
-        for table, order in enumerate(ORDERS, 1):
+        for table, order in zip(self.grams, ORDERS):
             at, gram = self.reader.grams(mine, order)
-            cell = gram + _OFFSETS[table]
-            use = self.known[cell] & open_[word[at]]
-            at, cell = at[use], cell[use]
+            use = open_[word[at]]
+            at, gram = at[use], gram[use]
+            cell, known = table.find(gram)
+            at, cell = at[known], cell[known]
             found = np.bincount(word[at], minlength=len(start))
             hit = found > 0
             if hit.any():
-                part = self.logs[:, cell]
-                for n in range(len(part)):
-                    mean = np.bincount(word[at], part[n], len(start))[hit] / found[hit]
+                logs, column = table.logs(cell)
+                for n in range(len(logs)):
+                    mean = np.bincount(word[at], logs[n, column], len(start))[hit] / found[hit]
                     totals[:, n] += np.bincount(of[hit], mean, len(totals))
             open_ &= ~hit
 
@@ -232,7 +287,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, keep: tuple[str, ...] = ("
     nothing to learn from. Languages that tie: the first in code point order.
     Rows are independent; repeated rows get equal predictions.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.counts, model.seen))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.entries))
 
     @F.pandas_udf("lang_pred string, score double")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,6 +93,44 @@ def test_hashes_of_words_do_not_depend_on_their_place():
     assert hashes[0] == hashes[2] == hashes[4] != hashes[1]
 
 
+def test_words_and_grams_are_counted_exactly(llm):
+    texts = [("ab abc ab", "x"), ("ab bca", "y"), ("abc", "x")]
+    model = language.train(llm.createDataFrame([(10, *t) for t in texts], "doc_id long, text string, lang string"))
+    want = [Counter() for _ in range(5)]
+    for text, lang in texts:
+        for word in text.split():
+            want[0][word, lang] += 1
+            for table, order in enumerate(language.ORDERS, 1):
+                for at in range(len(word) - order + 1):
+                    want[table][word[at : at + order], lang] += 1
+    for (speech, key, n), counts in zip(model.entries, want):
+        assert sorted(n.tolist()) == sorted(counts.values()) and len(set(key.tolist())) == len({k for k, _ in counts})
+        assert np.bincount(speech, n, 2).tolist() == [sum(c for (_, lang), c in counts.items() if lang == x) for x in "xy"]
+
+
+def test_an_unseen_word_is_never_taken_for_a_seen_one(llm):
+    # Words of a-m are English, of n-z German; the probes are German words that
+    # share their hash's low 18 bits and five more with an English word.
+    rng, reader = np.random.default_rng(3), language.WordReader()
+
+    def words(first, n):
+        return ["".join(chr(first + c) for c in row) for row in rng.integers(0, 13, (n, 8))]
+
+    def marks(some):
+        hashes = reader.words(*reader._joined([" ".join(some) + " "], [0]))[3]
+        return list(zip((hashes % np.uint64(1 << 18)).tolist(), ((hashes >> np.uint64(40)) % np.uint64(32)).tolist()))
+
+    english, german, others = words(97, 2000), words(110, 2000), words(110, 40_000)
+    taken, known = set(marks(english)), set(german)
+    probes = [w for w, m in zip(others, marks(others)) if m in taken and w not in known]
+    assert len(probes) >= 3
+    model = language.train(
+        llm.createDataFrame([(10, " ".join(english), "en"), (10, " ".join(german), "de")], "doc_id long, text string, lang string")
+    )
+    found = language.predict(llm.createDataFrame(list(enumerate(probes)), "doc_id long, text string"), model)
+    assert {r.lang_pred for r in found.collect()} == {"de"}
+
+
 def test_held_out_rule(llm):
     ids = [*range(50), -3, None]
     found = llm.createDataFrame([(i,) for i in ids], "i long").select(held_out(F.col("i")).alias("h")).collect()
