@@ -99,13 +99,14 @@ class Featurizer:
 
 @dataclass(frozen=True)
 class Machine:
-    """A fitted machine: bias, linear weights, factors, and the scale of the structure."""
+    """A fitted machine: bias, linear weights, factors, the scale of the structure, rows learned from."""
 
     bias: float
     linear: np.ndarray
     factors: np.ndarray
     mean: np.ndarray
     spread: np.ndarray
+    n_rows: int = 0
 
     def scaled(self, values: np.ndarray) -> np.ndarray:
         out = values.astype(np.float64)
@@ -167,7 +168,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, epochs
             bias -= rate * error.sum() / np.sqrt(seen_b)
             linear[used] -= rate * grad_w / np.sqrt(seen_w[used])
             factors[used] -= rate * grad_v / np.sqrt(seen_v[used])
-    return Machine(float(bias), linear, factors, mean, spread)
+    return Machine(float(bias), linear, factors, mean, spread, len(rows))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> Machine:

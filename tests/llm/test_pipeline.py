@@ -35,6 +35,15 @@ def test_rejected_documents_go(llm, small):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in scores if r.score >= 0.7)
 
 
+@pytest.mark.parametrize("labels", [[], [(5, 0)], [(1, None), (None, 1)], [(77, 1)]])
+def test_all_documents_stay_without_anything_to_learn_from(llm, tmp_path, labels):
+    ids = [1, 3, 5, None]  # 5 is held out, 77 is no document's
+    llm.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = documents(llm, [(i, f"a clean text {i}") for i in ids] + [(3, None)])
+    kept = pipeline.keep_good(llm, docs, str(tmp_path))
+    assert kept.columns == COLUMNS and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
 def test_one_near_copy_stays(llm):
     r = random.Random(1)
     base = words(r, 200)
