@@ -454,11 +454,12 @@ def repeats(
 KEPT = "tkey binary, n_removed long, n_spans long, kept binary"
 
 
-def kept_bytes(texts: DataFrame, *, whole_characters: bool = False) -> DataFrame:
+def kept_bytes(texts: DataFrame, *, whole_characters: bool = False, min_words: int = 0) -> DataFrame:
     """``tkey``, ``n_removed``, ``n_spans``, ``kept`` (the other bytes, joined) of ``texts``.
 
     With ``whole_characters`` spans shrink to the characters that lie inside them, so
-    that what is kept is valid UTF-8.
+    that what is kept is valid UTF-8. Merged spans of fewer than ``min_words`` words, or
+    parts of words, stay.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,7 +473,7 @@ def kept_bytes(texts: DataFrame, *, whole_characters: bool = False) -> DataFrame
                             begin += 1
                         while end > begin and end < len(text) and text[end] & 0xC0 == 0x80:
                             end -= 1
-                    if end > begin:
+                    if end > begin and len(text[begin:end].split()) >= min_words:
                         parts.append(text[at:begin])
                         at, removed, n = end, removed + end - begin, n + 1
                 rows.append((tkey, removed, n, b"".join([*parts, text[at:]])))

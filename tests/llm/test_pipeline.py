@@ -62,6 +62,20 @@ def test_passages_are_cut_on_whole_characters(llm):
     assert got[1].n_chars == 6
 
 
+def test_passages_are_measured_in_words(llm):
+    r = random.Random(4)
+
+    def letters(n):
+        return " ".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789#+") for _ in range(n))
+
+    short, fifty, long_words = letters(51), letters(50), " ".join(f"word{r.randrange(10**9):09}" for _ in range(40))
+    assert len(short) == 101
+    rows = [(2 * n + k, f"{n}{k}<{shared}>{k}{n}") for n, shared in enumerate((short, fifty, long_words)) for k in range(2)]
+    got = {x.doc_id: x.text for x in pipeline.cut_repeats(llm, documents(llm, rows), "").collect()}
+    assert [got[0], got[1]] == ["00" + "00", "01" + "10"]
+    assert all(got[i] == text for i, text in rows[2:])
+
+
 def test_mix_repeats_documents(llm):
     r = random.Random(3)
     rows = [(n, words(r, 1 + n % 30)) for n in range(200)] + [(7, "w"), (7, "w"), (300, None), (None, "a b")]
