@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import re
+from collections import Counter
 
 import pytest
+import sentencepiece
 
 import corpus_pipeline as pipeline
-from paystrata.llm import quality
+from brute import reachable
+from paystrata.llm import mixing, pieces, quality
+from test_texts import shingle_set
 
 COLUMNS = list(pipeline.COLUMNS)
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -96,3 +102,69 @@ def test_whole_run(llm, small):
     got = pipeline.run(llm, small)
     rows = got.collect()
     assert rows and all(r.n_tokens == len(r.ids) == len(r.ends) for r in rows)
+
+
+def plain_repeats(texts):
+    """What stays of each text: bytes in strings that occur twice go, in runs of over fifty words."""
+    size, data = 101, [t.encode() for t in texts]
+    starts = Counter(t[p : p + size] for t in set(data) for p in range(len(t) - size + 1))
+    out = []
+    for t in data:
+        covered = bytearray(len(t))
+        for p in range(len(t) - size + 1):
+            if starts[t[p : p + size]] > 1:
+                covered[p : p + size] = b"\1" * size
+        kept, at = b"", 0
+        for run in re.finditer(b"\1+", bytes(covered)):
+            begin, end = run.span()
+            while begin < end and t[begin] & 0xC0 == 0x80:
+                begin += 1
+            while begin < end < len(t) and t[end] & 0xC0 == 0x80:
+                end -= 1
+            if len(t[begin:end].split()) > 50:
+                kept, at = kept + t[at:begin], end
+        out.append((kept + t[at:]).decode())
+    return out
+
+
+def plain_run(spark, docs, scores):
+    """The stages in plain Python, given the scores and what the mix takes."""
+    rows = sorted((r for r, score in zip(docs, scores) if score >= 0.7), key=lambda r: (r[0] is None, r[0]))
+    sets = [shingle_set(r[1], 5) for r in rows]
+    links = [(i, j) for i, x in enumerate(sets) for j in range(i) if x and 10 * len(x & sets[j]) >= 8 * len(x | sets[j])]
+    first: dict = {}
+    for n, root in enumerate(reachable(len(rows), links)):
+        first.setdefault(root, n)
+    rows = [rows[n] for n in sorted(first.values())]
+    counts = [len(rows)]
+    cut = plain_repeats([r[1] or "" for r in rows])
+    counts.append(sum(t != (r[1] or "") for r, t in zip(rows, cut)))
+    rows = [(r[0], t if r[1] is not None else None, *r[2:4], len(t)) for r, t in zip(rows, cut)]
+    taken = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), keep=("text",)).collect()
+    copies = {(r.doc_id, r.text): r.copies for r in taken}
+    library = sentencepiece.SentencePieceProcessor(model_file=pipeline.PIECE_MODEL)
+    with open(pipeline.PIECE_MODEL, "rb") as file:
+        codec = pieces.PieceCodec(file.read())
+    out = []
+    for i, text, lang, source, _ in rows:
+        ids = library.encode(text or "")
+        digest = hashlib.sha256(library.decode(ids).encode()).hexdigest()
+        out += [(i, lang, source, len(ids), ids, codec.encode(text or "")[1].tolist(), digest)] * copies[i, text]
+    return out, counts
+
+
+def test_whole_run_equals_plain_python(llm, small, tmp_path):
+    r = random.Random(6)
+    given = [tuple(x) for x in llm.read.parquet(f"{small}/documents.parquet").select(*COLUMNS).collect()][:60]
+    passage = words(r, 60)
+    more = [(9_000 + n, text + " " + passage, lang, source, 0) for n, (_, text, lang, source, _) in enumerate(given[:20])]
+    more += [(9_100 + n, text + " tail", lang, source, 0) for n, (_, text, lang, source, _) in enumerate(given[20:40])]
+    more += [(None, "a text without an id " + words(r, 40), "en", "s", 0), (9_200, None, None, None, None), (9_201, "é", "fr", "s", 1)]
+    docs = llm.createDataFrame(given + more, SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = llm.read.parquet(f"{small}/labels.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    rows = quality.score_documents(docs, quality.train(docs, labels), keep=pipeline.COLUMNS).collect()
+    want, (kept, cut) = plain_run(llm, [tuple(x)[:5] for x in rows], [x.score for x in rows])
+    assert 0 < cut < kept < len(rows) and want
+    assert sorted(map(repr, map(tuple, pipeline.run(llm, str(tmp_path)).collect()))) == sorted(map(repr, want))
