@@ -212,17 +212,27 @@ def read_if_published(spark: SparkSession, root: str, logical_date: str) -> Data
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    """Validated rows of all published days, as one partition-filtered scan."""
-    until = {
-        date.year * 10000 + date.month * 100 + date.day: reports.read_marker(spark, path).ingested_until
+    """Validated rows of all published days, as one partition-filtered scan.
+
+    Days that no longer have as many validated rows as their marker says, counted
+    for all days in one grouped pass (a record per day), are left out.
+    """
+    published = {
+        date.year * 10000 + date.month * 100 + date.day: reports.read_marker(spark, path)
         for date, path in reports.markers(spark, root).items()
     }
     rows = read_bronze(spark, root)
-    if not until:
+    if not published:
         return rows.where(F.lit(False))
+    until = {day: marker.ingested_until for day, marker in published.items()}
     year, month, day = (F.col(name) for name in DAY_COLUMNS)
     # One number per day keeps the filter flat however many days there are.
     code = year * 10000 + month * 100 + day
     latest = F.create_map(*(F.lit(part) for item in until.items() for part in item))
     ingested = F.col(INGEST_COLUMN)
-    return rows.where(code.isin(list(until)) & (ingested.isNull() | (ingested <= latest[code].cast("timestamp"))))
+    validated = rows.where(code.isin(list(until)) & (ingested.isNull() | (ingested <= latest[code].cast("timestamp"))))
+    counts = {r.code: r["count"] for r in validated.groupBy(code.alias("code")).count().collect()}
+    same = [n for n, marker in published.items() if counts.get(n, 0) == marker.rows]
+    if len(same) < len(published):
+        logger.error("changed since they were validated: %s; run the gate again", sorted(set(published) - set(same)))
+    return validated.where(code.isin(same)) if same else rows.where(F.lit(False))

@@ -85,6 +85,22 @@ def test_rows_after_publication_are_not_served(spark, transactions, roots):
     assert gate.read_if_published(spark, root, DAY) is None
 
 
+@pytest.mark.parametrize("change", ["early", "null", "gone"])
+def test_changed_days_are_not_among_the_published(spark, transactions, roots, change):
+    root, reports = roots
+    rows = [good(), good(txn_id="TXN-00000000000B", arrival_timestamp="2024-01-16T01:00:00.000Z")]
+    append_bronze(parse.to_bronze(transactions(rows)), root)
+    gate.run_gate_for_all_days(spark, root, reports)
+    assert gate.read_published(spark, root).count() == 2
+    if change == "gone":
+        for path in marker(root).parent.glob("arrival_hour=*/*.parquet"):
+            path.unlink()
+    else:
+        stamp = F.lit("2020-01-01" if change == "early" else None).cast("timestamp")
+        append_bronze(parse.to_bronze(transactions(1)).withColumn("pipeline_timestamp", stamp), root)
+    assert [r.arrival_day for r in gate.read_published(spark, root).collect()] == [16]
+
+
 @pytest.mark.parametrize("run", ["one", "all"])
 def test_dying_run_leaves_nothing_published(spark, transactions, roots, tmp_path, monkeypatch, run):
     monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "shared"))
