@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path[:0] = [str(Path(__file__).parent.parent), str(Path(__file__).parent)]
 
+from payment_rows import good  # noqa: E402
 from paystrata.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA  # noqa: E402
 from paystrata.session import use_engine_conf  # noqa: E402
 
@@ -51,34 +52,6 @@ def small():
     return SMALL
 
 
-GOOD = {
-    "txn_id": "TXN-0000000000AB",
-    "txn_timestamp": "2024-01-15T09:30:00.123Z",
-    "arrival_timestamp": "2024-01-15T10:00:00.456Z",
-    "amount": 250.5,
-    "currency": "INR",
-    "status": "SUCCESS",
-    "failure_reason": None,
-    "user_id": "USR-000001",
-    "user_segment": "regular",
-    "merchant_id": "MRC-000001",
-    "merchant_category": "grocery",
-    "gateway_id": "GW-001",
-    "gateway_name": "Razorpay",
-    "processor_id": "PRC-001",
-    "processor_name": "NPCI",
-    "payment_method": "UPI",
-    "device_type": "mobile",
-    "location_city": "Pune",
-    "location_state": "Maharashtra",
-    "is_international": False,
-}
-
-
-def good(**changes) -> dict:
-    return {**GOOD, **changes}
-
-
 @pytest.fixture
 def transactions(spark):
     """Build transactions from dicts, or from a count of sound rows."""
@@ -90,7 +63,3 @@ def transactions(spark):
         return spark.createDataFrame(values, TRANSACTION_SCHEMA)
 
     return build
-
-
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

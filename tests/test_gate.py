@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import good, plan_text
+from payment_rows import good, plan_text
 from pyspark.sql import functions as F
 
 from paystrata import session

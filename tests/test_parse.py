@@ -4,7 +4,7 @@ import json
 import math
 
 import pytest
-from conftest import good
+from payment_rows import good
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import json
 import math
 
 import pytest
-from conftest import good, plan_text
+from payment_rows import good, plan_text
 from hypothesis import given
 from hypothesis import strategies as st
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from fractions import Fraction
 
-from conftest import good, plan_text
+from payment_rows import good, plan_text
 from pyspark.sql import functions as F
 
 from paystrata.functions.layout import cluster_for_write

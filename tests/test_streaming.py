@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import good
+from payment_rows import good
 from pyspark.sql import functions as F
 
 from paystrata.operators import parse
