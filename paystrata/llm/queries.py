@@ -8,7 +8,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.llm import jaccard, language, lattice, lengths, mixing, pieces, quality, suffixes, topk, warc
+from paystrata.llm import (
+    jaccard,
+    language,
+    lattice,
+    lengths,
+    mixing,
+    negatives,
+    pieces,
+    prefix_trie,
+    quality,
+    suffixes,
+    topk,
+    warc,
+)
 from paystrata.llm.common import Query, held_out, use_llm_conf
 
 QUERIES: dict[str, Query] = {}
@@ -121,3 +134,17 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The histogram of all documents' token counts with its suffix sums."""
     counts = lengths.encoded_lengths(table(spark, folder, "documents"), BYTE_RANKS, byte_pattern())
     return lengths.suffix_sums(lengths.length_histogram(counts))
+
+
+@query
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector, where every 7th has changed its label."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with its subtree's sums."""
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt_paths(table(spark, folder, "conversations")))

@@ -10,6 +10,14 @@ reach AS (
 )
 """
 
+#: CRC-32 of the decimal text of ``c``, bit by bit.
+_CRC32_OF_C = """
+xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, x: list_reduce(
+        [xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))))
+"""
+
 STATEMENTS: dict[str, str] = {
     "op1_warc": """
         WITH captures AS (
@@ -98,4 +106,62 @@ STATEMENTS: dict[str, str] = {
                sha256(unhex(coalesce(heads, '') || substr(h, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
         FROM cut
     """,
+    "op11_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3
+    """,
+    "op12_prefix_trie": f"""
+        WITH turns AS (
+            SELECT conv_id AS c, turn, length(coalesce(text, '')) AS n,
+                   sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS d
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, d) AS p FROM turns
+        ), ids AS (
+            SELECT c, c - c % 100 AS b, {_CRC32_OF_C} % 6 AS h FROM (SELECT DISTINCT c FROM turns)
+        ), said AS (
+            SELECT ids.c, p, d, n FROM ids JOIN placed ON placed.c = ids.c WHERE p > h
+            UNION ALL
+            SELECT ids.c, p, d, n FROM ids JOIN placed ON placed.c = ids.b WHERE p <= h
+        ), steps AS (
+            SELECT c, row_number() OVER w AS depth, n, string_agg(d, '') OVER w AS path FROM said WINDOW w AS (PARTITION BY c ORDER BY p)
+        ), keyed AS (
+            SELECT c, depth, n, sha256(path) AS node, coalesce(lag(sha256(path)) OVER (PARTITION BY c ORDER BY depth), 'root') AS parent,
+                   depth = max(depth) OVER (PARTITION BY c) AS is_end
+            FROM steps
+            UNION ALL
+            SELECT c, 0, 0, 'root', NULL, c NOT IN (SELECT c FROM said) FROM ids
+        ), nodes AS (
+            SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * any_value(n) AS saved,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256
+            FROM keyed GROUP BY node
+        ), children AS (
+            SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+        ), below AS (
+            SELECT DISTINCT a.node AS top, b.node FROM keyed a JOIN keyed b ON a.c = b.c AND a.depth <= b.depth
+        ), sums AS (
+            SELECT top AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+            FROM below JOIN nodes ON nodes.node = below.node LEFT JOIN children ON children.node = below.node GROUP BY top
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+               n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+        FROM nodes n JOIN sums ON sums.node = n.node LEFT JOIN children k ON k.node = n.node LEFT JOIN nodes p ON p.node = n.parent
+    """,
 }
