@@ -20,6 +20,7 @@ from paystrata.llm import (
     quality,
     suffixes,
     topk,
+    toxicity,
     warc,
 )
 from paystrata.llm.common import Query, held_out, use_llm_conf
@@ -148,3 +149,17 @@ def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Every distinct beginning of the rebuilt conversations, with its subtree's sums."""
     return prefix_trie.prefix_trie(prefix_trie.rebuilt_paths(table(spark, folder, "conversations")))
+
+
+@query
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document by the convolutional classifier."""
+    docs = table(spark, folder, "documents")
+    net = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score_documents(docs, net).select(
+        "doc_id",
+        toxicity.in_fold(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "flagged",
+    )
