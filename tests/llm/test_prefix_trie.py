@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from paystrata.llm import prefix_trie as trie
+
+SCHEMA = "conv_id long, turn int, role string, text string"
+
+
+def plain(rows, group=100, heads=6):
+    """The contract, word for word."""
+    own: dict[int, list] = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        base = c - int(np.fmod(c, group))
+        rebuilt[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    nodes: dict[tuple, list[int]] = {}
+    for c, path in rebuilt.items():
+        for d in range(len(path) + 1):
+            nodes.setdefault(path[:d], []).append(c)
+    children: dict[tuple, int] = {}
+    for path in nodes:
+        if path:
+            children[path[:-1]] = children.get(path[:-1], 0) + 1
+    out = []
+    for path, members in nodes.items():
+        below = [p for p in nodes if p[: len(path)] == path]
+        ends = ",".join(map(str, sorted(c for c in members if rebuilt[c] == path)))
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1]) for p in below if p)
+        out.append((
+            min(members), len(path), min(nodes[path[:-1]]) if path else None, len(members), children.get(path, 0),
+            sum(p not in children for p in below), saved, hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, **options):
+    paths = trie.rebuilt_paths(spark.createDataFrame(rows, SCHEMA))
+    return sorted((tuple(r) for r in trie.prefix_trie(paths, **options).collect()), key=repr)
+
+
+def random_rows(seed, n_convs, words, longest):
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(n_convs * 3), n_convs):
+        for turn in range(rng.randint(1, longest)):
+            rows.append((c, turn, rng.choice(["user", "assistant"]), rng.choice(words)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("shard_turns", [1, 7, 60, 1 << 18])
+def test_equals_brute_force(llm, shard_turns):
+    rows = random_rows(shard_turns, 150, ["a", "bb", "çé"], 7)
+    assert found(llm, rows, shard_turns=shard_turns) == plain(rows)
+
+
+def test_hot_conversation_is_split_and_its_ids_stay_in_order(llm, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(c, t, "user", "same" * (t + 1)) for c in range(0, 900) for t in range(6)]
+    rows += [(900 + c, t, "user", x) for c, t, _, x in random_rows(3, 60, ["same", "x"], 8)]
+    assert found(llm, rows, shard_turns=50) == plain(rows)
+
+
+def test_one_conversation_begins_another_across_shards(llm):
+    rows = [(c, t, "u", str(t)) for c in range(0, 3000, 100) for t in range(c // 100 % 7 + 6)]
+    for limit in (1, 9, 30):
+        assert found(llm, rows, shard_turns=limit) == plain(rows)
+
+
+def test_nulls_ties_repeats_and_negative_ids(llm):
+    rows = [
+        (None, 1, "u", "left out"), (5, None, "u", "first"), (5, 0, None, "x"), (5, 1, "u", None), (5, 1, "u", None),
+        (5, 1, "a", ""), (100, 2, "u", "b"), (100, 1, "u", "a"), (101, 0, "u", "a"), (101, 1, "u", "c"), (199, 0, "", ""),
+        (-5, 0, "u", "neg"), (0, 0, "u", "zero"), (7, 0, "u:", "v"), (8, 0, "u", ":v"),
+    ]
+    # Which of the tied turns of conversation 5 comes first, its digest says: same shape, any order.
+    assert [r[:4] for r in found(llm, rows)] == [r[:4] for r in plain(rows)]
+    rows = [r for r in rows if r[:2] != (5, 1)] + [(5, 1, "u", None)] * 2
+    assert found(llm, rows) == plain(rows)
+    assert found(llm, rows[::-1]) == plain(rows)
+
+
+def test_turnless_conversation_ends_at_the_root(llm):
+    # h of conversation 1 is 5: its own only turn goes, and 0 does not exist.
+    assert zlib.crc32(b"1") % 6 > 0
+    rows = [(1, 0, "u", "gone")]
+    assert found(llm, rows) == plain(rows)
+    assert found(llm, rows)[0][:6] == (1, 0, None, 1, 0, 1)
+
+
+def test_empty_table_and_extra_columns(llm, clash):
+    empty = llm.createDataFrame([], SCHEMA)
+    assert trie.prefix_trie(trie.rebuilt_paths(empty)).collect() == []
+    rows = random_rows(1, 20, ["a", "b"], 5)
+    wide = clash(llm.createDataFrame(rows, SCHEMA)).selectExpr("*", "1 AS depth", "2 AS base", "3 AS own", "4 AS shard")
+    got = trie.prefix_trie(trie.rebuilt_paths(wide)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain(rows)
+
+
+def test_very_long_conversation_and_text(llm):
+    rows = [(c, t, "u", "y" * (200_000 if t == 9 else 1)) for c in (0, 300) for t in range(3000)]
+    got = {r.depth: r for r in trie.prefix_trie(trie.rebuilt_paths(llm.createDataFrame(rows, SCHEMA)), shard_turns=1000).collect()}
+    assert sorted(got) == list(range(3001))
+    assert all(r.n_convs == 2 and r.n_leaves == 1 for r in got.values())
+    assert got[0].saved_tokens == 3000 - 1 + 200_000 and got[11].saved_tokens == 2990
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_findclose_of_random_trees(seed):
+    rng = random.Random(seed)
+    bits, stack, close = [1], [0], {}
+    while stack:
+        if len(bits) < 5000 and (len(stack) == 1 or rng.random() < (0.5, 0.9, 0.52)[seed % 3]):
+            stack.append(len(bits))
+            bits.append(1)
+        else:
+            close[stack.pop()] = len(bits)
+            bits.append(0)
+    tree = trie.Parentheses(np.array(bits, np.uint8))
+    closes = tree.findclose(tree.opens)
+    assert dict(zip(tree.opens.tolist(), closes.tolist())) == close
+    leaves = [sum(bits[i] == 1 and bits[i + 1] == 0 for i in range(a, b)) for a, b in sorted(close.items())]
+    assert tree.leaf_pairs(tree.opens, closes).tolist() == leaves
