@@ -39,13 +39,15 @@ _LATEST_FIRST = ("arrival_timestamp", "txn_timestamp")
 def latest_per_transaction(df: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:
     """The row with the latest arrival per ``txn_id``; rows without an id are left out.
 
-    Ties are broken by event time and then by every other column, so the result
-    does not depend on row order. Spark pushes the rank filter below the shuffle
+    Arrivals are compared as times, whatever their spelling; a readable time beats any
+    unreadable one. Ties are broken by event time, then by both texts (the greater
+    first) and every other column, so the result does not depend on row order. Spark pushes the rank filter below the shuffle
     (window group limit): a task sends at most one row per id, which is what
     keeps a hot id from flooding one reducer.
     """
     rest = [name for name in TRANSACTION_COLUMNS if name not in (*_LATEST_FIRST, "txn_id")]
     ranking = Window.partitionBy("txn_id").orderBy(
+        *(parse_event_time(F.col(name)).desc_nulls_last() for name in _LATEST_FIRST),
         *(F.col(name).desc_nulls_last() for name in _LATEST_FIRST),
         *(F.col(name).asc_nulls_first() for name in (*rest, *tie_breakers)),
     )

@@ -457,7 +457,31 @@ redated AS (
   SELECT * REPLACE ({_shifted('arrival_timestamp', 2)} AS arrival_timestamp,
     {_shifted('txn_timestamp', -1)} AS txn_timestamp) FROM txns WHERE event_id % 10 = 3
 ),
-versions AS (SELECT * FROM settled UNION ALL SELECT * FROM outdated UNION ALL SELECT * FROM redated)"""
+unread AS (
+  SELECT * REPLACE ('not a time' AS arrival_timestamp, 1.0::DOUBLE AS amount) FROM txns WHERE event_id % 10 = 7
+),
+close AS (
+  SELECT txns.* REPLACE (substring({_shifted('arrival_timestamp', 3)}, 1, 19) || spelling AS arrival_timestamp, version_amount AS amount)
+  FROM txns, (VALUES ('.99Z', 2.0::DOUBLE), ('.995Z', 3.0::DOUBLE)) AS v(spelling, version_amount) WHERE event_id % 10 = 8
+),
+versions AS (
+  SELECT * FROM settled UNION ALL SELECT * FROM outdated UNION ALL SELECT * FROM redated
+  UNION ALL SELECT * FROM unread UNION ALL SELECT * FROM close
+)"""
+
+
+def _moment(column: str) -> str:
+    """The time that a text spells, or NULL."""
+    return (
+        f"CASE WHEN regexp_matches({column}, '^[0-9-]{{10}}T[0-9:]{{8}}\\.[0-9]{{1,3}}Z$') "
+        f"THEN try_cast(replace({column}[1:-2], 'T', ' ') AS TIMESTAMP) END"
+    )
+
+
+def _latest_first(arrival: str, event: str | None = None) -> str:
+    columns = [arrival] if event is None else [arrival, event]
+    return ", ".join(f"{c} DESC NULLS LAST" for c in (*map(_moment, columns), *columns))
+
 
 _REST = ", ".join(
     f"{name} ASC NULLS FIRST"
@@ -468,8 +492,8 @@ _REST = ", ".join(
 
 def latest(source: str) -> str:
     return f"""SELECT {COLUMNS} FROM (
-  SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY arrival_timestamp DESC NULLS LAST,
-    txn_timestamp DESC NULLS LAST, {_REST}) AS place FROM {source})
+  SELECT *, row_number() OVER (PARTITION BY txn_id
+    ORDER BY {_latest_first('arrival_timestamp', 'txn_timestamp')}, {_REST}) AS place FROM {source})
 WHERE place = 1 AND txn_id IS NOT NULL"""
 
 
@@ -480,7 +504,10 @@ messages AS (
     ELSE arrival_timestamp END AS arrival, event_id % 50 IN (0, 1, 4, 5, 6, 7) AS unusable FROM txns
   UNION ALL SELECT txn_id, arrival_timestamp, false FROM versions
 ),
-newest AS (SELECT txn_id, max(arrival) AS kept FROM messages WHERE NOT unusable GROUP BY txn_id)
+newest AS (
+  SELECT txn_id, arrival AS kept FROM messages WHERE NOT unusable
+  QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY {_latest_first('arrival')}) = 1
+)
 SELECT CASE WHEN unusable THEN 'quarantine' WHEN arrival = kept THEN 'silver' ELSE 'replaced' END AS state,
   count(*) AS n_rows
 FROM messages LEFT JOIN newest USING (txn_id) GROUP BY 1"""

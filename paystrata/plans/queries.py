@@ -123,7 +123,9 @@ def versions(spark: SparkSession, folder: str) -> DataFrame:
     """Later and earlier versions of transactions already seen.
 
     Failures settle a day later, late arrivals have an outdated earlier version and
-    one event in ten is corrected to the day before.
+    one event in ten is corrected to the day before. One in ten has a version whose
+    arrival cannot be read, and one in ten two of the same second, the earlier of which
+    (``.99`` before ``.995``) has the greater text.
     """
     txns = read_transactions(spark, folder, keep=("event_id",))
     arrival = parse_event_time(F.col("arrival_timestamp"))
@@ -141,7 +143,21 @@ def versions(spark: SparkSession, folder: str) -> DataFrame:
     redated = arriving(txns.where(F.col("event_id") % 10 == 3), 2).withColumn(
         "txn_timestamp", event_time_text(days_before(event, F.lit(1)))
     )
-    return settled.unionByName(outdated).unionByName(redated).drop("event_id")
+    unread = txns.where(F.col("event_id") % 10 == 7).withColumns(
+        {"arrival_timestamp": F.lit("not a time"), "amount": F.lit(1.0)}
+    )
+    second = F.substring(event_time_text(days_before(arrival, F.lit(-3))), 1, 19)
+    close = txns.where(F.col("event_id") % 10 == 8).withColumn(
+        "spelling", F.explode(F.array(F.lit(".99Z"), F.lit(".995Z")))
+    )
+    close = close.withColumns(
+        {
+            "arrival_timestamp": F.concat(second, "spelling"),
+            "amount": F.when(F.col("spelling") == ".99Z", 2.0).otherwise(3.0),
+        }
+    ).drop("spelling")
+    parts = (settled, outdated, redated, unread, close)
+    return functools.reduce(DataFrame.unionByName, parts).drop("event_id")
 
 
 def mended(txns: DataFrame) -> DataFrame:

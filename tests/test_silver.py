@@ -29,6 +29,25 @@ def test_latest_arrival_wins_and_ties_do_not_depend_on_order(transactions):
         assert row.device_type == "desktop"
 
 
+def test_arrivals_are_compared_as_times(transactions):
+    def kept(*arrivals):
+        rows = [good(arrival_timestamp=text) for text in arrivals]
+        (row,) = silver.latest_per_transaction(transactions(rows)).collect()
+        return row.arrival_timestamp
+
+    assert kept("2024-01-15T10:00:00.99Z", "2024-01-15T10:00:00.995Z") == "2024-01-15T10:00:00.995Z"
+    assert kept("not a time", "2024-01-15T10:00:00.000Z", None) == "2024-01-15T10:00:00.000Z"
+    assert kept("b", "a", None) == "b"
+    assert kept("2024-01-15T10:00:00.5Z", "2024-01-15T10:00:00.500Z") == "2024-01-15T10:00:00.5Z"
+
+
+def test_an_unreadable_arrival_replaces_nothing(spark, transactions, tmp_path):
+    path = str(tmp_path / "silver")
+    silver.upsert_silver(transactions([at(15, txn_id=A)]), path)
+    silver.upsert_silver(transactions([good(txn_id=A, arrival_timestamp="not a time", amount=9.0)]), path)
+    assert table(spark, path)[A].amount == 250.5
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
 def test_both_ways_to_the_latest_version_agree(transactions, tmp_path, conf, threshold):
     conf(spark__sql__autoBroadcastJoinThreshold=threshold)
