@@ -1,14 +1,13 @@
 """Silver: one row per transaction, kept current by upserts.
 
 Silver is a Parquet table with a folder per event date; a version file names the
-folders that make up the table. Rows without an id (NULL or
+folders that make up the table, and an index tells which files may hold an id. Rows without an id (NULL or
 blank) cannot be addressed by an upsert; the quarantine has them as ``no_id``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from collections.abc import Collection, Sequence
 
@@ -19,10 +18,11 @@ from pyspark.sql.window import Window
 
 from paystrata.functions.ids import has_id
 from paystrata.functions.times import parse_event_time
+from paystrata.operators import locator
 from paystrata.operators.duplicates import group_sizes
 from paystrata.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from paystrata.session import materialized, scratch_path
-from paystrata.sources import files
+from paystrata.sources import files, versions
 
 SILVER_SCHEMA = T.StructType(
     [
@@ -31,7 +31,7 @@ SILVER_SCHEMA = T.StructType(
         T.StructField("event_date", T.DateType()),
     ]
 )
-_VERSIONS = "_versions"
+_INDEX = "_files"
 _NO_DATE = "none"
 _LATEST_FIRST = ("arrival_timestamp", "txn_timestamp")
 
@@ -87,12 +87,18 @@ def silver_rows(latest: DataFrame, updated_at: Column | None = None) -> DataFram
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
-    return files.matching(spark, f"{path.rstrip('/')}/{_VERSIONS}/*.json")
+    return versions.listed(spark, path)
 
 
 def _folders(spark: SparkSession, version: str) -> dict[str, str]:
     """Date (or ``none``) to folder, one record per date."""
-    return json.loads(files.read_text(spark, version))
+    return versions.content(spark, version)
+
+
+def current_folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder of every event date (or ``none``) in the newest version."""
+    found = _versions(spark, path)
+    return _folders(spark, found[-1]) if found else {}
 
 
 def _read(spark: SparkSession, path: str, folders: Collection[str]) -> DataFrame:
@@ -101,6 +107,12 @@ def _read(spark: SparkSession, path: str, folders: Collection[str]) -> DataFrame
     return spark.read.schema(SILVER_SCHEMA).parquet(*(f"{path.rstrip('/')}/{name}" for name in sorted(folders)))
 
 
+def read_folders(spark: SparkSession, path: str, folders: Collection[str]) -> DataFrame:
+    """Rows of chosen folders of a version, with the ``slot`` (date or ``none``) they lie in."""
+    slot = F.coalesce(F.date_format("event_date", "yyyy-MM-dd"), F.lit(_NO_DATE))
+    return _read(spark, path, folders).withColumn("slot", slot)
+
+
 def read_silver(
     spark: SparkSession, path: str, dates: Collection[dt.date | None] | None = None
 ) -> DataFrame:
@@ -109,8 +121,7 @@ def read_silver(
     A version names its folders, so a reader sees one state of the table even
     while an upsert runs, and only the folders of the chosen dates are listed.
     """
-    versions = _versions(spark, path)
-    folders = _folders(spark, versions[-1]) if versions else {}
+    folders = current_folders(spark, path)
     if dates is not None:
         chosen = {_slot(date) for date in dates}
         folders = {slot: name for slot, name in folders.items() if slot in chosen}
@@ -123,8 +134,9 @@ def upsert_silver(
     """Merge new transactions into the silver table at ``path`` (runs jobs).
 
     * The batch is evaluated once. Only dates that receive rows, or hold an older
-      version of a received id, are rewritten; finding the latter reads the id and
-      date columns of the table.
+      version of a received id, are rewritten. The latter are found in the files
+      whose range of ids and Bloom filter allow a received id; other files are not
+      opened. Batches of more than ``locator.MOST_IDS`` ids read all ids.
     * Existing rows without a new version are copied where they are read: they only
       meet the (unique) new ids in a semi and an anti join, which become broadcasts
       when the batch is small, and are neither sorted nor shuffled for the write.
@@ -136,29 +148,40 @@ def upsert_silver(
     stay until the second upsert after the one that replaced them, for readers.
     """
     spark = txns.sparkSession
-    versions = _versions(spark, path)
-    current = _folders(spark, versions[-1]) if versions else {}
-    _remove_unnamed(spark, path, versions)
+    earlier = _versions(spark, path)
+    current = _folders(spark, earlier[-1]) if earlier else {}
+    _remove_unnamed(spark, path, earlier)
     scratch = scratch_path(spark, "upsert")
     try:
         batch = materialized(txns.select(*TRANSACTION_COLUMNS), f"{scratch}/batch")
         latest = latest_versions(batch, f"{scratch}/repeated")
         incoming = materialized(silver_rows(latest, updated_at), f"{scratch}/incoming")
-        named = _write_changed(incoming, path, current)
+        named = _write_changed(incoming, path, current, scratch)
     finally:
         files.delete(spark, scratch)
-    number = int(versions[-1].rsplit("/", 1)[1].removesuffix(".json")) + 1 if versions else 1
-    target = f"{path.rstrip('/')}/{_VERSIONS}/{number:012d}.json"
-    files.write_text(spark, target, json.dumps(named, indent=0), replace=False)
-    for old in versions[:-1]:
-        files.delete(spark, old)
+    versions.publish(spark, path, earlier, named)
+
+
+def _holders(ids: DataFrame, path: str, current: dict[str, str]) -> list[str]:
+    """Files, or whole folders where there is no index, that may hold one of the ids."""
+    spark = ids.sparkSession
+    if ids.count() > locator.MOST_IDS:
+        return list(current.values())
+    root = path.rstrip("/")
+    loads = {name.split("/")[1] for name in current.values()}
+    indexed = {load for load in loads if locator.has_index(spark, f"{root}/{_INDEX}/{load}")}
+    index = locator.read_index(spark, [f"{root}/{_INDEX}/{load}" for load in indexed])
+    # A load's later replaced dates stay in its index: one record per date is current.
+    index = index.where(F.regexp_extract("file", "^(.*)/[^/]*$", 1).isin(list(current.values())))
+    unknown = [name for name in current.values() if name.split("/")[1] not in indexed]
+    return [*locator.files_that_may_hold(index, ids), *unknown] if indexed else unknown
 
 
-def _write_changed(incoming: DataFrame, path: str, current: dict[str, str]) -> dict[str, str]:
+def _write_changed(incoming: DataFrame, path: str, current: dict[str, str], scratch: str) -> dict[str, str]:
     """Write the changed dates to a new folder; the folders of the next version."""
     spark = incoming.sparkSession
     ids = incoming.select("txn_id")
-    existing = _read(spark, path, current.values())
+    existing = _read(spark, path, _holders(ids, path, current))
     replaced = existing.select("txn_id", "event_date").join(ids, "txn_id", "left_semi")
     # One record per calendar day at most.
     affected = {
@@ -173,24 +196,54 @@ def _write_changed(incoming: DataFrame, path: str, current: dict[str, str]) -> d
     contested = in_affected.join(ids, "txn_id", "left_semi").unionByName(incoming)
     winners = latest_per_transaction(contested, tie_breakers=["updated_at"])
     merged = untouched.select(*SILVER_SCHEMA.names).unionByName(winners.hint("rebalance", "event_date"))
-    folder = f"data/{uuid.uuid4().hex}"
+    root, load = path.rstrip("/"), uuid.uuid4().hex
     slot = F.coalesce(F.date_format("event_date", "yyyy-MM-dd"), F.lit(_NO_DATE))
-    merged.withColumn("slot", slot).write.partitionBy("slot").parquet(f"{path.rstrip('/')}/{folder}")
+    merged.withColumn("slot", slot).write.partitionBy("slot").parquet(f"{root}/data/{load}")
     kept = {slot: name for slot, name in current.items() if slot not in affected}
-    for written in files.matching(spark, f"{path.rstrip('/')}/{folder}/slot=*"):
-        name = written.rsplit("/", 1)[1]
-        kept[name.removeprefix("slot=")] = f"{folder}/{name}"
+    written = files.matching(spark, f"{root}/data/{load}/slot=*")
+    for folder in written:
+        name = folder.rsplit("/", 1)[1]
+        kept[name.removeprefix("slot=")] = f"data/{load}/{name}"
+    if written:
+        locator.index_folder(spark, root, f"data/{load}", f"{root}/{_INDEX}/{load}", f"{scratch}/sizes")
     return kept
 
 
+def changed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What the newest version changed: ``sign`` -1 with the row before, 1 with the row after.
+
+    An inserted transaction has one row, an updated or moved one two. Only dates whose
+    folder differs between the two newest versions are read; rows that an upsert has
+    merely copied do not show. The sums of any measure times its sign are what the
+    upsert added to it.
+    """
+    found = _versions(spark, path)
+    after = _folders(spark, found[-1]) if found else {}
+    before = _folders(spark, found[-2]) if len(found) > 1 else {}
+    old, new = (
+        _read(spark, path, [name for slot, name in one.items() if other.get(slot) != name])
+        for one, other in ((before, after), (after, before))
+    )
+    row = F.struct(*SILVER_SCHEMA.names)
+    pairs = old.select("txn_id", row.alias("old")).join(new.select("txn_id", row.alias("new")), "txn_id", "full_outer")
+    differs = ~F.col("old").eqNullSafe(F.col("new"))
+    sides = F.array(
+        *(
+            F.when(F.col(side).isNotNull(), F.struct(F.lit(sign).alias("sign"), F.col(side).alias("row")))
+            for side, sign in (("old", -1), ("new", 1))
+        )
+    )
+    signed = pairs.where(differs).select(F.inline(F.filter(sides, lambda side: side.isNotNull())))
+    return signed.select("sign", "row.*")
+
+
 def _slot(date: dt.date | None) -> str:
     return _NO_DATE if date is None else date.isoformat()
 
 
-def _remove_unnamed(spark: SparkSession, path: str, versions: list[str]) -> None:
-    """Delete folders that neither of the two newest versions names: replaced
-    earlier, or left behind by a run that died."""
-    named = {name for version in versions[-2:] for name in _folders(spark, version).values()}
-    for written in files.matching(spark, f"{path.rstrip('/')}/data/*/slot=*"):
-        if "data/" + "/".join(written.split("/")[-2:]) not in named:
-            files.delete(spark, written)
+def _remove_unnamed(spark: SparkSession, path: str, earlier: list[str]) -> None:
+    """Delete folders that neither of the two newest versions names, and their indexes."""
+    named = {name for version in earlier[-2:] for name in _folders(spark, version).values()}
+    versions.remove_unnamed(spark, path, "data/*/slot=*", named)
+    loads = {name.split("/")[1] for name in named}
+    versions.remove_unnamed(spark, path, f"{_INDEX}/*", {f"{_INDEX}/{load}" for load in loads})

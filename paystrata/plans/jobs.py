@@ -96,9 +96,8 @@ def to_silver(args: argparse.Namespace) -> int:
 
 
 def to_gold(args: argparse.Namespace) -> int:
-    """Write the route cube of the whole silver table."""
-    rows = silver.read_silver(_session(args), args.silver)
-    gold.route_cube(rows).write.mode("overwrite").parquet(args.gold)
+    """Bring the route cube up to silver's newest version."""
+    gold.update_gold(_session(args), args.silver, args.gold)
     return 0
 
 

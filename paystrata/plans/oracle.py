@@ -635,6 +635,17 @@ def statements() -> dict[str, str]:
             f"kept AS ({latest('everything')}) "
             "SELECT *, txn_timestamp[1:10] AS event_date FROM kept"
         ),
+        "silver_changes": (
+            f"WITH {VERSIONS}, everything AS (SELECT {COLUMNS} FROM txns UNION ALL SELECT {COLUMNS} FROM versions), "
+            f"before AS ({latest('txns')}), after AS ({latest('everything')}) "
+            "SELECT -1 AS sign, * FROM (FROM before EXCEPT ALL FROM after) "
+            "UNION ALL SELECT 1 AS sign, * FROM (FROM after EXCEPT ALL FROM before)"
+        ),
+        "gold_incremental": (
+            f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM versions), "
+            f"kept AS ({latest('everything')}) SELECT {ROUTE}, CAST(GROUPING({ROUTE}) AS BIGINT) AS grouping_level, "
+            f"{MEASURES} FROM kept GROUP BY CUBE({ROUTE})"
+        ),
         "gold_routes": f"WITH {TXNS} SELECT {ROUTE}, {MEASURES} FROM txns GROUP BY {ROUTE}",
         "gold_rollup": _gold("ROLLUP"),
         "gold_cube": _gold("CUBE"),

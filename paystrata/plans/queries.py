@@ -674,6 +674,25 @@ def gold_cube(spark, folder):
     return _rounded_gold(gold.route_cube(read_transactions(spark, folder)))
 
 
+@query
+def silver_changes(spark, folder):
+    """What the second of two upserts changed: rows before and rows after."""
+    path = scratch_path(spark, "silver")
+    for batch in (read_transactions(spark, folder), versions(spark, folder)):
+        silver.upsert_silver(batch, path)
+    return silver.changed_rows(spark, path).select("sign", *TRANSACTION_COLUMNS)
+
+
+@query
+def gold_incremental(spark, folder):
+    """The route cube after three upserts, brought up to date after each of them."""
+    path, cube = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    for batch in (*in_two_deliveries(spark, folder), versions(spark, folder)):
+        silver.upsert_silver(batch, path)
+        gold.update_gold(spark, path, cube)
+    return _rounded_gold(gold.read_gold(spark, cube))
+
+
 @query
 def gold_daily(spark, folder):
     return _rounded_gold(gold.daily_summary(_bronze(spark, folder)))

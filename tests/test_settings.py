@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paystrata import session
+from paystrata.operators.gold import read_gold
 from paystrata.operators.parse import parse_transactions, to_bronze
 from paystrata.operators.silver import read_silver
 from paystrata.plans import jobs
@@ -107,7 +108,7 @@ def test_gate_job(spark, transactions, tmp_path):
     to_silver = ["silver", "--root", root, "--silver", silver, "--date", "2024-01-15"]
     assert jobs.main(to_silver) == 0 and read_silver(spark, silver).count() == 2
     assert jobs.main(["gold", "--silver", silver, "--gold", gold]) == 0
-    assert spark.read.parquet(gold).where("grouping_level = 7").first().n_txns == 2
+    assert read_gold(spark, gold).where("grouping_level = 7").first().n_txns == 2
     append_bronze(to_bronze(transactions(1)), root, rebalance=False)
     assert jobs.main(arguments) == 1
     assert jobs.main(to_silver) == 1

@@ -6,7 +6,7 @@ import pytest
 from payment_rows import good, plan_text
 from pyspark.sql import functions as F
 
-from paystrata.operators import silver
+from paystrata.operators import locator, silver
 from paystrata.sources import files
 
 A, B, C = "TXN-00000000000A", "TXN-00000000000B", "TXN-00000000000C"
@@ -169,6 +169,95 @@ def test_a_version_is_not_replaced(spark, tmp_path):
         files.write_text(spark, str(tmp_path / "v.json"), "2", replace=False)
 
 
+def opened(monkeypatch):
+    """Folders and files that an upsert reads, call by call."""
+    seen, real = [], silver._read
+
+    def watched(spark, path, folders):
+        seen.append(sorted(folders))
+        return real(spark, path, folders)
+
+    monkeypatch.setattr(silver, "_read", watched)
+    return seen
+
+
+def on(day, number, **changes):
+    return good(txn_id=f"TXN-{number:012X}", txn_timestamp=f"2024-01-{day:02}T09:00:00.000Z", **changes)
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_files_without_the_ids_are_not_opened(spark, transactions, tmp_path, monkeypatch, together):
+    path = str(tmp_path / "silver")
+    # Ids of the dates are either mixed (the filters tell) or in ranges (the bounds tell).
+    rows = [on(day, n * 5 + day if together else day * 1000 + n) for day in range(1, 6) for n in range(300)]
+    silver.upsert_silver(transactions(rows), path)
+    current = folders(spark, path)
+    seen = opened(monkeypatch)
+    moved = [{**rows[7], "txn_timestamp": "2024-01-04T09:00:00.000Z", "arrival_timestamp": "2024-01-16T10:00:00.000Z"}]
+    silver.upsert_silver(transactions(moved), path)
+    assert all(name.startswith(current["2024-01-01"] + "/") for name in seen[0]) and len(seen[0]) == 1
+    assert seen[1] == sorted([current["2024-01-01"], current["2024-01-04"]])
+    (row,) = [r for r in silver.read_silver(spark, path).collect() if r.txn_id == rows[7]["txn_id"]]
+    assert row.event_date == dt.date(2024, 1, 4) and silver.read_silver(spark, path).count() == 1500
+    seen.clear()
+    silver.upsert_silver(transactions([on(9, 10**9)]), path)
+    assert seen[0] == [] and silver.read_silver(spark, path).count() == 1501
+
+
+def test_every_id_is_found_among_several_blocks_and_loads(spark, tmp_path):
+    root = str(tmp_path)
+    for load in range(3):
+        ids = spark.range(load * 20_000, load * 20_000 + 20_000).selectExpr("concat('T', hash(id)) AS txn_id", "id % 3 AS slot")
+        ids.repartition(2, "slot").write.partitionBy("slot").parquet(f"{root}/data/{load}")
+        locator.index_folder(spark, root, f"data/{load}", f"{root}/_files/{load}", f"{root}/sizes{load}")
+    index = locator.read_index(spark, [f"{root}/_files/{load}" for load in range(3)])
+    assert max(r.n_blocks for r in index.select("n_blocks").collect()) == 4
+    held = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/data").select("txn_id", F.regexp_extract("_metadata.file_path", "(data/.*)$", 1).alias("file"))
+    for row in held.orderBy(F.rand(1)).limit(12).collect():
+        assert row.file in locator.files_that_may_hold(index, spark.createDataFrame([(row.txn_id,)], "txn_id string"))
+    everything = locator.files_that_may_hold(index, held.select("txn_id"))
+    assert everything == sorted({r.file for r in held.select("file").collect()})
+    strange = spark.range(200).selectExpr("concat('T', hash(id + 1000000)) AS txn_id").join(held, "txn_id", "left_anti")
+    assert len(locator.files_that_may_hold(index, strange)) <= 1
+
+
+def test_a_table_without_index_is_read_whole(spark, transactions, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    silver.upsert_silver(transactions([on(1, 1), on(2, 2)]), path)
+    files.delete(spark, f"{path}/_files")
+    seen = opened(monkeypatch)
+    silver.upsert_silver(transactions([on(2, 2, arrival_timestamp="2024-01-16T10:00:00.000Z", amount=1.0)]), path)
+    assert len(seen[0]) == 2 and silver.read_silver(spark, path).count() == 2
+
+
+def test_large_batches_read_all_ids(spark, transactions, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    silver.upsert_silver(transactions([on(1, 1), on(2, 2)]), path)
+    monkeypatch.setattr(locator, "MOST_IDS", 1)
+    seen = opened(monkeypatch)
+    silver.upsert_silver(transactions([on(3, 3), on(3, 4)]), path)
+    assert len(seen[0]) == 2 and silver.read_silver(spark, path).count() == 4
+
+
+def test_changed_rows(spark, transactions, tmp_path):
+    path = str(tmp_path / "silver")
+    assert silver.changed_rows(spark, path).count() == 0
+    silver.upsert_silver(transactions([on(1, 1), on(1, 2), on(2, 3)]), path)
+    assert [r.sign for r in silver.changed_rows(spark, path).collect()] == [1, 1, 1]
+    later = dict(arrival_timestamp="2024-01-16T10:00:00.000Z", amount=7.0)
+    silver.upsert_silver(transactions([on(2, 1, **later), on(1, 4)]), path)
+    rows = sorted((r.sign, r.txn_id[-1], r.amount, str(r.event_date)) for r in silver.changed_rows(spark, path).collect())
+    assert rows == [(-1, "1", 250.5, "2024-01-01"), (1, "1", 7.0, "2024-01-02"), (1, "4", 250.5, "2024-01-01")]
+
+
+def test_indexes_go_with_their_folders(spark, transactions, tmp_path):
+    path = str(tmp_path / "silver")
+    for day in range(15, 20):
+        silver.upsert_silver(transactions([at(day, txn_id=A, amount=float(day))]), path)
+    loads = {p.parent.name for p in (tmp_path / "silver/data").glob("*/slot=*")}
+    assert {p.name for p in (tmp_path / "silver/_files").glob("*")} == loads and len(loads) == 3
+
+
 def _lost(*_, **__):
     raise RuntimeError("driver lost")
 
