@@ -67,13 +67,23 @@ def summarize_rules(
     """One row per rule (and per group of ``by``), ordered columns as in
     :data:`SUMMARY_COLUMNS`. A rule over a missing column fails with an error;
     on an empty table all column rules hold and percentages are NULL."""
+    return finished_summary(rule_counts(df, suite, by), by)
+
+
+def rule_counts(
+    df: DataFrame, suite: Sequence[Rule] = BRONZE_SUITE, by: Sequence[str] = ()
+) -> DataFrame:
+    """What :func:`summarize_rules` counts, before verdicts and percentages."""
     grouping = [rule for rule in suite if _needs_grouping(df, rule)]
     others = [rule for rule in suite if rule not in grouping]
     parts = [_uniqueness(df, rule, by) for rule in grouping]
     if others:
         parts.append(_one_pass(df, others, by))
-    counts = reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts)
 
+
+def finished_summary(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The summary that counts (of :func:`rule_counts`) give."""
     elements, missing = F.col("element_count"), F.col("missing_count")
     unexpected = F.col("unexpected_count")
     present = elements - F.coalesce(missing, F.lit(0))
@@ -88,6 +98,41 @@ def summarize_rules(
     return finished.select(*by, *SUMMARY_COLUMNS)
 
 
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Counts of parts of a table as those of the whole; what a uniqueness rule counts
+    must be what each part adds (:func:`uniqueness_added`)."""
+    return counts.groupBy("rule_id", "rule_type", "column", "kwargs").agg(
+        *(F.sum(name).alias(name) for name in ("element_count", "missing_count", "unexpected_count")),
+        F.bool_and("holds").alias("holds"),
+        F.max("error").alias("error"),
+    )
+
+
+def uniqueness_added(sizes: DataFrame, before: DataFrame | None, rule: Rule) -> DataFrame:
+    """Counts that new rows add to a uniqueness rule.
+
+    ``sizes`` are the new rows' values with their numbers (``value``, ``n``), ``before``
+    those of all earlier parts, in which a value may occur several times. Only earlier
+    values that occur again are grouped; the earlier ones are not shuffled where the
+    new ones are small enough to broadcast.
+    """
+    if before is None:
+        known = sizes.withColumn("m", F.lit(0).cast("bigint"))
+    else:
+        again = before.join(sizes.select("value"), "value", "left_semi")
+        known = sizes.join(again.groupBy("value").agg(F.sum("n").alias("m")), "value", "left").fillna(0, ["m"])
+    n, m = F.col("n"), F.col("m")
+    repeated = F.when(n + m > 1, n + m).otherwise(0) - F.when(m > 1, m).otherwise(0)
+    is_null = F.col("value").isNull()
+    totals = known.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("_rows"),
+        F.coalesce(F.sum(F.when(is_null, n)), F.lit(0)).alias("_nulls"),
+        F.coalesce(F.sum(F.when(~is_null, repeated)), F.lit(0)).alias("_bad"),
+    )
+    outcome = _outcome(rule, elements=F.col("_rows"), missing=F.col("_nulls"), unexpected=F.col("_bad"))
+    return totals.select(F.inline(F.array(outcome)))
+
+
 def check_columns(
     present: Sequence[str], spark: SparkSession, suite: Sequence[Rule] = BRONZE_SUITE
 ) -> DataFrame:
@@ -195,25 +240,7 @@ def unexpected_samples(
     """
     present = [rule for rule in suite if rule.column in df.columns]
     row_rules = [rule for rule in present if rule.is_row_rule]
-    counted = []
-    if row_rules:
-        pairs = F.array(
-            *(
-                F.when(
-                    rule.unexpected(),
-                    F.struct(
-                        F.lit(rule.rule_id).alias("rule_id"),
-                        F.col(rule.column).cast("string").alias("value"),
-                    ),
-                )
-                for rule in row_rules
-            )
-        )
-        counted.append(
-            df.select(*by, F.inline(F.filter(pairs, lambda pair: pair.isNotNull())))
-            .groupBy(*by, "rule_id", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
+    counted = [broken_values(df, row_rules, by)] if row_rules else []
     counted += [
         _group_sizes(df, rule, by)
         .where(F.col("_value").isNotNull() & (F.col("_size") > 1))
@@ -229,14 +256,36 @@ def unexpected_samples(
     if not counted:
         empty = df.select(*by, F.lit(0).alias("rule_id"), F.lit("").alias("value"))
         return empty.withColumns({"n": F.lit(0).cast("bigint"), "place": F.lit(0)}).where("false")
-    ranking = Window.partitionBy(*by, "rule_id").orderBy(
-        F.col("n").desc(), F.col("value").asc_nulls_first()
+    return most_frequent(reduce(DataFrame.unionByName, counted), by, size)
+
+
+def broken_values(df: DataFrame, row_rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+    """``rule_id``, ``value``, ``n``: how often each unexpected value of the rules occurs."""
+    pairs = F.array(
+        *(
+            F.when(
+                rule.unexpected(),
+                F.struct(
+                    F.lit(rule.rule_id).alias("rule_id"),
+                    F.col(rule.column).cast("string").alias("value"),
+                ),
+            )
+            for rule in row_rules
+        )
     )
     return (
-        reduce(DataFrame.unionByName, counted)
-        .withColumn("place", F.row_number().over(ranking))
-        .where(F.col("place") <= size)
+        df.select(*by, F.inline(F.filter(pairs, lambda pair: pair.isNotNull())))
+        .groupBy(*by, "rule_id", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def most_frequent(counted: DataFrame, by: Sequence[str] = (), size: int = SAMPLE_SIZE) -> DataFrame:
+    """The first ``size`` values per rule, with their ``place``."""
+    ranking = Window.partitionBy(*by, "rule_id").orderBy(
+        F.col("n").desc(), F.col("value").asc_nulls_first()
     )
+    return counted.withColumn("place", F.row_number().over(ranking)).where(F.col("place") <= size)
 
 
 def suite_report(summary: DataFrame, samples: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -16,12 +16,19 @@ from paystrata.schema import DAY_COLUMNS, INGEST_COLUMN
 from paystrata.session import materialized, scratch_path
 from paystrata.sinks import reports
 from paystrata.sources import files
-from paystrata.sources.bronze import DayNotFound, read_bronze, read_day, read_unroutable
+from paystrata.sources.bronze import (
+    DayNotFound,
+    day_path,
+    file_manifest,
+    present_files,
+    read_bronze,
+    read_day,
+    read_listed,
+    read_unroutable,
+)
 
 logger = logging.getLogger(__name__)
 
-_MOMENT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
 
 def validate(
     df: DataFrame,
@@ -83,16 +90,31 @@ def _unroutable_by_day(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _ingested_until(df: DataFrame) -> str | None:
-    """The latest ingest time, as text with all its digits; None without rows."""
-    latest = F.coalesce(F.max(INGEST_COLUMN), F.current_timestamp())
-    row = df.agg(F.count(F.lit(1)).alias("rows"), F.date_format(latest, _MOMENT).alias("latest")).first()
-    return row.latest if row.rows else None
+def manifest_of(df: DataFrame) -> dict[str, list[int]]:
+    """Length, modification time and rows of each file behind a day (one record per file)."""
+    return {row.file: [row.length, row.modified, row.rows] for row in file_manifest(df).collect()}
 
 
-def _up_to(moment: str) -> Column:
-    ingested = F.col(INGEST_COLUMN)
-    return ingested.isNull() | (ingested <= F.lit(moment).cast("timestamp"))
+def conclude(
+    spark: SparkSession,
+    root: str,
+    reports_root: str,
+    date: dt.date,
+    report: DataFrame,
+    manifest: dict[str, list[int]],
+) -> bool:
+    """Write the day's report, and its marker if all rules hold; whether they do."""
+    unroutable = F.lit(count_unroutable(spark, root, date)).cast("bigint")
+    document = _as_document(report, F.lit(date.isoformat()), unroutable)
+    row = reports.report_documents(document, "passed").first()
+    path = reports.write_report(spark, reports_root, date, row.document)
+    if row.passed:
+        rows = sum(n for _, _, n in manifest.values())
+        reports.write_marker(spark, root, date, reports.Published(rows, manifest))
+        logger.info("all rules hold for %s", date)
+    else:
+        logger.error("rules broken for %s, see %s", date, path)
+    return row.passed
 
 
 def run_gate(
@@ -106,30 +128,21 @@ def run_gate(
 
     The report is written either way. A marker left by an earlier run is removed
     before anything else, so neither a day that no longer passes nor one whose
-    validation dies is read as published. Rows ingested after the start are not
-    validated, and the marker does not vouch for them. A day without rows raises
-    :class:`DayNotFound`.
+    validation dies is read as published. Files written after the start are not
+    validated, and the marker does not name them. A day without rows raises
+    :class:`DayNotFound`. Where only few files are new since the last run,
+    :func:`paystrata.plans.incremental.run_gate_incrementally` reads just those.
     """
     date = parse_logical_date(logical_date)
     scratch = scratch_path(spark, "gate")
     try:
         reports.remove_marker(spark, root, date)
         day = read_day(spark, root, logical_date)
-        until = _ingested_until(day)
-        if until is None:
+        manifest = manifest_of(day)
+        if not manifest:
             raise DayNotFound(f"no bronze rows for {logical_date} below {root}")
-        summary, report = validate(day.where(_up_to(until)), suite, scratch=scratch)
-        rows = summary.agg(F.max("element_count")).first()[0]
-        unroutable = F.lit(count_unroutable(spark, root, date)).cast("bigint")
-        document = _as_document(report, F.lit(logical_date), unroutable)
-        row = reports.report_documents(document, "passed").first()
-        path = reports.write_report(spark, reports_root, date, row.document)
-        if row.passed:
-            reports.write_marker(spark, root, date, reports.Published(until, rows))
-            logger.info("all rules hold for %s", logical_date)
-        else:
-            logger.error("rules broken for %s, see %s", logical_date, path)
-        return row.passed
+        _, report = validate(day, suite, scratch=scratch)
+        return conclude(spark, root, reports_root, date, report, manifest)
     except Exception:
         logger.exception("quality gate failed for %s", logical_date)
         raise
@@ -153,12 +166,9 @@ def run_gate_for_all_days(
     """
     reports.remove_markers(spark, root)
     days = read_bronze(spark, root).where(F.col(DAY_COLUMNS[0]).isNotNull())
-    until = _ingested_until(days)
-    if until is None:
-        return reports.read_reports(spark, reports_root)
     scratch = scratch_path(spark, "gate")
     try:
-        _report_days(spark, root, reports_root, suite, days.where(_up_to(until)), until, scratch)
+        _report_days(spark, root, reports_root, suite, days, scratch)
     finally:
         files.delete(spark, scratch)
     return reports.read_reports(spark, reports_root)
@@ -170,69 +180,70 @@ def _report_days(
     reports_root: str,
     suite: Sequence[Rule],
     days: DataFrame,
-    until: str,
     scratch: str,
 ) -> None:
-    summary, report = validate(days, suite, by=DAY_COLUMNS, scratch=scratch)
-    rows = summary.groupBy(*DAY_COLUMNS).agg(F.max("element_count").alias("n_validated"))
+    _, report = validate(days, suite, by=DAY_COLUMNS, scratch=scratch)
     day = F.make_date(*map(F.col, DAY_COLUMNS))
     unroutable = _unroutable_by_day(spark, root)
     counted = report.join(unroutable, day == unroutable["ingest_date"], "left")
+    parts = [F.regexp_extract("file", f"{name}=([0-9]+)/", 1).cast("int").alias(name) for name in DAY_COLUMNS]
+    listed = file_manifest(days).select(*parts, F.struct("file", "length", "modified", "rows").alias("entry"))
+    manifests = listed.groupBy(*DAY_COLUMNS).agg(F.collect_list("entry").alias("files"))
     document = _as_document(
         counted, F.date_format(day, "yyyy-MM-dd"), F.coalesce("n_unroutable", F.lit(0))
-    ).join(rows, list(DAY_COLUMNS))
-    documents = reports.report_documents(document, *DAY_COLUMNS, "passed", "n_validated")
+    ).join(manifests, list(DAY_COLUMNS))
+    documents = reports.report_documents(document, *DAY_COLUMNS, "passed", "files")
     for row in documents.toLocalIterator():
         date = dt.date(row.arrival_year, row.arrival_month, row.arrival_day)
         reports.write_report(spark, reports_root, date, row.document)
         if row.passed:
-            reports.write_marker(spark, root, date, reports.Published(until, row.n_validated))
+            manifest = {f.file: [f.length, f.modified, f.rows] for f in row.files}
+            rows = sum(f.rows for f in row.files)
+            reports.write_marker(spark, root, date, reports.Published(rows, manifest))
 
 
 def is_published(spark: SparkSession, root: str, logical_date: str) -> bool:
     return reports.has_marker(spark, root, parse_logical_date(logical_date))
 
 
+def _unchanged(published: reports.Published, present: dict[str, tuple[int, int]]) -> bool:
+    """True if every validated file is still there as it was."""
+    return all(present.get(name) == (length, modified) for name, (length, modified, _) in published.files.items())
+
+
+def _present(spark: SparkSession, folder: str) -> dict[str, tuple[int, int]]:
+    return {row.file: (row.length, row.modified) for row in present_files(spark, folder).collect()}
+
+
 def read_if_published(spark: SparkSession, root: str, logical_date: str) -> DataFrame | None:
-    """The validated rows of a day that the gate let pass, else None.
+    """The validated files of a day that the gate let pass, else None.
 
-    Rows that came after the validation are left out. If the day no longer has as
-    many validated rows as the marker says (counted from the file statistics where
-    they suffice), nothing is served.
+    Exactly the files that the marker names are read, so rows that came after the
+    validation do not show. If one of them is gone or has another length or
+    modification time (the folder is listed, no file is opened), nothing is served.
     """
     date = parse_logical_date(logical_date)
     if not reports.has_marker(spark, root, date):
         return None
     published = reports.read_marker(spark, reports.marker_path(root, date))
-    day = read_day(spark, root, logical_date).where(_up_to(published.ingested_until))
-    if day.count() != published.rows:
+    if not _unchanged(published, _present(spark, day_path(root, date))):
         logger.error("%s has changed since it was validated; run the gate again", logical_date)
         return None
-    return day
+    return read_listed(spark, root, published.files)
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    """Validated rows of all published days, as one partition-filtered scan.
+    """Validated files of all published days, as one scan.
 
-    Days that no longer have as many validated rows as their marker says, counted
-    for all days in one grouped pass (a record per day), are left out.
+    Days of which a validated file is gone or has changed are left out. The driver
+    holds the names of the published files, as it does for any scan of them.
     """
-    published = {
-        date.year * 10000 + date.month * 100 + date.day: reports.read_marker(spark, path)
-        for date, path in reports.markers(spark, root).items()
-    }
-    rows = read_bronze(spark, root)
+    published = {date: reports.read_marker(spark, path) for date, path in reports.markers(spark, root).items()}
     if not published:
-        return rows.where(F.lit(False))
-    until = {day: marker.ingested_until for day, marker in published.items()}
-    year, month, day = (F.col(name) for name in DAY_COLUMNS)
-    # One number per day keeps the filter flat however many days there are.
-    code = year * 10000 + month * 100 + day
-    latest = F.create_map(*(F.lit(part) for item in until.items() for part in item))
-    ingested = F.col(INGEST_COLUMN)
-    validated = rows.where(code.isin(list(until)) & (ingested.isNull() | (ingested <= latest[code].cast("timestamp"))))
-    counts = {r.code: r["count"] for r in validated.groupBy(code.alias("code")).count().collect()}
-    same = [n for n, marker in published.items() if counts.get(n, 0) == marker.rows]
+        return read_bronze(spark, root).where(F.lit(False))
+    present = _present(spark, root)
+    same = {date: marker for date, marker in published.items() if _unchanged(marker, present)}
     if len(same) < len(published):
-        logger.error("changed since they were validated: %s; run the gate again", sorted(set(published) - set(same)))
-    return validated.where(code.isin(same)) if same else rows.where(F.lit(False))
+        logger.error("changed since they were validated: %s; run the gate again", sorted(map(str, published.keys() - same.keys())))
+    names = [name for marker in same.values() for name in marker.files]
+    return read_listed(spark, root, names) if names else read_bronze(spark, root).where(F.lit(False))

@@ -550,6 +550,9 @@ def statements() -> dict[str, str]:
         "rule_summary_doubled": (
             f"WITH {DOUBLED}, {rule_counts('doubled')} SELECT {SUMMARY_COLUMNS} FROM summary"
         ),
+        "rule_summary_incremental": (
+            f"WITH {DOUBLED}, {rule_counts('doubled')} SELECT {SUMMARY_COLUMNS} FROM summary"
+        ),
         "schema_rule": _schema_rule(),
         "suite_statistics": (
             f"{summary} SELECT {STATISTICS}, "

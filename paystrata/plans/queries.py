@@ -30,7 +30,7 @@ from paystrata.operators import (
     silver,
     validation,
 )
-from paystrata.plans import gate
+from paystrata.plans import gate, incremental
 from paystrata.schema import DAY_COLUMNS, INGEST_COLUMN, PARTITION_COLUMNS, TRANSACTION_COLUMNS
 from paystrata.session import scratch_path, use_engine_conf
 from paystrata.sinks.bronze import append_bronze
@@ -347,6 +347,20 @@ def rule_summary_doubled(spark, folder):
     return _rounded(validation.summarize_rules(rows))
 
 
+@query
+def rule_summary_incremental(spark, folder):
+    """A table validated after each of two appends, the second with copies of earlier
+    rows: the second run reads the new files only."""
+    root, state = scratch_path(spark, "bronze"), scratch_path(spark, "state")
+    early, late = in_two_deliveries(spark, folder)
+    txns = read_transactions(spark, folder, keep=("event_id",))
+    again = txns.where(F.col("event_id") % 100 == 0).drop("event_id")
+    for delivery in (early, late.unionByName(again)):
+        append_bronze(parse.to_bronze(delivery), root)
+        summary, _, _ = incremental.validate_files(spark, root, read_bronze(spark, root), state)
+    return _rounded(summary)
+
+
 @query
 def schema_rule(spark, folder):
     """The column rule on the written table as Spark reads it, as the engine

@@ -40,10 +40,11 @@ REPORT_SCHEMA = """
 
 
 class Published(NamedTuple):
-    """What a marker vouches for: rows ingested up to ``ingested_until``."""
+    """What a marker vouches for: the validated files (relative to the table) with their
+    length, modification time and rows."""
 
-    ingested_until: str
     rows: int
+    files: dict[str, list[int]]
 
 
 def report_path(reports_root: str, date: dt.date) -> str:
@@ -82,7 +83,7 @@ def marker_path(root: str, date: dt.date) -> str:
 
 
 def write_marker(spark: SparkSession, root: str, date: dt.date, published: Published) -> None:
-    """Publish the day's rows that were ingested up to a moment, and how many they are."""
+    """Publish the day: exactly these files."""
     files.write_text(spark, marker_path(root, date), json.dumps(published._asdict()))
 
 

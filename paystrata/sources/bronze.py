@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystrata.functions.times import parse_logical_date
@@ -96,3 +97,40 @@ def read_day(spark: SparkSession, root: str, logical_date: str) -> DataFrame:
     return in_contract_order(
         rows.where((year == date.year) & (month == date.month) & (day == date.day))
     )
+
+
+FILE_SCHEMA = "file string, length bigint, modified bigint"
+
+
+def _below(path: Column, folder: str) -> Column:
+    """Path relative to the table, which begins with the folder's last part."""
+    return F.regexp_extract(path, f"({folder}.*)$", 1)
+
+
+def file_manifest(df: DataFrame) -> DataFrame:
+    """``file``, ``length``, ``modified``, ``rows`` of the Parquet files behind a table's rows.
+
+    One job that reads no column. The files are those listed when ``df`` was made: all
+    that is computed from ``df`` comes from them, whatever is written meanwhile.
+    """
+    return df.groupBy(
+        _below(F.col("_metadata.file_path"), f"{DAY_COLUMNS[0]}=").alias("file"),
+        F.col("_metadata.file_size").alias("length"),
+        F.unix_millis("_metadata.file_modification_time").alias("modified"),
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def present_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``file``, ``length``, ``modified`` of what now lies below a folder (listing only)."""
+    if not files.exists(spark, folder):
+        return spark.createDataFrame([], FILE_SCHEMA)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return listing.load(folder).select(
+        _below(F.col("path"), f"{DAY_COLUMNS[0]}=").alias("file"), "length", F.unix_millis("modificationTime").alias("modified")
+    )
+
+
+def read_listed(spark: SparkSession, root: str, names: Collection[str]) -> DataFrame:
+    """Exactly the named files (relative to the table)."""
+    paths = [f"{root.rstrip('/')}/{name}" for name in sorted(names)]
+    return in_contract_order(spark.read.option("basePath", root).parquet(*paths))
