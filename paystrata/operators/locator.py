@@ -43,7 +43,8 @@ def _block(key: Column, n_blocks: Column) -> Column:
     return F.pmod(F.xxhash64(key), n_blocks).cast("int")
 
 
-def _has_bit(bits: Column, position: Column) -> Column:
+def has_bit(bits: Column, position: Column) -> Column:
+    """Whether a bitmap of ``bitmap_construct_agg`` has a bit at ``position``."""
     byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
     return F.getbit(byte.cast("int"), position % 8) == 1
 
@@ -87,7 +88,7 @@ def files_that_may_hold(index: DataFrame, ids: DataFrame, key: str = "txn_id") -
     ).withColumn("block", _block(F.col("id"), F.col("n_blocks")))
     found = near.join(wanted, ["n_blocks", "block"]).where((F.col("id") >= F.col("low")) & (F.col("id") <= F.col("high")))
     for position in _positions(F.col("id")):
-        found = found.where(_has_bit(F.col("bits"), position))
+        found = found.where(has_bit(F.col("bits"), position))
     return sorted(row.file for row in found.select("file").distinct().collect())
 
 
