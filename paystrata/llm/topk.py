@@ -20,10 +20,10 @@ from pyspark.sql.window import Window
 
 from paystrata.llm.common import is_finite_vector, shuffle_width, written
 
-#: Vectors per block, unless that makes more than MAX_BLOCKS blocks.
-BLOCK_ROWS, MAX_BLOCKS = 1024, 4096
-#: Queries that a task holds at once.
-QUERY_ROWS = 1024
+#: Vectors per block at most, and components: a task holds one block at a time.
+BLOCK_ROWS, BLOCK_CELLS = 1 << 15, 1 << 23
+#: A small table is cut into blocks of at least this many vectors, one per task.
+LEAST_ROWS = 1024
 #: Longest vectors against which every query gets its first bound.
 HEAD_ROWS = 4096
 
@@ -56,19 +56,48 @@ def _gram(rows: DataFrame, width: int) -> np.ndarray:
     return out.reshape(width, width)
 
 
+_LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+
 class _Exact:
-    """Inner products in whole numbers: by matrix product while doubles hold them."""
+    """Inner products in whole numbers: by matrix product while doubles hold them, else
+    in longs, and where they could leave these, in Python's integers, cut to a long."""
+
+    @classmethod
+    def all(cls, queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Rows are taken by size class, so that a few large ones do not slow the others."""
+        classes = [np.frexp(_largest(rows))[1] // 12 for rows in (queries, vectors)]
+        out = np.zeros((len(queries), len(vectors)), np.int64)
+        for c in np.unique(classes[0]):
+            for d in np.unique(classes[1]):
+                i, j = np.flatnonzero(classes[0] == c), np.flatnonzero(classes[1] == d)
+                whole = len(i) == len(queries) and len(j) == len(vectors)
+                if whole:
+                    return cls._alike(queries, vectors)
+                out[np.ix_(i, j)] = cls._alike(queries[i], vectors[j])
+        return out
 
     @staticmethod
-    def all(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        reach = np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) * float(queries.shape[1])
+    def _alike(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        reach = _largest(queries).max() * _largest(vectors).max() * queries.shape[1]
         if reach < 2**52:
             return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
-        return queries @ vectors.T
+        if reach < 2**62:
+            return queries @ vectors.T
+        return np.clip(queries.astype(object) @ vectors.astype(object).T, _LEAST, _MOST).astype(np.int64)
 
     @staticmethod
     def pairs(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        return np.einsum("ij,ij->i", queries, vectors)
+        wide = np.flatnonzero(_largest(queries) * _largest(vectors) * queries.shape[1] >= 2**62)
+        out = np.einsum("ij,ij->i", queries, vectors)  # wraps in the wide rows
+        for at in wide:
+            out[at] = min(max(sum(int(a) * int(b) for a, b in zip(queries[at], vectors[at])), _LEAST), _MOST)
+        return out
+
+
+def _largest(rows: np.ndarray) -> np.ndarray:
+    """Largest component of each row, as a double (longs have no absolute of their least)."""
+    return np.abs(rows.astype(np.float64)).max(1, initial=0)
 
 
 class _Chunk:
@@ -79,7 +108,7 @@ class _Chunk:
         self.keys, self.rows = queries.column("id").to_numpy(), queries.column("row").to_numpy()
         self.q = _matrix(queries.column("q"), width)
         self.bound = queries.column("bound").to_numpy().astype(np.float64)
-        self.rotated = self.q @ rotation
+        self.rotated = self.q.astype(np.float64) @ rotation
         self.norm = np.linalg.norm(self.rotated, axis=1)
         self.head = width if width < 8 else max(4, width // 4)
         self.rest = np.sqrt(np.maximum(0, self.norm**2 - (self.rotated[:, : self.head] ** 2).sum(1)))
@@ -91,7 +120,7 @@ class _Chunk:
         """Vectors in descending length."""
         v = _matrix(vectors.column("q"), self.width)
         ids, rows = vectors.column("id").to_numpy(), vectors.column("row").to_numpy()
-        rotated = v @ self.rotation
+        rotated = v.astype(np.float64) @ self.rotation
         norm = np.linalg.norm(rotated, axis=1)
         # What rounding may add to any of the sums below.
         slack = 1e-9 * (1 + self.norm * norm.max(initial=0))
@@ -123,7 +152,7 @@ class _Chunk:
         q = np.concatenate([np.repeat(np.arange(n), have)[old_used.reshape(-1)], query])
         s = np.concatenate([old_score[old_used], score])
         v = np.concatenate([old_vec[old_used], vec])
-        order = np.lexsort((v, -s, q))
+        order = np.lexsort((v, ~s, q))  # ~s falls as s rises, without overflow
         q, s, v = q[order], s[order], v[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
         top = place < self.k
@@ -147,34 +176,29 @@ class _Chunk:
 
 
 def _search(width: int, rotation: np.ndarray, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows: per block and chunk first the queries, then the vectors, longest first."""
-    key, chunk, queries = None, None, []
-
-    def pieces() -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
-        for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "chunk", "is_vector")]
-            changed = np.zeros(max(0, batch.num_rows - 1), bool)
-            for c in columns:
-                changed |= c[1:] != c[:-1]
-            edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if b > a:
-                    yield (columns[0][a], columns[1][a]), bool(columns[2][a]), batch.slice(a, b - a)
-
-    for now, is_vector, rows in pieces():
-        if now != key:
-            if chunk is not None and (answer := chunk.answers()) is not None:
-                yield answer
-            key, chunk, queries = now, None, []
-        if not is_vector:
-            queries.append(rows)
-        elif queries:
-            if chunk is None:
-                chunk = _Chunk(pa.Table.from_batches(queries), width, rotation, k)
-            if chunk.open:
+    """Sorted rows: per block first the vectors, longest first, which stay; then the
+    queries, which stream by, a batch at a time."""
+    key, vectors = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        blocks = batch.column("block").to_numpy()
+        kinds = batch.column("is_query").to_numpy()
+        edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+            part = batch.slice(a, b - a)
+            if blocks[a] != key:
+                key, vectors = blocks[a], []
+            if not kinds[a]:
+                vectors.append(part)
+                continue
+            chunk = _Chunk(pa.Table.from_batches([part]), width, rotation, k)
+            for rows in vectors:
                 chunk.look(rows)
-    if chunk is not None and (answer := chunk.answers()) is not None:
-        yield answer
+                if not chunk.open:
+                    break
+            if (answer := chunk.answers()) is not None:
+                yield answer
 
 
 def top_inner_products(
@@ -186,7 +210,6 @@ def top_inner_products(
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     block_rows: int = BLOCK_ROWS,
-    query_rows: int = QUERY_ROWS,
     head_rows: int = HEAD_ROWS,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: each query's ``k`` best other rows.
@@ -196,7 +219,10 @@ def top_inner_products(
     repeats its id is another row). Ties go to the smaller id. Vectors that are null
     or hold null or non-finite components take no part, nor do rows with a null id;
     shorter vectors count as ending in zeros. Fewer candidates give fewer answers,
-    an empty table none. Scores are meant to fit a long.
+    an empty table none. A component or score beyond a long counts as the nearest long.
+
+    Every vector moves once, to its block; a query moves to the blocks whose longest
+    vector can reach its bound, and streams by the block's vectors there.
     """
     spark = vectors.sparkSession
     whole = F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("long"))
@@ -213,9 +239,9 @@ def top_inner_products(
     rotation = np.ascontiguousarray(basis[:, ::-1])
 
     # A block is a run of rows of one sorted partition; its number counts runs in
-    # order of length. Runs are long enough for MAX_BLOCKS of them (and one more per
-    # partition) to do.
-    run = max(block_rows, -(-n // MAX_BLOCKS))
+    # order of length.
+    run = min(block_rows, BLOCK_CELLS // width, max(LEAST_ROWS, -(-n // shuffle_width(spark))))
+    run = max(1, run)
     low_bits = F.lit((1 << 33) - 1)
     run_key = F.struct(F.shiftright("row", 33).alias("part"), F.floor(F.col("row").bitwiseAND(low_bits) / run).alias("run"))
     lengths = ordered.groupBy(run_key.alias("run")).agg(F.max("norm").alias("longest")).orderBy("run").collect()
@@ -254,22 +280,12 @@ def top_inner_products(
     asked = ordered.where(F.col("id") % every == 0).select("id", "row", "q", "norm")
     bounded = asked.mapInArrow(bound, "id long, row long, q array<long>, bound double, reach int")
     bounded = written(bounded.where("reach > 0"), "query-bounds")
-    n_queries = bounded.count()
-    chunks = max(1, -(-n_queries // query_rows))
-    # Queries of like reach share a chunk, so a block meets the chunks that need it.
-    chunked = written(
-        bounded.repartitionByRange(chunks, F.desc("reach"), "row").withColumn("chunk", F.spark_partition_id()), "query-chunks"
-    )
-    reach = chunked.groupBy("chunk").agg(F.max("reach").alias("reach"))
-    sides = chunked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("reach") - 1))).select(
-        "block", "chunk", F.lit(0).alias("is_vector"), F.lit(0.0).alias("norm"), "id", "row", "q", "bound"
-    )
-    met = reach.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("reach") - 1))).select("chunk", "block")
-    stored = blocked.join(met, "block").select(
-        "block", "chunk", F.lit(1).alias("is_vector"), "norm", "id", "row", "q", F.lit(0.0).alias("bound")
+    asked = bounded.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("reach") - 1))).select(
+        "block", F.lit(1).alias("is_query"), F.lit(0.0).alias("norm"), "id", "row", "q", "bound"
     )
-    both = sides.unionByName(stored).repartition(shuffle_width(spark), "block", "chunk")
-    found = both.sortWithinPartitions("block", "chunk", "is_vector", F.desc("norm")).mapInArrow(
+    stored = blocked.select("block", F.lit(0).alias("is_query"), "norm", "id", "row", "q", F.lit(0.0).alias("bound"))
+    both = stored.unionByName(asked).repartition(shuffle_width(spark), "block")
+    found = both.sortWithinPartitions("block", "is_query", F.desc("norm")).mapInArrow(
         lambda it: _search(width, rotation, k, it), "row long, query_id long, vec_id long, score long"
     )
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")

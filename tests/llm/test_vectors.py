@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 
@@ -96,7 +98,7 @@ def test_no_vectors(llm):
     assert {(r.vec_id, r.n_links) for r in lattice.near_duplicates(only).collect()} == {(1, 0), (50, 0)}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block_rows": 20, "query_rows": 3, "head_rows": 8}])
+@pytest.mark.parametrize("sizes", [{}, {"block_rows": 20, "head_rows": 8}])
 def test_top_inner_products(llm, clash, sizes):
     rng = np.random.default_rng(3)
     rows = [(k, (rng.normal(size=16) * rng.lognormal()).astype(np.float32).tolist()) for k in range(600)]
@@ -114,3 +116,49 @@ def test_top_inner_products(llm, clash, sizes):
         want += [(int(ids[at]), n + 1, int(ids[j]), int(score[j])) for n, j in enumerate(order)]
     got = topk.top_inner_products(clash(llm.createDataFrame(rows, SCHEMA)), **sizes).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+LONG = (-(2**63), 2**63 - 1)
+
+
+def cut(x):
+    return min(max(x, LONG[0]), LONG[1])
+
+
+@pytest.mark.parametrize("reach", [1e4, 1.4e7, 1e8, 1e15, 1e30])
+@pytest.mark.parametrize("few", [False, True])
+def test_large_components_give_exact_scores_up_to_a_long(llm, reach, few):
+    """Components and scores beyond a long count as the nearest long."""
+    rng = np.random.default_rng(4)
+    rows = [(k, (rng.uniform(-1, 1, 4) * (reach if k < 8 or not few else 1)).tolist()) for k in range(160)]
+    rows += [(1000 + k, [reach, -reach, reach, 1.0]) for k in range(3)]
+    whole = [(i, [cut(math.floor(256 * x)) for x in v]) for i, v in rows]
+    want = []
+    for at, (anchor, q) in enumerate(whole):
+        if anchor % 50 == 0:
+            scored = sorted((-cut(sum(a * b for a, b in zip(q, v))), i) for j, (i, v) in enumerate(whole) if j != at)
+            want += [(anchor, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_inner_products(df, block_rows=30, head_rows=9)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_every_vector_moves_once(llm, monkeypatch):
+    seen = {0: llm.sparkContext.accumulator(0), 1: llm.sparkContext.accumulator(0)}
+    real = topk._search
+
+    def counting(width, rotation, k, batches):
+        def watched():
+            for batch in batches:
+                kinds = batch.column("is_query").to_numpy()
+                seen[0].add(int((kinds == 0).sum()))
+                seen[1].add(int((kinds == 1).sum()))
+                yield batch
+
+        return real(width, rotation, k, watched())
+
+    monkeypatch.setattr(topk, "_search", counting)
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(500)]
+    topk.top_inner_products(llm.createDataFrame(rows, SCHEMA), block_rows=25, every=5, head_rows=20).collect()
+    assert seen[0].value == 500 and 100 <= seen[1].value <= 100 * 28
