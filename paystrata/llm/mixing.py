@@ -18,8 +18,11 @@ from paystrata.llm.common import WORD, written
 
 #: Documents of one source and length are ranked in buckets of about this many.
 BUCKET_ROWS = 4096
-#: Budgets up to this many words go to the dynamic programme as they are.
+#: Words that the dynamic programme first decides on; it gets sixteen times as many
+#: whenever it misses the budget, until it decides on all of it.
 EXACT_WORDS = 1 << 16
+#: Bits of all its sets of sums together (256 MB), the bound on its memory.
+MOST_BITS = 1 << 31
 
 
 def word_count(text: Column) -> Column:
@@ -55,32 +58,55 @@ def source_targets(totals: DataFrame, *, weights: tuple[float, ...], share: floa
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
     """How many documents of each length to take so that the words come to ``budget``.
 
-    The result never exceeds the budget and misses it only if no choice found
-    reaches it.
+    The result never exceeds the budget. It is the closest that any choice comes to it
+    as long as ``MOST_BITS`` hold the sets of sums (one bit per word of the budget for
+    each power of two of each length's count); beyond that, the closest one found.
     """
     total = int((sizes * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(sizes), np.int64)
     if budget >= total:
         return counts.copy()
+    words, best, least = EXACT_WORDS, None, None
+    while True:
+        taken, left = _even_share(sizes, counts, budget, words)
+        missed = _completed(sizes, counts, taken, left, seed)
+        if least is None or missed < least:
+            best, least = taken, missed
+        if not missed or words >= min(budget, MOST_BITS):
+            return best
+        words *= 16
+
+
+def _even_share(sizes: np.ndarray, counts: np.ndarray, budget: int, words: int) -> tuple[np.ndarray, int]:
+    """An even share of each length, and the words left to decide on: about ``words``,
+    or twice the longest document where that is less and ``words`` the first try."""
+    if words >= budget:
+        return np.zeros(len(sizes), np.int64), budget
+    total = int((sizes * counts).sum())
     taken = np.array([int(c) * budget // total for c in counts], np.int64)
     left = budget - int((taken * sizes).sum())
     order = np.argsort(-sizes, kind="stable")
     for i in order:  # at most one more of each length, until the programme can take over
-        if left <= EXACT_WORDS:
+        if left <= words:
             break
         if 0 < sizes[i] <= left and taken[i] < counts[i]:
             taken[i] += 1
             left -= int(sizes[i])
     # Give back short documents, so that the programme has a choice.
+    choice = min(2 * int(sizes.max()), words) if words == EXACT_WORDS else words
     for i in order[::-1]:
-        lacking = min(2 * int(sizes.max()), EXACT_WORDS) - left
-        if lacking <= 0:
+        if left >= choice:
             break
         if sizes[i] > 0:
-            back = min(int(taken[i]), -(-lacking // int(sizes[i])))
+            back = min(int(taken[i]), -(-(choice - left) // int(sizes[i])))
             taken[i] -= back
             left += back * int(sizes[i])
+    return taken, left
+
+
+def _completed(sizes: np.ndarray, counts: np.ndarray, taken: np.ndarray, left: int, seed: int) -> int:
+    """Add documents to ``taken`` that come as close to ``left`` words as can be; what is missed."""
     # Bit s of ``sums`` says that the items so far can add up to s.
     sums, mask, steps = 1, (1 << (left + 1)) - 1, []
     for i in np.random.default_rng(seed).permutation(len(sizes)):
@@ -89,6 +115,8 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
             continue
         spare = min(spare, left // size)
         while spare > 0 and not sums >> left & 1:  # 1, 2, 4, … copies as one item
+            if (len(steps) + 1) * left > MOST_BITS and steps:
+                break
             copies = min(block, spare)
             steps.append((i, copies, sums))
             sums = (sums | sums << size * copies) & mask
@@ -97,11 +125,12 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         if sums >> left & 1:
             break
     reached = sums.bit_length() - 1
+    missed = left - reached
     for i, copies, earlier in reversed(steps):
         if not earlier >> reached & 1:
             taken[i] += copies
             reached -= int(sizes[i]) * copies
-    return taken
+    return missed
 
 
 def mix_sources(

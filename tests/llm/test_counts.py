@@ -89,10 +89,28 @@ def test_budgets_are_met_exactly_where_possible():
         taken = mixing.fit_budget(sizes, counts, budget, 7)
         reached = int((taken * sizes).sum())
         assert (taken >= 0).all() and (taken <= counts).all() and reached <= budget
-        assert reached == max(x for x in sums if x <= budget) or budget - reached < sizes.max()
+        assert reached == max(x for x in sums if x <= budget)
     assert mixing.fit_budget(np.array([3, 5]), np.array([10**9, 10**9]), 4 * 10**9 + 1, 7) @ np.array([3, 5]) == 4 * 10**9 + 1
 
 
+@pytest.mark.parametrize("words", [4, 16, 1 << 16])
+def test_budgets_are_met_whatever_the_programme_starts_with(monkeypatch, words):
+    monkeypatch.setattr(mixing, "EXACT_WORDS", words)
+    test_budgets_are_met_exactly_where_possible()
+
+
+@pytest.mark.parametrize(
+    ("sizes", "budget"), [([70_000, 70_001, 150_000], 5_000_001), ([7_000, 7_001, 15_000], 500_001), ([90_001, 200_000], 4_000_009)]
+)
+def test_long_documents_fit_exactly(sizes, budget):
+    sizes, counts = np.array(sizes), np.full(len(sizes), 40)
+    reachable = {0}
+    for size in sizes.tolist():
+        reachable = {x + k * size for x in reachable for k in range(41) if x + k * size <= budget}
+    taken = mixing.fit_budget(sizes, counts, budget, 7)
+    assert (taken <= counts).all() and taken @ sizes == max(reachable)
+
+
 ALPHABET = ["a", "b", " ", "  ", "▁", "\n", "é", "ﬁ", "\0", "　", "한", "😀", "­", "é", "Ⅷ", "\t", "<s>", "<unk>", "\x7f", "﻿", "The "]
 
 
