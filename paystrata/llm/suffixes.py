@@ -28,6 +28,8 @@ MIN_BYTES, GRAM_BYTES = 400, 100
 GROUP_ANCHORS = 4096
 #: Groups up to this size are compared pair by pair, larger ones offset by offset.
 PAIRED = 64
+#: Bits of the table that tells which grams may repeat.
+FILTER_BITS = 1 << 27
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 16
 
@@ -353,6 +355,30 @@ def _all_spans(items: DataFrame, min_bytes: int, group_anchors: int) -> DataFram
         items = written(rest.union(first.select("one.*")), "anchor-items")
 
 
+def _likely(anchors: DataFrame, twice: DataFrame) -> DataFrame:
+    """Anchors whose gram falls on a bit that a repeated gram has set.
+
+    Most grams occur once; their anchors need not move to meet the repeated ones. The
+    bitmap has ``FILTER_BITS`` bits (16 MB) whatever the data, so it may be broadcast;
+    the more grams share a bit, the more anchors pass that the join then drops.
+    """
+    bit = F.col("gram").bitwiseAND(F.lit(FILTER_BITS - 1))
+    part, position = F.shiftright(bit, 15).cast("int"), bit.bitwiseAND(F.lit((1 << 15) - 1)).cast("int")
+    parts = twice.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(position).alias("bits")).collect()
+    table = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in parts:
+        table[row.part << 12 : (row.part + 1) << 12] = np.frombuffer(row.bits, np.uint8)
+    shared = twice.sparkSession.sparkContext.broadcast(table)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch.column("gram").to_numpy() & (FILTER_BITS - 1)
+            yield batch.filter(pa.array(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0))
+
+    return anchors.mapInArrow(passing, "gram long, tkey binary, pos long")
+
+
 def repeats(
     docs: DataFrame, *, min_bytes: int = MIN_BYTES, gram: int = GRAM_BYTES, group_anchors: int = GROUP_ANCHORS
 ) -> tuple[DataFrame, DataFrame]:
@@ -405,7 +431,8 @@ def repeats(
     # the map side, and the join splits a gram that many texts have.
     place = F.xxhash64("tkey", "pos")
     twice = anchors.groupBy("gram").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("gram")
-    repeated = anchors.join(twice, "gram").distinct()
+    twice = written(twice, "repeated-grams")
+    repeated = _likely(anchors, twice).join(twice, "gram").distinct()
     # A list per text, bounded by the text's length.
     marks = repeated.groupBy("tkey").agg(F.collect_list(F.struct("pos", "gram")).alias("marks"))
     selves = own.distinct().groupBy("tkey").agg(F.collect_list(F.struct("begin", "end")).alias("own"))
