@@ -2,6 +2,7 @@
 
     spark-submit … -m paystrata.plans.jobs bronze --bootstrap HOST:PORT \\
         --root URI --checkpoint URI
+    spark-submit … -m paystrata.plans.jobs compact --root URI [--since YYYY-MM-DD] [--until YYYY-MM-DDTHH:MM]
     spark-submit … -m paystrata.plans.jobs gate --root URI --reports URI --date YYYY-MM-DD
     spark-submit … -m paystrata.plans.jobs gate --root URI --reports URI --all-days
     spark-submit … -m paystrata.plans.jobs silver --root URI --silver URI --date YYYY-MM-DD
@@ -14,6 +15,7 @@ Logging is left to the caller's configuration.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import signal
 import sys
 import threading
@@ -23,7 +25,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from paystrata.operators import gold, parse, silver
-from paystrata.plans import gate
+from paystrata.plans import compaction, gate
 from paystrata.session import engine_session, object_store_conf
 from paystrata.sources.envelopes import DEFAULT_TOPIC, stream_from_kafka
 from paystrata.streaming.bronze import start_bronze_batches, start_bronze_files
@@ -77,6 +79,13 @@ def bronze(args: argparse.Namespace) -> int:
     return follow(query, stop)
 
 
+def compact(args: argparse.Namespace) -> int:
+    """Merge the batches of hours that have ended (by now, unless told otherwise)."""
+    until = args.until or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    compaction.compact_bronze(_session(args), args.root, since=args.since, until=until)
+    return 0
+
+
 def check(args: argparse.Namespace) -> int:
     spark = _session(args)
     if not args.all_days:
@@ -122,6 +131,10 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--max-offsets-per-trigger", type=int)
     stream.add_argument("--min-partitions", type=int)
 
+    merge = job("compact", compact, "one folder per hour instead of one per trigger", "root")
+    merge.add_argument("--since", type=dt.date.fromisoformat)
+    merge.add_argument("--until", type=dt.datetime.fromisoformat, help="UTC; default: now")
+
     days = job("gate", check, "validate arrival days", "root", "reports").add_mutually_exclusive_group(required=True)
     days.add_argument("--date")
     days.add_argument("--all-days", action="store_true")

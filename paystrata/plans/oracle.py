@@ -656,6 +656,7 @@ def statements() -> dict[str, str]:
         "stream_bronze": bronze_rows,
         "stream_quarantine": QUARANTINE,
         "stream_replay": bronze_rows,
+        "bronze_compacted": bronze_rows,
         "stream_dedupe": bronze_rows,
         "stream_rates": RATES,
     }

@@ -7,6 +7,7 @@ that table by Spark.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
@@ -30,7 +31,7 @@ from paystrata.operators import (
     silver,
     validation,
 )
-from paystrata.plans import gate, incremental
+from paystrata.plans import compaction, gate, incremental
 from paystrata.schema import DAY_COLUMNS, INGEST_COLUMN, PARTITION_COLUMNS, TRANSACTION_COLUMNS
 from paystrata.session import scratch_path, use_engine_conf
 from paystrata.sinks.bronze import append_bronze
@@ -755,6 +756,25 @@ def stream_replay(spark, folder):
     return transactions_of(read_bronze(spark, root))
 
 
+@query
+def bronze_compacted(spark, folder):
+    """Four batches, merged after the third and after the fourth; the third is replayed
+    in between, and the folders that no longer count are removed before the second run."""
+    txns, root = read_transactions(spark, folder, keep=("event_id",)), scratch_path(spark, "bronze")
+
+    def deliver(number: int) -> None:
+        batch = parse.encode_envelopes(txns.where(F.col("event_id") % 4 == number))
+        bronze_stream.write_bronze_batch(batch, f"stream-{number}", root)
+
+    for number in range(3):
+        deliver(number)
+    compaction.compact_bronze(spark, root)
+    deliver(2)
+    deliver(3)
+    compaction.compact_bronze(spark, root, grace=dt.timedelta(0))
+    return transactions_of(read_bronze(spark, root))
+
+
 @query
 def stream_dedupe(spark, folder):
     """Messages from the far future first, then all, then a hundredth of them again."""

@@ -35,6 +35,8 @@ TRANSACTION_COLUMNS = tuple(TRANSACTION_SCHEMA.names)
 DAY_COLUMNS = ("arrival_year", "arrival_month", "arrival_day")
 PARTITION_COLUMNS = (*DAY_COLUMNS, "arrival_hour")
 INGEST_COLUMN = "pipeline_timestamp"
+# Folder level of the callback sink: one per micro-batch and hour.
+BATCH_COLUMN = "ingest_batch"
 BRONZE_COLUMNS = (*TRANSACTION_COLUMNS, *PARTITION_COLUMNS, INGEST_COLUMN)
 
 # Spark's default name for the text of a record that did not parse cleanly.

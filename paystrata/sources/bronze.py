@@ -11,19 +11,24 @@ from pyspark.sql import functions as F
 
 from paystrata.functions.times import parse_logical_date
 from paystrata.schema import BRONZE_COLUMNS, DAY_COLUMNS
-from paystrata.sources import files
+from paystrata.sources import files, snapshots
 
 
 class DayNotFound(LookupError):
     """The bronze table holds no rows for the logical date."""
 
 
+def day_name(date: dt.date) -> str:
+    """Folder of one arrival day below the table; partition values are not zero-padded."""
+    return f"arrival_year={date.year}/arrival_month={date.month}/arrival_day={date.day}"
+
+
 def day_path(root: str, date: dt.date) -> str:
-    """Folder of one arrival day; partition values are not zero-padded."""
-    return (
-        f"{root.rstrip('/')}/arrival_year={date.year}"
-        f"/arrival_month={date.month}/arrival_day={date.day}"
-    )
+    return f"{root.rstrip('/')}/{day_name(date)}"
+
+
+#: Folder of the rows without an arrival day.
+NO_DAY = "/".join(f"{name}=__HIVE_DEFAULT_PARTITION__" for name in DAY_COLUMNS)
 
 
 def has_commit_log(spark: SparkSession, root: str) -> bool:
@@ -56,7 +61,8 @@ def in_contract_order(df: DataFrame) -> DataFrame:
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return in_contract_order(spark.read.parquet(root))
+    paths = snapshots.paths_of_table(spark, root)
+    return in_contract_order(spark.read.option("basePath", root).parquet(*paths))
 
 
 def read_unroutable(spark: SparkSession, root: str) -> DataFrame | None:
@@ -64,13 +70,14 @@ def read_unroutable(spark: SparkSession, root: str) -> DataFrame | None:
 
     They belong to no logical date; their ingest time tells when they came.
     """
-    folder = f"{root.rstrip('/')}/{DAY_COLUMNS[0]}=__HIVE_DEFAULT_PARTITION__"
+    folder = f"{root.rstrip('/')}/{NO_DAY}"
     if not files.exists(spark, folder):
         return None
     if has_commit_log(spark, root):
         rows = spark.read.parquet(root)
     else:
-        rows = spark.read.option("basePath", root).parquet(folder)
+        paths = snapshots.paths_of_day(spark, root, NO_DAY)
+        rows = spark.read.option("basePath", root).parquet(*paths)
     return in_contract_order(rows.where(F.col(DAY_COLUMNS[0]).isNull()))
 
 
@@ -80,7 +87,8 @@ def read_day(spark: SparkSession, root: str, logical_date: str) -> DataFrame:
     A table written by the streaming file sink is read through its root, whose
     commit log names exactly the committed files; the day is then a partition
     filter. Any other table is listed for that day's folder only, so the cost of
-    planning does not grow with the age of the table.
+    planning does not grow with the age of the table. Of a day that was compacted, the
+    folders that count are read (:mod:`paystrata.sources.snapshots`).
     """
     date = parse_logical_date(logical_date)
     folder = day_path(root, date)
@@ -90,7 +98,8 @@ def read_day(spark: SparkSession, root: str, logical_date: str) -> DataFrame:
         rows = spark.read.parquet(root)
     else:
         try:
-            rows = spark.read.option("basePath", root).parquet(folder)
+            paths = snapshots.paths_of_day(spark, root, day_name(date))
+            rows = spark.read.option("basePath", root).parquet(*paths)
         except AnalysisException as error:
             raise DayNotFound(f"no bronze rows for {logical_date}: {folder}") from error
     year, month, day = (F.col(name) for name in DAY_COLUMNS)

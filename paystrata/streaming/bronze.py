@@ -26,13 +26,12 @@ from paystrata.operators.parse import (
     parse_with_diagnosis,
     quarantined,
 )
-from paystrata.schema import PARTITION_COLUMNS
+from paystrata.schema import BATCH_COLUMN, PARTITION_COLUMNS
 from paystrata.sources.bronze import require_writer
 from paystrata.streaming.triggers import TRIGGER_INTERVAL, with_trigger
 
 logger = logging.getLogger(__name__)
 
-BATCH_COLUMN = "ingest_batch"
 OBSERVATION = "bronze"
 
 
@@ -103,7 +102,7 @@ def write_bronze_batch(
     The counts are observed while the rows are written, for logs and metrics;
     a retried task may be counted again. Nothing is persisted: messages are read
     and parsed once, and once more for the quarantine if the first pass has seen
-    any that belong there.
+    any that belong there. A tag is ``<stream>-<number>`` with rising numbers.
     """
     require_writer(batch.sparkSession, root, commit_log=False)
     counts = Observation()
@@ -112,14 +111,15 @@ def write_bronze_batch(
     rows = bronze_rows(diagnosed.observe(counts, *_counts(), unsound))
     if files_per_partition is not None:
         rows = cluster_for_write(rows, PARTITION_COLUMNS, files_per_partition)
-    _overwrite_batch(rows, batch_tag, root, PARTITION_COLUMNS)
+    overwrite_batch(rows, batch_tag, root, PARTITION_COLUMNS)
     seen = counts.get
     if quarantine is not None and seen["unsound"]:
-        _overwrite_batch(quarantined(diagnosed), batch_tag, quarantine, ())
+        overwrite_batch(quarantined(diagnosed), batch_tag, quarantine, ())
     return seen
 
 
-def _overwrite_batch(df: DataFrame, batch_tag: str, path: str, partitions) -> None:
+def overwrite_batch(df: DataFrame, batch_tag: str, path: str, partitions) -> None:
+    """Write the folders of one batch; those of the same tag are replaced."""
     (
         df.withColumn(BATCH_COLUMN, F.lit(batch_tag))
         .write.mode("overwrite")
