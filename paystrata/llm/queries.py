@@ -58,8 +58,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to WARC archives and read back through the capture index."""
-    directory = warc.archive_pages(table(spark, folder, "pages"))
-    return warc.read_archives(directory).select(
+    pages = table(spark, folder, "pages")
+    directory = warc.archive_pages(pages)
+    return warc.lookup(directory, pages.select(warc.surt(F.col("url")).alias("surt"))).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

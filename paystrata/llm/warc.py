@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import itertools
 import uuid
 import zlib
 from collections import namedtuple
@@ -359,68 +360,97 @@ def read_archives(directory: DataFrame, *, task_bytes: int = 64 << 20) -> DataFr
     return blocks.repartition(tasks, "index", "offset").mapInArrow(read, CAPTURE)
 
 
-def lookup(directory: DataFrame, keys: DataFrame) -> DataFrame:
-    """The captures whose URL key is among ``keys`` (column ``surt``); null keys find nothing.
+FOUND = "kind long, part long, surt string, index string, offset long, length long, last_key string"
 
-    Directory lines and keys are sorted together by one range shuffle. Each task
-    then has the directory lines of its range and walks its keys: a binary search in
-    the lines finds the blocks, one in a block the entries.
+
+def _found(kind: int, key: str | None, line) -> tuple:
+    return kind, line.part, key, line.index, line.offset, line.length, line.last_key
+
+
+def _found_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Directory lines and keys of one range, in order: the blocks that may hold each key.
+
+    ``kind`` is 0 for a block to read, 1 for a key below which the range has no line
+    (its block, if any, began in an earlier range) and 2 for the range's last line.
     """
-    spans = directory.select("index", "offset", "length", "first_key", "last_key")
-    # A block answers keys from its first to its last, so it is listed under both
-    # ends; keys in between belong to the line before them.
-    wanted = keys.select("surt").where(F.col("surt").isNotNull()).distinct()
-    placed = spans.withColumn("surt", F.col("first_key")).withColumn("rank", F.lit(0)).unionByName(
-        wanted.withColumn("rank", F.lit(1)), allowMissingColumns=True
-    )
-    # Blocks that start before a task's range may reach into it: each key learns the
-    # last line that starts at or before it, across tasks, by a running maximum over
-    # bounded buckets of the sorted rows.
-    ordered = written(
-        placed.repartitionByRange("surt", "rank").sortWithinPartitions("surt", "rank").withColumn(
-            "slot", F.monotonically_increasing_id()
-        ),
-        "warc-lookup",
-    )
-    part = F.shiftright("slot", 33)
-    line = F.when(F.col("rank") == 0, F.struct("slot", "index", "offset", "length", "first_key", "last_key"))
-    tails = (
-        ordered.groupBy(part.alias("part")).agg(F.max(line).alias("tail"))
-        .select("part", F.max("tail").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    )
-    near = F.max(line).over(Window.partitionBy("part").orderBy("slot"))
-    first = (
-        ordered.withColumn("part", part).withColumn("near", near).where("rank = 1")
-        .join(F.broadcast(tails), "part")  # one record per partition
-        .select("surt", F.coalesce("near", "carried").alias("block"))
-    )
-    # Blocks that start with the key itself, or lie between, for keys with many captures.
-    starting = spans.join(wanted.withColumnRenamed("surt", "first_key"), "first_key").select(
-        F.col("first_key").alias("surt"), "index", "offset", "length"
+    lines, firsts = [], []
+    for batch in batches:
+        found = []
+        for row in _rows(batch):
+            if row.rank == 0:
+                lines.append(row)
+                firsts.append(row.surt)
+                continue
+            # Lines sort before keys, so all that begin up to this key are there.
+            at = bisect.bisect_left(firsts, row.surt)
+            if not at:
+                found.append((1, row.part, row.surt, None, None, None, None))
+            elif lines[at - 1].last_key >= row.surt:
+                found.append(_found(0, row.surt, lines[at - 1]))
+            found.extend(_found(0, row.surt, line) for line in lines[at:])
+        if found:
+            yield _batch(found, FOUND)
+    if lines:
+        yield _batch([_found(2, None, lines[-1])], FOUND)
+
+
+def lookup(directory: DataFrame, keys: DataFrame, *, task_bytes: int = 64 << 20) -> DataFrame:
+    """The captures whose URL key is among ``keys`` (column ``surt``), each once.
+
+    Repeated keys count once; null keys and keys without captures find nothing, as does
+    an empty directory. Directory lines and distinct keys meet in one range shuffle. A
+    task has the lines of its range and finds each key's block among them by a binary
+    search; a block that reaches over a range's end is known by the last line of the
+    range before (one record per partition). Each block that may hold a key is then read
+    once: a binary search in it finds every key's entries, and only their ranges of the
+    archives are read.
+    """
+    lines = directory.select("index", "offset", "length", "last_key", F.col("first_key").alias("surt"), F.lit(0).cast("long").alias("rank"))
+    wanted = keys.select("surt").where(F.col("surt").isNotNull()).distinct().withColumn("rank", F.lit(1).cast("long"))
+    # Of the blocks that begin with one key, that with the greatest last key ends last.
+    placed = (
+        lines.unionByName(wanted, allowMissingColumns=True)
+        .repartitionByRange("surt")
+        .sortWithinPartitions("surt", "rank", "last_key")
+        .withColumn("part", F.spark_partition_id().cast("long"))
     )
-    ending = first.where(F.col("block").isNotNull() & (F.col("block.last_key") >= F.col("surt"))).select(
-        "surt", "block.index", "block.offset", "block.length"
+    found = written(placed.mapInArrow(_found_blocks, FOUND), "warc-lookup")
+    # The last line before a range is that of the greatest partition below it that has
+    # lines: one record per partition.
+    ranges = found.where("kind = 2").select(
+        F.col("part").alias("upto"),
+        F.lead("part").over(Window.orderBy("part")).alias("next"),
+        F.struct("index", "offset", "length", "last_key").alias("line"),
     )
-    closing = spans.join(wanted.withColumnRenamed("surt", "last_key"), "last_key").select(
-        F.col("last_key").alias("surt"), "index", "offset", "length"
+    reaching = (
+        found.where("kind = 1").select("part", "surt")
+        .join(F.broadcast(ranges), (F.col("part") > F.col("upto")) & (F.col("next").isNull() | (F.col("part") <= F.col("next"))))
+        .where(F.col("line.last_key") >= F.col("surt"))
+        .select("surt", "line.index", "line.offset", "line.length")
     )
-    jobs = starting.union(ending).union(closing).distinct()
+    jobs = found.where("kind = 0").select("surt", "index", "offset", "length").unionByName(reaching)
+    total = directory.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    tasks = max(int(total // task_bytes) + 1, int(directory.sparkSession.sparkContext.defaultParallelism))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, archive = _Reader(), _Reader()
+        rows = (row for batch in batches for row in _rows(batch))
 
         def records() -> Iterator[tuple[str, dict]]:
-            for batch in batches:
-                for key, name, offset, length in _rows(batch):
-                    found = _entries(index.read(name, offset, length))
-                    names = [e[0] for e in found]
-                    yield from archive.records(found[bisect.bisect_left(names, key) : bisect.bisect_right(names, key)])
+            for (name, offset, length), group in itertools.groupby(rows, key=lambda row: (row.index, row.offset, row.length)):
+                entries = _entries(index.read(name, offset, length))
+                names = [entry[0] for entry in entries]
+                hits = []
+                for row in group:
+                    hits.extend(entries[bisect.bisect_left(names, row.surt) : bisect.bisect_right(names, row.surt)])
+                yield from archive.records(hits)
 
         yield from _captures(records())
         index.close()
         archive.close()
 
-    return jobs.repartition("index", "offset").mapInArrow(read, CAPTURE)
+    by_block = jobs.repartition(tasks, "index", "offset").sortWithinPartitions("index", "offset", "surt")
+    return by_block.mapInArrow(read, CAPTURE)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:

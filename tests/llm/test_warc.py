@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from paystrata.llm import warc
+from paystrata.llm import queries, warc
 
 SCHEMA = "page_id long, url string, html string"
 BIG = "x" * 1500
@@ -55,6 +55,38 @@ def test_lookup_finds_all_captures_of_a_key(llm, tmp_path):
     assert got == want and found.count() == len(want)
 
 
+def test_lookup_across_ranges_and_blocks(llm, conf, tmp_path):
+    """Few lines and many keys in many ranges; keys that fill, begin, end and span blocks."""
+    conf(spark__sql__shuffle__partitions="13", spark__sql__adaptive__enabled="false")
+    rows = [(n, f"http://h{n % 90:02}.org/", "t") for n in range(900)] + [(n, "http://h45.org/", "t") for n in range(900, 1300)]
+    entries = warc.write_archives(llm.createDataFrame(rows, SCHEMA), f"{tmp_path}/a")
+    for block in (7, 10, 400, 5000):
+        directory = warc.write_index(entries, f"{tmp_path}/i{block}", block_entries=block)
+        wanted = [f"org,h{n:02})/" for n in range(0, 90, 2)] + ["org,h45)/", "a", "org,h449)/", "zz"]
+        found = warc.lookup(directory, llm.createDataFrame([(k,) for k in wanted], "surt string"))
+        want = sorted(n for n, url, _ in rows if int(url[8:10]) % 2 == 0 or "h45" in url)
+        assert sorted(r.page_id for r in found.select("page_id").collect()) == want
+
+
+def test_lookup_with_part_of_a_directory(llm, tmp_path):
+    rows = [(n, f"http://h{n:04}.org/", "t") for n in range(1000)]
+    entries = warc.write_archives(llm.createDataFrame(rows, SCHEMA), f"{tmp_path}/a")
+    directory = warc.write_index(entries, f"{tmp_path}/i", block_entries=50).orderBy("first_key").collect()
+    kept = llm.createDataFrame(directory[3:5], warc.DIRECTORY)
+    for line in directory[:3] + directory[5:]:
+        assert not set(range(150, 250)) & {int(line.first_key[5:9]), int(line.last_key[5:9])}
+    keys = llm.createDataFrame([(f"org,h{n:04})/",) for n in range(0, 1000, 3)], "surt string")
+    got = sorted(r.page_id for r in warc.lookup(kept, keys).select("page_id").collect())
+    assert got == [n for n in range(150, 250) if n % 3 == 0]
+    assert warc.lookup(kept, keys.where("false")).count() == 0
+
+
+def test_query_equals_brute_force(llm, tmp_path):
+    llm.createDataFrame(PAGES, SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, queries.QUERIES["op1_warc"](llm, str(tmp_path)).collect()), key=str)
+    assert got == expected(PAGES)
+
+
 def test_keys_reverse_the_host(llm):
     urls = ["https://User@WWW.Example.org:443/A/b?x=1#top", "example.org", "http://example.org:8080/", None]
     df = llm.createDataFrame([(u,) for u in urls], "url string").select(warc.surt(F.col("url")).alias("k"))
@@ -64,3 +96,4 @@ def test_keys_reverse_the_host(llm):
 def test_empty_table(llm, tmp_path):
     directory = warc.archive_pages(llm.createDataFrame([], SCHEMA), str(tmp_path))
     assert warc.read_archives(directory).count() == 0
+    assert warc.lookup(directory, llm.createDataFrame([("a",)], "surt string")).count() == 0
