@@ -417,14 +417,14 @@ def lookup(directory: DataFrame, keys: DataFrame, *, task_bytes: int = 64 << 20)
     found = written(placed.mapInArrow(_found_blocks, FOUND), "warc-lookup")
     # The last line before a range is that of the greatest partition below it that has
     # lines: one record per partition.
-    ranges = found.where("kind = 2").select(
-        F.col("part").alias("upto"),
-        F.lead("part").over(Window.orderBy("part")).alias("next"),
-        F.struct("index", "offset", "length", "last_key").alias("line"),
+    tail = F.max(F.when(F.col("kind") == 2, F.struct("index", "offset", "length", "last_key")))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = found.groupBy("part").agg(tail.alias("tail")).select(
+        "part", F.last("tail", ignorenulls=True).over(earlier).alias("line")
     )
     reaching = (
         found.where("kind = 1").select("part", "surt")
-        .join(F.broadcast(ranges), (F.col("part") > F.col("upto")) & (F.col("next").isNull() | (F.col("part") <= F.col("next"))))
+        .join(F.broadcast(ranges), "part")
         .where(F.col("line.last_key") >= F.col("surt"))
         .select("surt", "line.index", "line.offset", "line.length")
     )
