@@ -59,6 +59,25 @@ def latest_per_transaction(df: DataFrame, tie_breakers: Sequence[str] = ()) -> D
     )
 
 
+def version_order() -> Column:
+    """The order of :func:`latest_per_transaction` as one value, for aggregates: the least wins.
+
+    Times are negated and texts complemented digit by digit in hexadecimal, with an end
+    mark above all digits, so that what is greatest there is least here.
+    """
+
+    def last_time(name: str) -> Column:
+        micros = F.unix_micros(parse_event_time(F.col(name)))
+        return F.coalesce(-micros, F.lit((1 << 63) - 1)).alias(f"{name}_back")
+
+    def last_text(name: str) -> Column:
+        digits = F.translate(F.hex(F.col(name)), "0123456789ABCDEF", "FEDCBA9876543210")
+        return F.coalesce(F.concat(digits, F.lit("G")), F.lit("H")).alias(f"{name}_text_back")
+
+    rest = [name for name in TRANSACTION_COLUMNS if name not in (*_LATEST_FIRST, "txn_id")]
+    return F.struct(*map(last_time, _LATEST_FIRST), *map(last_text, _LATEST_FIRST), *rest)
+
+
 def latest_versions(df: DataFrame, scratch: str) -> DataFrame:
     """Same rows as :func:`latest_per_transaction`, cheaper where ids rarely
     repeat (runs a job that writes below ``scratch``).

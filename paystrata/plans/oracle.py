@@ -525,9 +525,38 @@ SELECT {ROUTE}, CAST(GROUPING({ROUTE}) AS BIGINT) AS grouping_level, {MEASURES}
 FROM txns GROUP BY {grouping}({ROUTE})"""
 
 
+def _field_kinds() -> str:
+    kinds = {name: "string" for name in TRANSACTION_COLUMNS} | {"amount": "number", "is_international": "boolean"}
+    otherwise = {"amount": "WHEN way = 3 THEN 'string' ", "is_international": "WHEN way = 4 THEN 'string' "}
+    known = " UNION ALL ".join(
+        f"SELECT '{name}' AS field, '{kind}' AS expected, CASE {otherwise.get(name, '')}"
+        f"WHEN {name} IS NULL THEN 'null' ELSE '{kind}' END AS kind FROM sent"
+        for name, kind in kinds.items()
+    )
+    added = " UNION ALL ".join(
+        f"SELECT '{name}', NULL, '{kind}' FROM sent WHERE way = {way}"
+        for way, name, kind in ((1, "channel", "string"), (2, "retries", "number"), (5, "device", "object"), (6, "tags", "array"))
+    )
+    return (
+        f"WITH {TXNS}, sent AS (SELECT *, event_id % 20 AS way FROM txns WHERE event_id % 20 <> 7), "
+        f"seen AS ({known} UNION ALL {added}) SELECT field, kind, count(*) AS n_messages, expected, "
+        "expected IS NULL OR (kind <> expected AND kind <> 'null') AS drifted FROM seen GROUP BY field, kind, expected"
+    )
+
+
+MESSAGE_DRIFT = f"""WITH {TXNS} SELECT txn_id AS message_key, CASE event_id % 20
+  WHEN 1 THEN '{{"channel":"web"}}' WHEN 2 THEN '{{"retries":' || (event_id % 7) || '}}'
+  WHEN 3 THEN '{{"amount":"many"}}' WHEN 4 THEN '{{"is_international":"no"}}'
+  WHEN 5 THEN '{{"device":{{"os":"x"}}}}' WHEN 6 THEN '{{"tags":["a","b"]}}' END AS drift FROM txns"""
+
+
 def statements() -> dict[str, str]:
     bronze_rows = f"WITH {BRONZE} SELECT {COLUMNS}, {PARTS} FROM bronze"
     summary = f"WITH {BRONZE}, {rule_counts('bronze')}"
+    upserted = (
+        f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM versions), "
+        f"kept AS ({latest('everything')}) SELECT *, txn_timestamp[1:10] AS event_date FROM kept"
+    )
     hour = "CAST(hour(strptime(txn_timestamp, '%Y-%m-%dT%H:%M:%S.%gZ')) AS INTEGER)"
     return {
         "bronze_parse": bronze_rows,
@@ -633,11 +662,8 @@ def statements() -> dict[str, str]:
             f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM txns "
             f"WHERE event_id % 100 = 0 UNION ALL SELECT * FROM versions) {latest('everything')}"
         ),
-        "silver_upsert": (
-            f"WITH {VERSIONS}, everything AS (SELECT * FROM txns UNION ALL SELECT * FROM versions), "
-            f"kept AS ({latest('everything')}) "
-            "SELECT *, txn_timestamp[1:10] AS event_date FROM kept"
-        ),
+        "silver_upsert": upserted,
+        "stream_silver": upserted,
         "silver_changes": (
             f"WITH {VERSIONS}, everything AS (SELECT {COLUMNS} FROM txns UNION ALL SELECT {COLUMNS} FROM versions), "
             f"before AS ({latest('txns')}), after AS ({latest('everything')}) "
@@ -658,5 +684,7 @@ def statements() -> dict[str, str]:
         "stream_replay": bronze_rows,
         "bronze_compacted": bronze_rows,
         "stream_dedupe": bronze_rows,
+        "field_kinds": _field_kinds(),
+        "message_drift": MESSAGE_DRIFT,
         "stream_rates": RATES,
     }

@@ -11,7 +11,7 @@ import datetime as dt
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystrata import dimensions as dims
@@ -20,6 +20,7 @@ from paystrata.functions.payments import clamp_amount
 from paystrata.functions.times import days_before, event_time_text, parse_event_time
 from paystrata.operators import (
     assignment,
+    drift,
     duplicates,
     enrichment,
     gold,
@@ -42,6 +43,7 @@ from paystrata.sources.events import read_transactions
 from paystrata.streaming import bronze as bronze_stream
 from paystrata.streaming import dedupe as dedupe_stream
 from paystrata.streaming import metrics as metrics_stream
+from paystrata.streaming import silver as silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +122,29 @@ def damaged_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def drifting_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message; seven in twenty depart from the contract, each in its own way."""
+    txns = read_transactions(spark, folder, keep=("event_id",))
+    record = F.to_json(F.struct(*TRANSACTION_COLUMNS), {"ignoreNullFields": "false"})
+    way = F.col("event_id") % 20
+
+    def with_field(text: Column) -> Column:
+        return F.concat(F.expr("left(message, length(message) - 1)"), F.lit(","), text, F.lit("}"))
+
+    messages_of = txns.select(F.col("txn_id").cast("binary").alias("key"), "event_id", record.alias("message"))
+    changed = (
+        F.when(way == 1, with_field(F.lit('"channel":"web"')))
+        .when(way == 2, with_field(F.concat(F.lit('"retries":'), (F.col("event_id") % 7).cast("string"))))
+        .when(way == 3, F.regexp_replace("message", '"amount":[^,]*', '"amount":"many"'))
+        .when(way == 4, F.regexp_replace("message", '"is_international":[a-z]*', '"is_international":"no"'))
+        .when(way == 5, with_field(F.lit('"device":{"os":"x"}')))
+        .when(way == 6, with_field(F.lit('"tags":["a","b"]')))
+        .when(way == 7, F.lit("{"))
+        .otherwise(F.col("message"))
+    )
+    return messages_of.select("key", changed.cast("binary").alias("value"))
+
+
 def versions(spark: SparkSession, folder: str) -> DataFrame:
     """Later and earlier versions of transactions already seen.
 
@@ -238,6 +263,17 @@ def corrupt_quarantine(spark, folder):
     )
 
 
+@query
+def field_kinds(spark, folder):
+    return drift.field_kinds(drifting_envelopes(spark, folder))
+
+
+@query
+def message_drift(spark, folder):
+    rows = drift.with_drift(drifting_envelopes(spark, folder))
+    return rows.select(F.col("key").cast("string").alias("message_key"), "drift")
+
+
 @query
 def corrupt_bronze(spark, folder):
     """Broken messages stay in the table: as NULL rows, or with one NULL field."""
@@ -798,6 +834,26 @@ def stream_dedupe(spark, folder):
     return transactions_of(spark.read.parquet(path))
 
 
+@query
+def stream_silver(spark, folder):
+    """Half of the versions before their transactions and half after them, in four
+    deliveries with a restart between any two."""
+    inbox, path, checkpoint = _places(spark, "inbox", "silver", "checkpoint")
+    txns, changed = read_transactions(spark, folder), versions(spark, folder)
+    half = F.crc32("txn_id") % 2 == 0
+    for delivery in (changed.where(half), txns.where(~half), changed.where(~half), txns.where(half)):
+        publish_to_files(delivery, inbox)
+        silver_stream.start_silver(
+            parse.parse_transactions(stream_from_files(spark, inbox)),
+            path,
+            checkpoint,
+            "2 hours",
+            available_now=True,
+        ).awaitTermination()
+    rows = silver.read_silver(spark, path).drop("updated_at")
+    return rows.withColumn("event_date", F.col("event_date").cast("string"))
+
+
 @query
 def stream_rates(spark, folder):
     """Running totals over two deliveries, resumed in between, and then anew from a
