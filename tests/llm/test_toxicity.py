@@ -139,3 +139,32 @@ def test_best_threshold():
     assert toxicity.best_threshold(scores, labels) == pytest.approx(0.55)
     assert toxicity.best_threshold(scores, np.array([True] * 4)) == 0.5
     assert 0.2 < toxicity.best_threshold(scores, np.array([True, False, True, False])) < 0.3
+
+
+def test_all_labelled_rows_are_learned_from(llm):
+    rng = random.Random(5)
+    draw = lambda: "".join(rng.choices("klmnopqrstuv", k=8))
+    common, bad = [draw() for _ in range(200)], [draw() for _ in range(60)]
+    rows = []
+    for i in range(14_000):
+        text = rng.choices(common, k=4)
+        if toxic := i % 4 == 0:
+            text[rng.randrange(4)] = bad[i * len(bad) // 14_000]  # every word in its stretch of ids
+        rows.append((i, " ".join(text), "en", int(toxic)))
+    net = toxicity.train(llm.createDataFrame([r[:3] for r in rows], DOCS), llm.createDataFrame([(r[0], r[3]) for r in rows], LABELS))
+    fold = sum(zlib.crc32(str(r[0]).encode()) % 5 != 0 for r in rows)
+    assert fold > 10_000 and fold * 0.8 <= net.n_rows <= fold * 0.8 + 10
+    score = {r.text: r.score for r in toxicity.score_documents(llm.createDataFrame([(1, w, "en") for w in bad + common], DOCS), net, keep=("text",)).collect()}
+    assert np.mean([score[w] >= 0.5 for w in bad]) > 0.95 and np.mean([score[w] < 0.5 for w in common]) > 0.95
+
+
+def test_shards_and_layout(llm, trained, monkeypatch):
+    rows, docs, labels, _ = trained
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 400)
+    net, again = toxicity.train(docs, labels), toxicity.train(docs.repartition(5), labels.repartition(3))
+    assert all(np.array_equal(a, b) for a, b in zip(net.arrays(), again.arrays()))
+    assert net.thresholds == again.thresholds and set(net.thresholds) == {"en", "de"}
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    read = toxicity.Words()
+    right = (net.score([read(r[1]) for r in held]) >= 0.5) == np.array([bool(r[3]) for r in held])
+    assert right.mean() > 0.85
