@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 # The wire format of event and arrival times, and of the report.
 EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 REPORT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+_USUAL_TIME = r"\A[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{1,3}Z\z"
 
 
 def parse_event_time(text: Column) -> Column:
     """Timestamp of ``text``, or NULL where it does not have the wire format.
 
     ``to_timestamp`` raises under ANSI mode, which would let one bad message
-    kill a stream.
+    kill a stream. Texts of the usual form are cast, which gives the same times and is
+    far cheaper than a pattern; the pattern reads all others.
     """
-    return F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN))
+    cast = F.left(text, F.length(text) - 1).try_cast("timestamp")
+    return F.when(text.rlike(_USUAL_TIME), cast).otherwise(F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN)))
 
 
 def event_time_text(moment: Column) -> Column:

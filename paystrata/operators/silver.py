@@ -201,7 +201,10 @@ def _write_changed(incoming: DataFrame, path: str, current: dict[str, str], scra
     spark = incoming.sparkSession
     ids = incoming.select("txn_id")
     existing = _read(spark, path, _holders(ids, path, current))
+    # Ids that the table holds: only their rows compete, all others are written as they are.
     replaced = existing.select("txn_id", "event_date").join(ids, "txn_id", "left_semi")
+    replaced = materialized(replaced, f"{scratch}/replaced")
+    held = replaced.select("txn_id")
     # One record per calendar day at most.
     affected = {
         _slot(row.event_date)
@@ -211,10 +214,12 @@ def _write_changed(incoming: DataFrame, path: str, current: dict[str, str], scra
         .collect()
     }
     in_affected = _read(spark, path, [name for slot, name in current.items() if slot in affected])
-    untouched = in_affected.join(ids, "txn_id", "left_anti")
-    contested = in_affected.join(ids, "txn_id", "left_semi").unionByName(incoming)
+    untouched = in_affected.join(held, "txn_id", "left_anti")
+    inserted = incoming.join(held, "txn_id", "left_anti")
+    contested = in_affected.unionByName(incoming).join(held, "txn_id", "left_semi")
     winners = latest_per_transaction(contested, tie_breakers=["updated_at"])
-    merged = untouched.select(*SILVER_SCHEMA.names).unionByName(winners.hint("rebalance", "event_date"))
+    received = inserted.unionByName(winners).select(*SILVER_SCHEMA.names).hint("rebalance", "event_date")
+    merged = untouched.select(*SILVER_SCHEMA.names).unionByName(received)
     root, load = path.rstrip("/"), uuid.uuid4().hex
     slot = F.coalesce(F.date_format("event_date", "yyyy-MM-dd"), F.lit(_NO_DATE))
     merged.withColumn("slot", slot).write.partitionBy("slot").parquet(f"{root}/data/{load}")

@@ -6,6 +6,7 @@ import pytest
 from payment_rows import good, plan_text
 from pyspark.sql import functions as F
 
+from paystrata.functions import times
 from paystrata.operators import locator, silver
 from paystrata.sources import files
 
@@ -264,3 +265,30 @@ def _lost(*_, **__):
 
 def folders(spark, path):
     return silver._folders(spark, silver._versions(spark, path)[-1])
+
+
+def test_only_rows_of_held_ids_compete(spark, transactions, tmp_path, monkeypatch):
+    path, ranked = str(tmp_path / "silver"), []
+    real = silver.latest_per_transaction
+
+    def watched(df, tie_breakers=()):
+        if tie_breakers:
+            ranked.append(df.count())
+        return real(df, tie_breakers)
+
+    monkeypatch.setattr(silver, "latest_per_transaction", watched)
+    silver.upsert_silver(transactions([on(1, n) for n in range(20)]), path)
+    later = dict(arrival_timestamp="2024-01-16T10:00:00.000Z", amount=7.0)
+    silver.upsert_silver(transactions([on(1, 3, **later), *(on(2, n) for n in range(100, 110))]), path)
+    assert ranked == [0, 2]
+    assert sorted(r.amount for r in silver.read_silver(spark, path).collect()) == [7.0] + [250.5] * 29
+
+
+def test_usual_times_are_read_as_by_the_pattern(spark):
+    texts = ["2024-01-15T10:00:00.995Z", "2024-01-15T10:00:00.5Z", "2024-02-30T10:00:00.000Z", "2024-01-15T24:00:00.000Z",
+             "2024-01-15T10:00:60.000Z", "0999-01-15T10:00:00.000Z", "2024-01-15T10:00:00Z", "2024-01-15T10:00:00.0000Z",
+             "2024-01-15T10:00:00.000Z\n", " 2024-01-15T10:00:00.000Z", "+12024-01-15T10:00:00.000Z", "1582-10-10T00:00:00.000Z", "x", "", None]
+    table = spark.createDataFrame([(text,) for text in texts], "text string")
+    pattern = F.try_to_timestamp("text", F.lit(times.EVENT_TIME_PATTERN))
+    assert table.where(~times.parse_event_time(F.col("text")).eqNullSafe(pattern)).collect() == []
+    assert "try_to_timestamp" not in str(times._USUAL_TIME) and table.where(times.parse_event_time(F.col("text")).isNotNull()).count() >= 3
