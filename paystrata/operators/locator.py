@@ -28,13 +28,18 @@ BLOCK_BITS, BLOCK_IDS = 32768, 2048
 MOST_IDS = 1_000_000
 
 _POSITION_BITS = 15
+_SEEDS = (1, 2)
 
 
 def _positions(key: Column) -> list[Column]:
     """Eight positions in the block, from two hashes of four positions each."""
+    return _positions_of(*(F.xxhash64(key, F.lit(seed)) for seed in _SEEDS))
+
+
+def _positions_of(*hashes: Column) -> list[Column]:
     return [
-        F.shiftright(F.xxhash64(key, F.lit(seed)), _POSITION_BITS * part).bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int")
-        for seed in (1, 2)
+        F.shiftright(hashed, _POSITION_BITS * part).bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int")
+        for hashed in hashes
         for part in range(4)
     ]
 
@@ -52,22 +57,28 @@ def has_bit(bits: Column, position: Column) -> Column:
 def index_folder(spark: SparkSession, root: str, folder: str, index: str, scratch: str, key: str = "txn_id") -> None:
     """Write the index of all Parquet files below ``root/folder`` (reads their ids).
 
-    File names are kept relative to ``root``, as they begin with ``folder``.
+    File names are kept relative to ``root``, as they begin with ``folder``. An id is one
+    narrow row in its task's sort: each of its eight positions has a bitmap of its own,
+    and the eight of a block are united when the ids have become blocks.
     """
     rows = spark.read.parquet(f"{root}/{folder}")
     name = F.regexp_extract("_metadata.file_path", f"({folder}/.*)$", 1)
     ids = rows.select(F.col(key).alias("id"), name.alias("file"))
     blocks = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("n") / BLOCK_IDS, F.lit(1.0))))).cast("int")
     sizes = ids.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
-    sizes = materialized(sizes.withColumn("n_blocks", blocks).drop("n"), scratch)
+    numbered = sizes.withColumn("n_blocks", blocks).drop("n").withColumn("number", F.monotonically_increasing_id())
+    sizes = materialized(numbered, scratch)
     placed = ids.join(sizes, "file").select(
-        "file", "low", "high", "n_blocks", _block(F.col("id"), F.col("n_blocks")).alias("block"),
-        F.explode(F.array(*_positions(F.col("id")))).alias("position"),
+        "number", _block(F.col("id"), F.col("n_blocks")).alias("block"),
+        *(F.xxhash64("id", F.lit(seed)).alias(f"hash_{seed}") for seed in _SEEDS),
     )
-    filters = placed.groupBy("file", "low", "high", "n_blocks", "block").agg(
-        F.bitmap_construct_agg("position").alias("bits")
+    positions = _positions_of(*(F.col(f"hash_{seed}") for seed in _SEEDS))
+    single = placed.groupBy("number", "block").agg(
+        F.array(*(F.bitmap_construct_agg(position) for position in positions)).alias("parts")
     )
-    filters.write.parquet(index)
+    united = single.select("number", "block", F.explode("parts").alias("part")).groupBy("number", "block")
+    filters = united.agg(F.bitmap_or_agg("part").alias("bits")).join(sizes, "number")
+    filters.select("file", "low", "high", "n_blocks", "block", "bits").write.parquet(index)
 
 
 def files_that_may_hold(index: DataFrame, ids: DataFrame, key: str = "txn_id") -> list[str]:

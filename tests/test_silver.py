@@ -284,6 +284,19 @@ def test_only_rows_of_held_ids_compete(spark, transactions, tmp_path, monkeypatc
     assert sorted(r.amount for r in silver.read_silver(spark, path).collect()) == [7.0] + [250.5] * 29
 
 
+def test_an_index_row_per_id_is_sorted(spark, tmp_path, monkeypatch):
+    root, explodes = str(tmp_path), []
+    spark.range(5000).selectExpr("concat('T', id) AS txn_id").write.parquet(f"{root}/data")
+    real = F.explode
+    monkeypatch.setattr(locator.F, "explode", lambda column: explodes.append(str(column)) or real(column))
+    locator.index_folder(spark, root, "data", f"{root}/index", f"{root}/sizes")
+    assert all("hash" not in text for text in explodes)
+    rows = locator.read_index(spark, [f"{root}/index"]).collect()
+    assert sum(r.n_blocks for r in rows) >= 3 and all(len(r.bits) == locator.BLOCK_BITS // 8 for r in rows)
+    bits = sum(int.from_bytes(r.bits).bit_count() for r in rows)
+    assert 5000 * 7 < bits <= 5000 * 8
+
+
 def test_usual_times_are_read_as_by_the_pattern(spark):
     texts = ["2024-01-15T10:00:00.995Z", "2024-01-15T10:00:00.5Z", "2024-02-30T10:00:00.000Z", "2024-01-15T24:00:00.000Z",
              "2024-01-15T10:00:60.000Z", "0999-01-15T10:00:00.000Z", "2024-01-15T10:00:00Z", "2024-01-15T10:00:00.0000Z",
