@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 
@@ -34,6 +35,8 @@ from paystrata.llm.common import written
 SHARD_ROWS, SHARD_CHARS = 4_096, 16_000_000
 #: Passes over all shards after the first shard has been fitted.
 PASSES = 2
+#: Tasks that shards are dealt to in a pass, at least; two per core, if those are more.
+LEAST_TASKS = 12
 #: Of a shard's rows, in order of their ids, every fifth sets the thresholds and fits nothing.
 CALIBRATION = 5
 #: Thresholds are told apart to this part of a score.
@@ -41,6 +44,8 @@ SCORE_STEPS = 10_000
 #: What copies have learned is added up in whole numbers of this unit, so that the sum
 #: does not depend on the order in which tasks end.
 _UNIT = 2.0**-32
+#: Bits of the table that tells which ids may have a label.
+FILTER_BITS = 1 << 26
 #: Scores from here on count as toxic where no language is known.
 THRESHOLD = 0.5
 #: A language with fewer toxic calibration rows takes the threshold of all languages.
@@ -263,6 +268,27 @@ class _Learned:
 
     sums: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
+    def __getstate__(self) -> list[list[tuple[tuple[int, ...], bytes, bytes]]]:
+        """Compressed, for the way between tasks: of each array the rows that are not
+        zero, their first bytes first, since the high bytes of small numbers are alike."""
+
+        def packed(values: np.ndarray) -> tuple[tuple[int, ...], bytes, bytes]:
+            some = values.reshape(len(values), -1).any(1)
+            planes = np.ascontiguousarray(values[some]).view(np.uint8).reshape(-1, values.itemsize).T
+            return values.shape, zlib.compress(np.packbits(some).tobytes(), 1), zlib.compress(planes.tobytes(), 1)
+
+        return [[packed(values) for values in one] for one in self.sums]
+
+    def __setstate__(self, state: list[list[tuple[tuple[int, ...], bytes, bytes]]]) -> None:
+        def unpacked(shape: tuple[int, ...], some: bytes, planes: bytes) -> np.ndarray:
+            values = np.zeros(shape, np.int64)
+            chosen = np.unpackbits(np.frombuffer(zlib.decompress(some), np.uint8), count=shape[0]).astype(bool)
+            read = np.frombuffer(zlib.decompress(planes), np.uint8).reshape(values.itemsize, -1)
+            values[chosen] = np.ascontiguousarray(read.T).view(np.int64).reshape(-1, *shape[1:])
+            return values
+
+        self.sums = [tuple(unpacked(*values) for values in one) for one in state]
+
     @classmethod
     def of(cls, net: Network, start: Network) -> _Learned:
         def units(new: np.ndarray, old: np.ndarray) -> np.ndarray:
@@ -289,8 +315,25 @@ class _Learned:
         return replace(start, table=table, bias=bias, weights=weights, filters=filters, offset=float(offset[0]), seen=seen)
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, rows: int | None, words: int | None) -> tuple[DataFrame, int]:
-    """Text, language and label of each id to learn from, and how many shards they need."""
+def _likely(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose id is not among ``chosen``: no text without a label need move.
+
+    A bit is set for the hash of each chosen id. The bitmap has ``FILTER_BITS`` bits
+    (8 MB) whatever the data, so it may be broadcast; the more ids share a bit, the more
+    rows pass that are dropped where they meet the labels.
+    """
+    bit = F.xxhash64(F.col("doc_id").cast("string")).bitwiseAND(F.lit(FILTER_BITS - 1))
+    part, position = F.shiftright(bit, 15).cast("int"), bit.bitwiseAND(F.lit((1 << 15) - 1)).cast("int")
+    bitmap = chosen.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(position).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.col("position") / 8 + 1, 1)), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.pow(F.lit(2), F.col("position") % 8).cast("int")) > 0
+    return docs.withColumns({"part": part, "position": position}).join(F.broadcast(bitmap), "part").where(is_set)
+
+
+def _shards(docs: DataFrame, labels: DataFrame, rows: int | None, words: int | None) -> tuple[DataFrame, int]:
+    """``shard``, ``docs`` (id, text, language and label of its rows to learn from, by id),
+    and how many shards all rows need. Texts move once, to their shard, and meet their
+    labels there."""
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~in_fold(F.col("doc_id")))
         .groupBy("doc_id")
@@ -299,20 +342,26 @@ def _labelled(docs: DataFrame, labels: DataFrame, rows: int | None, words: int |
     if rows is not None:
         chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     text = F.coalesce("text", F.lit(""))
-    docs = docs.where(~in_fold(F.col("doc_id")))  # held-out texts need not move
+    docs = docs.select("doc_id", text.alias("text"), "lang").where(~in_fold(F.col("doc_id")))  # held-out texts need not move
+    sizes = docs.select("doc_id", F.length("text").alias("chars")).join(chosen, "doc_id")
+    size = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("chars").alias("chars")).first()
+    n_shards = max(1, -(-size.rows // SHARD_ROWS), -(-(size.chars or 0) // SHARD_CHARS))
+    shard = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_shards)).cast("int").alias("shard")
     found = (
-        docs.select("doc_id", text.alias("text"), "lang")
-        .join(chosen, "doc_id")
-        .groupBy("doc_id")
-        .agg(F.min(F.struct("text", "lang")).alias("least"), F.min("toxic").alias("toxic"))
-        .select("doc_id", "least.text", "least.lang", "toxic")
+        _likely(docs, chosen)
+        .select("doc_id", F.struct("text", "lang").alias("least"))
+        .unionByName(chosen, allowMissingColumns=True)
+        .repartition(shard)
+        .groupBy(shard, "doc_id")
+        .agg(F.min("least").alias("least"), F.max("toxic").alias("toxic"))
+        .where("least IS NOT NULL AND toxic IS NOT NULL")
+        .select("shard", "doc_id", "least.text", "least.lang", "toxic")
     )
     if words is not None:
         ahead = F.sum(F.regexp_count("text", F.lit(r"(?U)\w+"))).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
-        found = found.withColumn("ahead", ahead).where(F.col("ahead") <= words).drop("ahead")
-    sizes = docs.select("doc_id", F.length(text).alias("chars")).join(chosen, "doc_id")
-    size = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("chars").alias("chars")).first()
-    return found, max(1, -(-size.rows // SHARD_ROWS), -(-(size.chars or 0) // SHARD_CHARS))
+        found = found.withColumn("ahead", ahead).where(F.col("ahead") <= words)
+    document = F.struct("doc_id", "text", "lang", "toxic")
+    return found.groupBy("shard").agg(F.sort_array(F.collect_list(document)).alias("docs")), n_shards
 
 
 def _texts(shard: Row, calibration: bool) -> tuple[list[np.ndarray], np.ndarray, list[str | None]]:
@@ -322,6 +371,16 @@ def _texts(shard: Row, calibration: bool) -> tuple[list[np.ndarray], np.ndarray,
     return [read(d.text) for d in rows], np.array([d.toxic for d in rows], np.float64), [d.lang for d in rows]
 
 
+def _more(learned: _Learned | None, shard: Row, start: Network, share: float, seed: int) -> _Learned | None:
+    """``learned`` and what a copy of ``start`` learns from a shard. The copy and the
+    shard's words are freed here, before the next shard is read."""
+    texts, toxic, _ = _texts(shard, False)
+    if not texts:
+        return learned
+    one = _Learned.of(fit(texts, toxic, epochs=1, seed=seed, start=start, share=share), start)
+    return one if learned is None else learned + one
+
+
 def train(docs: DataFrame, labels: DataFrame, *, rows: int | None = None, words: int | None = None) -> Network:
     """Fit on all labelled documents outside the held-out fold (runs jobs).
 
@@ -336,10 +395,8 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int | None = None, words:
     rows, from counts of scores. ``rows`` and ``words`` bound what is learned from, by
     the smallest hashes of ids, if a caller wants less than all.
     """
-    found, n_shards = _labelled(docs, labels, rows, words)
-    document = F.struct("doc_id", "text", "lang", "toxic")
-    dealt = found.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_shards)).cast("int").alias("shard"))
-    shards = written(dealt.agg(F.sort_array(F.collect_list(document)).alias("docs")), "toxicity-shards")
+    dealt, n_shards = _shards(docs, labels, rows, words)
+    shards = written(dealt, "toxicity-shards")
     fits = F.filter("docs", lambda d, i: i % CALIBRATION != CALIBRATION - 1)
     fitted = shards.select(F.explode(fits).alias("doc"))
     total = fitted.agg(F.count(F.lit(1)).alias("rows"), F.avg("doc.toxic").alias("share")).first()
@@ -362,16 +419,12 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int | None = None, words:
         def learn(some: Iterable[Row], number: int = number, start=start) -> Iterator[_Learned]:
             learned = None
             for shard in some:
-                texts, toxic, _ = _texts(shard, False)
-                if texts:
-                    seed = 1 + number + PASSES * shard.shard
-                    copy = fit(texts, toxic, epochs=1, seed=seed, start=start.value, share=share)
-                    one = _Learned.of(copy, start.value)
-                    learned = one if learned is None else learned + one
+                learned = _more(learned, shard, start.value, share, 1 + number + PASSES * shard.shard)
             if learned is not None:
                 yield learned
 
-        learned = shards.rdd.mapPartitions(learn)
+        # A sum per task, and tasks by the cores: more shards make no more sums.
+        learned = shards.rdd.coalesce(max(LEAST_TASKS, 2 * context.defaultParallelism)).mapPartitions(learn)
         # So many levels that only a handful of sums reaches the driver.
         depth = max(2, math.ceil(math.log(learned.getNumPartitions() + 1, 4)))
         net = learned.treeReduce(lambda a, b: a + b, depth).onto(net)

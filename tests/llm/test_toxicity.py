@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import pickle
 import random
+import re
 import zlib
 
 import numpy as np
@@ -168,3 +170,49 @@ def test_shards_and_layout(llm, trained, monkeypatch):
     read = toxicity.Words()
     right = (net.score([read(r[1]) for r in held]) >= 0.5) == np.array([bool(r[3]) for r in held])
     assert right.mean() > 0.85
+
+
+def test_only_labelled_texts_move_and_only_once(llm, monkeypatch):
+    rows = [(i, f"text {i}", "en" if i % 2 else None) for i in range(400)] + [(3, "another", "en"), (5, None, None), (None, "no id", "en")]
+    marks = [(i, i % 2) for i in range(0, 400, 4)] + [(3, 0), (3, 1), (5, 1), (7, None), (None, 1), (1_000, 1)]
+    docs, labels = llm.createDataFrame(rows, DOCS), llm.createDataFrame(marks, LABELS)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    known = {}
+    for i, toxic in marks:
+        if i is not None and toxic is not None and not fold(i):
+            known[i] = max(toxic, known.get(i, 0))
+    wanted = sorted(
+        (i, *min(((r[1] or "", r[2]) for r in rows if r[0] == i), key=lambda x: x[0]), toxic) for i, toxic in known.items() if i < 400
+    )
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 20)
+    for bits in (toxicity.FILTER_BITS, 1 << 15, 1):  # with one bit, every row passes
+        monkeypatch.setattr(toxicity, "FILTER_BITS", bits)
+        dealt, n_shards = toxicity._shards(docs, labels, None, None)
+        got = dealt.collect()
+        assert n_shards == -(-sum(r[0] in known for r in rows) // 20) and len({r.shard for r in got}) == len(got) > 1
+        assert sorted(tuple(d) for r in got for d in r.docs) == wanted
+        assert all([d.doc_id for d in r.docs] == sorted(d.doc_id for d in r.docs) for r in got)
+    monkeypatch.undo()
+    moved = toxicity._likely(docs, labels.where("doc_id IS NOT NULL")).collect()
+    assert {r.doc_id for r in moved} == {r[0] for r in rows} & {m[0] for m in marks if m[0] is not None}
+    dealt = toxicity._shards(docs, labels, None, None)[0]
+    plan = dealt._jdf.queryExecution().explainString(dealt.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moves = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan)
+    assert len(moves) > 1 and sum(any(name in columns for name in ("text#", "least#", "buf#", "docs#")) for columns in moves) == 1
+
+
+def test_sums_travel_without_rows_that_did_not_change():
+    rng = np.random.default_rng(3)
+    table = np.zeros((toxicity.ROWS, toxicity.DIMS), np.int64)
+    some = rng.choice(toxicity.ROWS, 1000, False)
+    table[some] = rng.integers(-(1 << 30), 1 << 30, (1000, toxicity.DIMS))
+    table[some[0]], table[some[1]] = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    moved, changed = table.copy(), (table != 0).any(1).astype(np.int64)
+    moved[some[2:]] >>= 60  # a row may change in one sum alone
+    none = np.zeros((3, 2, 4), np.int64)
+    sums = toxicity._Learned([(table, moved, changed), (none, none, none[:, 0, 0]), (none[:1, 0, 0] - 7, none[:1, 0, 0], none[:1, 0, 0] + 1)])
+    sent = pickle.dumps(sums)
+    assert len(sent) < 5 * 2 * 16 * 1000  # of 8 bytes each, about half
+    for one, again in zip(sums.sums, pickle.loads(sent).sums):
+        assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(one, again))
+        assert all(x.flags.writeable for x in again)
