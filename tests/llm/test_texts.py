@@ -117,6 +117,24 @@ def test_removal_against_brute_force(llm, clash, size, gram, limits):
     assert sorted(map(tuple, got), key=str) == brute_removal(rows, size)
 
 
+def test_crowded_anchors_are_divided_with_one_python_process_per_task(llm, monkeypatch):
+    plans, written = [], suffixes.written
+
+    def noted(df, label):
+        if label == "anchor-halves":
+            plans.append(df._jdf.queryExecution().toString().split("== Physical Plan ==")[1])
+        return written(df, label)
+
+    monkeypatch.setattr(suffixes, "written", noted)
+    rows = passages(random.Random(400))
+    suffixes.remove_repeats(llm.createDataFrame(rows, SCHEMA).repartition(4), group_anchors=8).collect()
+    assert plans
+    for plan in plans:
+        steps = re.findall(r"\b(MapInArrow|Exchange) ", plan)
+        assert "MapInArrow" in steps
+        assert all({a, b} != {"MapInArrow"} for a, b in zip(steps, steps[1:])), plan
+
+
 def test_long_texts_are_read_in_segments(monkeypatch):
     monkeypatch.setattr(suffixes, "_SEGMENT", 700)
     r = random.Random(4)
