@@ -68,6 +68,21 @@ def test_passages_are_cut_on_whole_characters(llm):
     assert got[1].n_chars == 6
 
 
+def test_documents_without_repeats_do_not_move(llm):
+    r = random.Random(12)
+    passage = words(r, 60)
+    rows = [(1, "a " + passage), (2, "b " + passage), (3, words(r, 100)), (4, words(r, 100)), (5, None), (6, ""), (None, words(r, 70))]
+    cut = pipeline.cut_repeats(llm, documents(llm, rows), "")
+    assert sorted((x.doc_id or 0, x.text, x.n_chars) for x in cut.collect() if x.text) == [
+        (0, rows[6][1], len(rows[6][1])), (1, "a", 1), (2, "b", 1), (3, rows[2][1], len(rows[2][1])), (4, rows[3][1], len(rows[3][1])),
+    ]
+    assert sorted(x.doc_id for x in cut.collect() if not x.text) == [5, 6]
+    parts = cut._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert parts[0].startswith("Union")
+    stay = parts[max(n for n, x in enumerate(parts) if x.startswith("+- ")) :]  # the second branch
+    assert len(stay) > 1 and not any("Join" in x or "Repartition" in x for x in stay), parts
+
+
 def test_passages_are_measured_in_words(llm):
     r = random.Random(4)
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from brute import smallest_ids
@@ -135,6 +137,34 @@ def test_crowded_anchors_are_divided_with_one_python_process_per_task(llm, monke
         assert all({a, b} != {"MapInArrow"} for a, b in zip(steps, steps[1:])), plan
 
 
+def test_bitmap_holds_all_its_hashes_and_few_others(llm):
+    r = random.Random(6)
+    inside, outside = ([r.randrange(-(2**63), 2**63) for _ in range(2000)] for _ in range(2))
+    bits = suffixes._bitmap(llm.createDataFrame([(x,) for x in inside], "hash long"))
+    assert suffixes._passing(bits, np.array(inside)).all()
+    assert suffixes._passing(bits, np.array(outside)).sum() < 20
+    none = suffixes._bitmap(llm.createDataFrame([], "hash long"))
+    assert not suffixes._passing(none, np.array(inside)).any()
+
+
+def test_texts_without_repeated_anchors_do_not_move(llm, monkeypatch):
+    moved, gone, written, discard = [], [], suffixes.written, suffixes.discard
+    monkeypatch.setattr(suffixes, "written", lambda df, label: moved.append((label, df)) or written(df, label))
+    monkeypatch.setattr(suffixes, "discard", lambda *tables: gone.extend(tables) or discard(*tables))
+    r = random.Random(8)
+    shared = "".join(r.choice("abcdefgh") for _ in range(600))
+    alone = [(k, "".join(r.choice("abcdefgh") for _ in range(900))) for k in range(40)]
+    rows = [(100, "x" + shared), (101, "y" + shared), (102, "y" + shared), *alone]
+    got = suffixes.remove_repeats(llm.createDataFrame(rows, SCHEMA).repartition(3))
+    kept = got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, kept), key=str) == brute_removal(rows, 400)
+    plan = dict(moved)["anchored-texts"]._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Filter \w*pythonUDF|ArrowEvalPython", plan), plan
+    assert "anchors" in dict(moved) and gone
+    for table in gone:
+        assert not any(os.path.exists(name.removeprefix("file://")) for name in table.inputFiles())
+
+
 def test_long_texts_are_read_in_segments(monkeypatch):
     monkeypatch.setattr(suffixes, "_SEGMENT", 700)
     r = random.Random(4)
