@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystrata.llm.common import written
+from paystrata.llm.common import discard, written
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,7 +15,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     neighbours of every node, then the node and its smaller neighbours, to the
     smallest of them. The table never grows beyond the links, minima are reduced
     on the map side, and the number of rounds grows with the logarithm of the
-    nodes. Each round's links are written to the shared folder. Links with a null
+    nodes. Each round's links are written to the shared folder, those of the round before
+    removed. Links with a null
     end and links of a node to itself are ignored.
     """
     real = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
@@ -28,12 +29,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = large.distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(lowest, "u")
-        edges = written(
+        before, edges = edges, written(
             small.select("u", F.col("low").alias("v"))
             .union(small.where(F.col("v") != F.col("low")).select("v", "low"))
             .distinct(),
             "links",
         )
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

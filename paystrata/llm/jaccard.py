@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paystrata.llm.common import shuffle_width, written
+from paystrata.llm.common import discard, shuffle_width, written
 from paystrata.llm.components import connected_components
 from paystrata.llm.grouped import groups, smallest_reachable
 
@@ -210,7 +210,9 @@ def _members(index: DataFrame, percent: int, short_list: int) -> DataFrame:
         .join(pivots, ["token", "class"])
         .select("pivot", "node")
     )
-    return written(possible.union(joined).where("pivot <> node").distinct(), "shingle-groups")
+    members = written(possible.union(joined).where("pivot <> node").distinct(), "shingle-groups")
+    discard(lists)
+    return members
 
 
 class _Group:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 import sentencepiece
@@ -13,6 +15,7 @@ import sentencepiece
 import corpus_pipeline as pipeline
 from brute import reachable
 from paystrata.llm import mixing, pieces, quality
+from paystrata.session import scratch_path
 from test_texts import shingle_set
 
 COLUMNS = list(pipeline.COLUMNS)
@@ -24,6 +27,13 @@ def documents(spark, rows):
     return spark.createDataFrame(full, SCHEMA)
 
 
+def shuffle_files(spark):
+    """Files of shuffles that this process holds."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(str(d)) for d in blocks.localDirs()]
+    return {f for d in folders for f in d.rglob("shuffle_*")}
+
+
 def words(r, n):
     return " ".join(f"w{r.randrange(5000)}" for _ in range(n))
 
@@ -59,6 +69,36 @@ def test_one_near_copy_stays(llm):
     assert sorted((x.doc_id, x.text or "") for x in kept.collect() if x.doc_id) == sorted([(10, base), (12, rows[4][1]), (13, rows[5][1]), (14, ""), (15, "")])
 
 
+def test_shuffles_do_not_add_up(llm, tmp_path):
+    r = random.Random(8)
+    texts = [words(r, 80) for _ in range(30)]
+    docs = documents(llm, list(enumerate(texts + texts[:5])))
+    before = shuffle_files(llm)
+    pipeline.drop_near_copies(llm, docs, "").write.parquet(str(tmp_path / "kept"))
+    assert llm.read.parquet(str(tmp_path / "kept")).count() == 30
+    for _ in range(100):  # they are removed in the background
+        left = shuffle_files(llm) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_tables_go_once_they_are_used(llm, small, monkeypatch):
+    left, read = [], pipeline.STAGES[-1][1]
+
+    def last(spark, docs, sf_dir):
+        left.extend(p.name.rpartition("-")[0] for p in Path(scratch_path(spark, "x")).parent.iterdir() if p not in before)
+        return read(spark, docs, sf_dir)
+
+    folder = Path(scratch_path(llm, "x")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    monkeypatch.setattr(pipeline, "STAGES", [*pipeline.STAGES[:-1], ("pieces", last)])
+    pipeline.run(llm, small)
+    assert [name for name in left if name.startswith("stage-")] == ["stage-mixing"]
+    assert "shingle-lists" not in left and left.count("links") == 1
+
+
 def test_passages_are_cut_on_whole_characters(llm):
     r = random.Random(2)
     passage = words(r, 60)
